@@ -11,6 +11,7 @@ from the first byte, whatever the data holds.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -288,13 +289,13 @@ def gz_records(path: str) -> Iterator[tuple[int, bytes | None, str | None]]:
         pending = pending[at:]
 
 
-def _gz_reader(leaves: bool, allow_duplicate_keys: bool):
+def _gz_reader(leaves: bool, allow_duplicate_keys: bool, sample: int | None):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(leaves, allow_duplicate_keys)
         for batch in batches:
             for path in batch.column("path").to_pylist():
                 rows = []
-                for offset, raw, error in gz_records(path):
+                for offset, raw, error in islice(gz_records(path), sample):
                     if raw is None:
                         rows.append({"file": path, "offset": offset, "error": error})
                     else:
@@ -316,19 +317,27 @@ def read_bson(
     allow_duplicate_keys: bool = False,
     block_bytes: int = BLOCK_BYTES,
     on_error: str = "null",
+    sample: int | None = None,
 ) -> DataFrame:
     """Records of a dump as ``(collection, file, offset, bson_len, id, oid, doc, leaves, error)``.
 
     A record that cannot be decoded keeps its row with ``error`` set and a null
     ``doc``; a cut tail gives one such row. ``on_error="fail"`` stops the job.
     Compressed files cannot be split: each is streamed by one task and its rows
-    are then dealt out over all cores for the work that follows.
+    are then dealt out over all cores for the work that follows. ``sample`` reads
+    the first records of every file; blocks behind them are not opened.
     """
     files = dump_catalog(spark, folder)
     if collections:
         files = files.filter(F.col("collection").isin(list(collections)))
     plain, packed = files.filter("not is_gz"), files.filter("is_gz")
     blocks = bson_blocks(spark, plain, block_bytes).filter("n_docs > 0 or error is not null")
+    if sample is not None:
+        before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+        left = F.lit(sample) - F.coalesce(F.sum("n_docs").over(before), F.lit(0))
+        blocks = blocks.withColumn("left", left).filter("left > 0").withColumns(
+            {"n_docs": F.least("n_docs", "left"), "error": F.when(F.col("left") > F.col("n_docs"), F.col("error"))}
+        ).drop("left")
     tasks = max(1, min(blocks.count(), MAX_PLAN_TASKS))
     rows = blocks.repartition(tasks).mapInArrow(_block_reader(leaves, allow_duplicate_keys), RECORD)
     n_packed = packed.count()
@@ -336,7 +345,7 @@ def read_bson(
         cores = spark.sparkContext.defaultParallelism
         from_gz = (
             packed.select("path").repartition(min(n_packed, MAX_PLAN_TASKS))
-            .mapInArrow(_gz_reader(leaves, allow_duplicate_keys), RECORD)
+            .mapInArrow(_gz_reader(leaves, allow_duplicate_keys, sample), RECORD)
             .repartition(max(cores, n_packed))
         )
         rows = rows.unionByName(from_gz)
