@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import logging
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
@@ -20,6 +22,12 @@ from doclake.runtime import stored
 from doclake.sources.dump import BLOCK_BYTES, dump_catalog, dump_metadata, read_bson
 
 LOG = logging.getLogger(__name__)
+# The schema is stated so that a collection named `007` stays text.
+DOCUMENTS = (
+    "id string, version string, doc string, bson_len bigint, last_modified timestamp, created_on timestamp, "
+    "collection string"
+)
+PARALLEL_BUILDS = 4
 DYNAMIC = {"partitionOverwriteMode": "dynamic"}
 
 
@@ -36,18 +44,17 @@ def documents_path(dest: str) -> str:
     return f"{dest}/documents"
 
 
-def read_documents(spark: SparkSession, dest: str, collection: str) -> DataFrame:
-    """Stored documents of one collection, parsed (only its folder is read)."""
-    stored_docs = spark.read.parquet(documents_path(dest)).filter(F.col("collection") == collection)
-    return parse_docs(stored_docs)
+def read_documents(spark: SparkSession, dest: str, collections: list[str] | None = None) -> DataFrame:
+    """Stored documents; only the folders of the named collections are read."""
+    return select_collections(spark.read.schema(DOCUMENTS).parquet(documents_path(dest)), collections)
 
 
 def _load(spark, source, dest, names, if_exists, sample, level, block_bytes) -> tuple[list[str], list[str], DataFrame | None]:
-    there = read_collection(spark, documents_path(dest))
     filled = set()
-    if there is not None:
+    if read_collection(spark, documents_path(dest)) is not None:
         # One name per collection: catalog-sized, like the names themselves.
-        filled = {str(r["collection"]) for r in there.filter(F.col("collection").isin(names)).select("collection").distinct().collect()}
+        there = read_documents(spark, dest, names).select("collection").distinct()
+        filled = {r["collection"] for r in there.collect()}
     skipped = sorted(filled) if if_exists == "skip" else []
     for name in skipped:
         LOG.warning("collection %s already holds rows, skipped", name)
@@ -72,8 +79,8 @@ def _keys(row: Row) -> tuple[list[I.Key], dict[str, str], set[str]]:
     return keys, types, arrays
 
 
-def build_index(docs: DataFrame, row: Row, cell_deg: float = 1.0) -> DataFrame | None:
-    """The index table of one planned index, placed in index order; None for a kind that needs no table."""
+def build_index(docs: DataFrame, row: Row, cell_deg: float = 1.0) -> DataFrame:
+    """The index table of one planned index, placed in index order."""
     keys, types, arrays = _keys(row)
     order = [(c["path"], c["asc"]) for c in sorted(row["columns"], key=lambda c: c["pos"])]
     kind = row["kind"]
@@ -134,7 +141,7 @@ def run(
     if not result.loaded:
         return result
 
-    docs = spark.read.parquet(documents_path(dest)).filter(F.col("collection").isin(result.loaded))
+    docs = read_documents(spark, dest, result.loaded)
     if staged is not None:
         flat = G.flatten_leaves(staged.filter("error is null"), ("collection",))
     else:
@@ -146,16 +153,22 @@ def run(
 
     failures = []
     if indexes != "skip":
-        # Index definitions are catalog-sized; every build below is a distributed job.
-        for row in plan.filter("status = 'build'").collect():
+
+        def build(row: Row) -> tuple[str, str, str] | None:
             table = f"{row['collection']}${row['index_name']}"
             try:
-                rows = build_index(read_documents(spark, dest, row["collection"]), row, cell_deg)
-                if rows is not None:
-                    rows.write.mode("overwrite").options(**codec(level)).parquet(f"{dest}/indexes/{table}")
+                documents = parse_docs(read_documents(spark, dest, [row["collection"]]))
+                rows = build_index(documents, row, cell_deg)
+                rows.write.mode("overwrite").options(**codec(level)).parquet(f"{dest}/indexes/{table}")
             except (PySparkException, ValueError) as e:
                 LOG.warning("index %s failed: %s", table, e)
-                failures.append((row["collection"], row["index_name"], str(e).splitlines()[0][:500]))
+                return row["collection"], row["index_name"], str(e).splitlines()[0][:500]
+            return None
+
+        # Index definitions are catalog-sized; every build is a distributed job, a few run side by side.
+        with ThreadPoolExecutor(PARALLEL_BUILDS) as pool:
+            outcomes = pool.map(inheritable_thread_target(spark)(build), plan.filter("status = 'build'").collect())
+            failures = [o for o in outcomes if o]
     if failures:
         bad = spark.createDataFrame(failures, "collection string, index_name string, reason string")
         plan = plan.join(F.broadcast(bad), ["collection", "index_name"], "left").withColumns(

@@ -64,8 +64,9 @@ def index_keys(meta: DataFrame) -> DataFrame:
     )
 
 
-def is_search(name: Column, is_text: Column) -> Column:
-    return is_text | name.contains("$**")
+def is_search(name: Column, is_text: Column, columns: Column) -> Column:
+    """Text keys and wildcard indexes, the latter known by ``$**`` in their name or key."""
+    return is_text | name.contains("$**") | F.exists(columns, lambda c: c["path"].contains("$**"))
 
 
 def key_columns(keys: DataFrame) -> DataFrame:
@@ -78,7 +79,7 @@ def key_columns(keys: DataFrame) -> DataFrame:
 
 def expected_indexes(keys: DataFrame) -> DataFrame:
     """Per collection: every non-search index plus one for all search indexes together."""
-    search = is_search(F.col("source_name"), F.col("is_text"))
+    search = is_search(F.col("source_name"), F.col("is_text"), F.col("columns"))
     return keys.groupBy("collection").agg(
         (F.count_if(~search) + F.max(search.cast("int"))).cast("bigint").alias("expected_indexes")
     )
@@ -159,9 +160,8 @@ def index_plan(keys: DataFrame, guide: DataFrame, multivalue: bool = False) -> D
     no = F.lit(False)
     parallel = F.coalesce(is_parallel(F.col("arrays")), no)
     in_array = F.coalesce(F.size("arrays") > 0, no)
-    search = is_search(F.col("source_name"), F.col("is_text"))
+    search = is_search(F.col("source_name"), F.col("is_text"), F.col("columns"))
     primary = (n == 1) & (F.col("columns")[0]["path"] == "_id")
-    special = F.col("is_ttl") | search | F.col("is_spatial") | primary | (n == 0)
 
     def when_found(flag: str, reason: str) -> Column:
         return F.when(~parallel & F.coalesce(F.col(flag), no), reason)
@@ -207,20 +207,20 @@ def index_plan(keys: DataFrame, guide: DataFrame, multivalue: bool = False) -> D
     plan = j.select(
         "collection", "index_name", kind.alias("kind"), status.alias("status"), "reasons",
         "is_unique", n.alias("n_fields"), F.coalesce("typed", untyped).alias("columns"),
-        special.alias("is_special"), "index_pos",
+        "index_pos",
     )
     # All search indexes of a collection are one: the first stays, the others are merged into it.
     first = (
-        plan.filter("kind = 'json_search'").groupBy("collection").agg(F.min("index_pos").alias("first_search"))
+        plan.filter("kind = 'json_search'").groupBy("collection").agg(F.min(F.struct("index_pos", "index_name")).alias("first_search"))
     )
     plan = plan.join(first, "collection", "left")
-    merged = (F.col("kind") == "json_search") & (F.col("index_pos") > F.col("first_search"))
+    merged = (F.col("kind") == "json_search") & (F.struct("index_pos", "index_name") > F.col("first_search"))
     return plan.withColumns(
         {
             "status": F.when(merged, "skipped").otherwise(F.col("status")),
             "reasons": F.when(merged, F.array(F.lit("merged search index"))).otherwise(F.col("reasons")),
         }
-    ).drop("first_search", "is_special", "index_pos")
+    ).drop("first_search", "index_pos")
 
 
 def index_spec(plan: DataFrame, profile: str = "typed") -> DataFrame:

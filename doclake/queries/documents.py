@@ -8,6 +8,9 @@ from doclake.operators.shape import parse_docs
 from doclake.runtime import spread
 
 
+COLLECTIONS = 20
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -17,10 +20,13 @@ def seconds(ts: str) -> Column:
 
 
 def line_json(spark: SparkSession, sf: str) -> DataFrame:
-    """One document per line item; `charges` can be empty or missing, `flags` is a scalar array.
+    """One document per line item, spread over collections `lines_0` … `lines_19` by part.
 
     {"_id", "status", "qty", "price", "item": {"part", "supp"},
-     "charges": [{"kind", "amount"}], "flags": [..]}
+     "charges": [{"kind", "amount"}], "flags": [..], "empty": [], "mixed": text or number}
+
+    `charges` can be empty or missing, `flags` is a scalar array, `empty` has no
+    element anywhere, `mixed` has two types.
     """
     li = spread(table(spark, sf, "lineitem"))
 
@@ -40,7 +46,13 @@ def line_json(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("l_linenumber") != 7, charges).alias("charges"),
         F.array("l_returnflag", "l_linestatus").alias("flags"),
     )
-    return li.select(line_id.alias("id"), F.to_json(doc).alias("doc"))
+    mixed = F.when(F.col("l_linenumber") % 2 == 0, F.lit('"even"')).otherwise(F.col("l_linenumber").cast("string"))
+    body = F.to_json(doc)
+    text = F.concat(F.substring(body, 1, F.length(body) - 1), F.lit(',"empty":[],"mixed":'), mixed, F.lit("}"))
+    return li.select(
+        F.concat(F.lit("lines_"), F.pmod("l_partkey", F.lit(COLLECTIONS)).cast("string")).alias("collection"),
+        line_id.alias("id"), text.alias("doc"),
+    )
 
 
 def line_docs(spark: SparkSession, sf: str) -> DataFrame:
@@ -98,10 +110,7 @@ def text_docs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def part_metadata(spark: SparkSession, sf: str) -> DataFrame:
-    """Collection metadata with two indexes per part, of every shape an index can have.
-
-    Collection `c<part mod 40>_<part>`: the key documents vary with the part number.
-    """
+    """Index metadata: one index per part, in the collections of `line_json`, of every shape an index can have."""
     p = table(spark, sf, "part")
     shape = F.pmod("p_partkey", F.lit(len(KEY_SHAPES)))
     key = F.element_at(F.array(*[F.lit(k) for k in KEY_SHAPES]), (shape + 1).cast("int"))
@@ -109,11 +118,12 @@ def part_metadata(spark: SparkSession, sf: str) -> DataFrame:
         F.col("p_partkey") % 7 == 0, ',"expireAfterSeconds":{"$numberLong":"3600"}'
     ).otherwise("")
     text = F.concat(
-        F.lit('{"indexes":[{"v":2,"name":"_id_","key":{"_id":1}},{"v":2,"name":"ix.'),
-        F.col("p_partkey").cast("string"), F.lit('","key":'), key, extra, F.lit('}],"type":"collection"}'),
+        F.lit('{"indexes":[{"v":2,"name":"ix.'), F.col("p_partkey").cast("string"), F.lit('","key":'), key, extra,
+        F.lit('}],"type":"collection"}'),
     )
     return p.select(
-        F.concat(F.lit("lines_"), F.col("p_partkey").cast("string")).alias("collection"), text.alias("metadata")
+        F.concat(F.lit("lines_"), F.pmod("p_partkey", F.lit(COLLECTIONS)).cast("string")).alias("collection"),
+        text.alias("metadata"),
     )
 
 
@@ -132,4 +142,8 @@ KEY_SHAPES = [
     '{"_fts":"text","_ftsx":1}',
     '{"flags":1}',
     '{"charges":1}',
+    '{"_id":1}',
+    '{"mixed":1}',
+    '{"empty":1,"status":1}',
+    '{"$**":1}',
 ]
