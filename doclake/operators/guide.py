@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.utils import AnalysisException
 
 from doclake.functions.ids import path_key, path_prefixes
-from doclake.functions.variants import PLAIN_NAME
 
 NODE = "array<struct<path:string,key:string,pos:int,type:string,integral:boolean,value:string,in_array:boolean>>"
 CONTAINERS = ("object", "array")
@@ -17,26 +16,31 @@ CONTAINERS = ("object", "array")
 def document_depth(df: DataFrame, data: str = "data") -> int:
     """Deepest nesting over all documents (a flat object has depth 1).
 
-    The type text of a document is reduced to its angle brackets; removing
-    innermost pairs until nothing is left counts the levels.
+    A document is reduced to its brackets; removing innermost pairs until
+    nothing is left counts the levels.
     """
-    brackets = F.regexp_replace(F.schema_of_variant(F.col(data)), r"`(?:[^`]|``)*`|[^<>]", "")
-    empty = F.struct(brackets.alias("s"), F.lit(0).alias("n"))
+    no_text = F.regexp_replace(F.to_json(F.col(data)), r'"(?:[^"\\]++|\\.)*+"', "")
+    brackets = F.translate(F.regexp_replace(no_text, r"[^\[\]{}]++", ""), "[]", "{}")
 
     def peel(acc, _):
         left = acc["s"] != ""
         return F.struct(
-            F.replace(acc["s"], F.lit("<>"), F.lit("")).alias("s"),
+            F.replace(acc["s"], F.lit("{}"), F.lit("")).alias("s"),
             F.when(left, acc["n"] + 1).otherwise(acc["n"]).alias("n"),
         )
 
-    depth = F.aggregate(F.sequence(F.lit(1), F.least(F.length(brackets), F.lit(1000))), empty, peel)["n"]
-    return df.agg(F.max(depth)).first()[0] or 0
+    def levels(most: int, start: Column) -> Column:
+        return F.aggregate(F.sequence(F.lit(1), F.lit(most)), start, peel)
+
+    few = df.select(levels(8, F.struct(brackets.alias("s"), F.lit(0).alias("n"))).alias("few"))
+    depth = F.when(F.col("few.s") == "", F.col("few.n")).otherwise(levels(1000, F.col("few"))["n"])
+    return few.agg(F.max(depth)).first()[0] or 0
 
 
 def _step(parent: Column, key: Column) -> Column:
-    plain = key.rlike(PLAIN_NAME.pattern)
-    return F.concat(parent, F.lit("."), F.when(plain, key).otherwise(F.concat(F.lit('"'), key, F.lit('"'))))
+    """Child path; a name holding a dot or a space is quoted (two searches, far cheaper than a pattern)."""
+    odd = key.contains(".") | key.contains(" ")
+    return F.concat(parent, F.lit("."), F.when(odd, F.concat(F.lit('"'), key, F.lit('"'))).otherwise(key))
 
 
 def walk(df: DataFrame, max_depth: int, keep: tuple[str, ...] = ("id",), data: str = "data") -> DataFrame:
@@ -137,11 +141,10 @@ def guide_of(rows: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """
     text = F.col("value")
     number = F.col("type").isin("number", "double")
-    ordered = F.struct(
-        F.when(number, text.try_cast("double")).alias("n"),
-        F.when(number, text.try_cast("decimal(38,0)")).alias("i"),
-        text.alias("t"),
-    )
+    as_double = F.when(number, text.try_cast("double"))
+    # Doubles stop telling whole numbers apart at 2^53; only those pay for an exact comparison.
+    exact = F.when(F.abs(as_double) >= float(1 << 53), text.try_cast("decimal(38,0)"))
+    ordered = F.struct(as_double.alias("n"), exact.alias("i"), text.alias("t"))
     comparable = F.when(text.isNotNull(), ordered)
     doc = F.col("_doc")
     partial = rows.groupBy(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from doclake.functions.variants import elements, field, only, variant_path
 from doclake.operators.guide import flatten
+from doclake.runtime import stored
 
 Key = tuple[str, str]
 
@@ -79,12 +80,17 @@ def _order(name: str, asc: bool) -> Column:
     return c.asc_nulls_last() if asc else c.desc_nulls_first()
 
 
-def index_table(rows: DataFrame, order: list[tuple[str, bool]], partitions: int | None = None) -> DataFrame:
+def index_table(
+    rows: DataFrame, order: list[tuple[str, bool]], partitions: int | None = None, stage: bool = True
+) -> DataFrame:
     """Rows range-partitioned and sorted in index order, row id last.
 
     The id takes part in the ranges, so one hot key value spreads over several
-    partitions.
+    partitions. Finding the ranges reads all rows once more; with ``stage`` the
+    narrow index rows are written first, so that documents are parsed only once.
     """
+    if stage:
+        rows = stored(rows, "index-rows")
     by = [_order(name, asc) for name, asc in order] + [F.col("id").asc_nulls_last()]
     placed = rows.repartitionByRange(partitions, *by) if partitions else rows.repartitionByRange(*by)
     return placed.sortWithinPartitions(*by)

@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from doclake.runtime import stored
+from doclake.runtime import ship_package, stored
 
 MB = 1 << 20
 SEGMENTS_PER_FILE = 2000
@@ -141,11 +141,14 @@ def chunk_plan(
 
     ``sample`` keeps the first records of every file.
     """
+    ship_package(offsets.sparkSession)
     if sample is not None:
         offsets = first_records(offsets, sample)
     if segment_bytes is None:
         longest = offsets.agg(F.max(F.col("offset") + F.col("length"))).first()[0] or 0
         segment_bytes = max(16 * max_bytes, longest // SEGMENTS_PER_FILE)
+    # No shorter than a chunk: then what is open at a segment's end began inside it.
+    segment_bytes = max(segment_bytes, max_bytes)
     seg = F.floor(F.col("offset") / segment_bytes).cast("bigint")
     packed = stored(
         offsets.select("path", "offset", "length", seg.alias("seg")).groupBy("path", "seg").applyInPandas(

@@ -210,8 +210,9 @@ def index_plan(keys: DataFrame, guide: DataFrame, multivalue: bool = False) -> D
         "index_pos",
     )
     # All search indexes of a collection are one: the first stays, the others are merged into it.
-    first = (
-        plan.filter("kind = 'json_search'").groupBy("collection").agg(F.min(F.struct("index_pos", "index_name")).alias("first_search"))
+    # Taken from the keys alone, so that the guide is not computed a second time.
+    first = keys.filter(~F.col("is_ttl") & search).groupBy("collection").agg(
+        F.min(F.struct("index_pos", "index_name")).alias("first_search")
     )
     plan = plan.join(first, "collection", "left")
     merged = (F.col("kind") == "json_search") & (F.struct("index_pos", "index_name") > F.col("first_search"))

@@ -111,7 +111,7 @@ def text_docs(spark: SparkSession, sf: str) -> DataFrame:
 
 def part_metadata(spark: SparkSession, sf: str) -> DataFrame:
     """Index metadata: one index per part, in the collections of `line_json`, of every shape an index can have."""
-    p = table(spark, sf, "part")
+    p = spread(table(spark, sf, "part"))
     shape = F.pmod("p_partkey", F.lit(len(KEY_SHAPES)))
     key = F.element_at(F.array(*[F.lit(k) for k in KEY_SHAPES]), (shape + 1).cast("int"))
     extra = F.when(F.col("p_partkey") % 5 == 0, ',"unique":true').when(

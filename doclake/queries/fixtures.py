@@ -11,8 +11,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from doclake.runtime import scratch
-from doclake.sources.dump import open_path
+from doclake.runtime import open_path, scratch, ship_package
 
 EPOCH = datetime(1970, 1, 1)
 
@@ -62,6 +61,7 @@ def write_dump(rows: DataFrame, name: str, gz: bool = False, folder: str | None
     appear under their final name only when complete, so a task that runs twice
     leaves the same file.
     """
+    ship_package(rows.sparkSession)
     folder = folder or scratch(rows.sparkSession, "dump")
     filesystem, local = open_path(folder)
     filesystem.create_dir(local, recursive=True)
@@ -84,6 +84,7 @@ def write_dump(rows: DataFrame, name: str, gz: bool = False, folder: str | None
 
 def write_files(rows: DataFrame, folder: str) -> None:
     """One small file per row of ``(name, content)``."""
+    ship_package(rows.sparkSession)
     filesystem, local = open_path(folder)
     filesystem.create_dir(local, recursive=True)
 

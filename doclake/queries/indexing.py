@@ -15,14 +15,15 @@ from doclake.queries.documents import (
 )
 from doclake.queries.oracle_parts import LINE_NODES, LINES, PART_INDEXES, PART_PLAN
 from doclake.queries.registry import query
-from doclake.runtime import scratch
+from doclake.runtime import scratch, stored
 
 LINE_ARRAYS = {"charges", "flags", "empty"}
 DEPTH = 3  # nesting of every derived collection
 
 
 def line_guide(spark, sf) -> DataFrame:
-    return G.data_guide(line_docs(spark, sf), max_depth=DEPTH, by=("collection",))
+    """Guide of the line collections, written once as a load would leave it."""
+    return stored(G.data_guide(line_docs(spark, sf), max_depth=DEPTH, by=("collection",)), "guide")
 
 
 def part_keys(spark, sf) -> DataFrame:

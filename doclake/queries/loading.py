@@ -23,7 +23,7 @@ from doclake.runtime import scratch, spread
 from doclake.sources import dump as D
 from doclake.streaming import sync
 
-BLOCK = 64 << 10  # small, so that even small dumps are split into many blocks
+BLOCK = 256 << 10  # small, so that even small dumps are split into several blocks
 
 
 def order_rows(spark, sf) -> DataFrame:

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
+PACKAGE = Path(__file__).resolve().parent
+_shipped: set[str] = set()
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach.
@@ -48,3 +55,31 @@ def spread(df: DataFrame) -> DataFrame:
     if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)
     return df
+
+
+def open_path(path: str):
+    """``(filesystem, path)`` for a URI or a plain local path."""
+    if path.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+    if "://" in path:
+        scheme, rest = path.split("://", 1)
+        return pafs.FileSystem.from_uri(("s3" if scheme == "s3a" else scheme) + "://" + rest)
+    return pafs.LocalFileSystem(), path
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python tasks on every executor, once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for source in sorted(PACKAGE.rglob("*.py")):
+            z.write(source, source.relative_to(PACKAGE.parent))
+    folder = scratch(spark, "package")
+    filesystem, local = open_path(folder)
+    filesystem.create_dir(local, recursive=True)
+    with filesystem.open_output_stream(f"{local}/{PACKAGE.name}.zip", compression=None) as out:
+        out.write(packed.getvalue())
+    spark.sparkContext.addPyFile(f"{folder}/{PACKAGE.name}.zip")
+    _shipped.add(app)

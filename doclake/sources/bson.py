@@ -135,9 +135,12 @@ class Decoder:
             raise BsonError("record length does not match")
         self.leaves = [] if self.want_leaves else None
         self.oid = self.root_id = None
-        doc, stop = self._container(buf, 0, False, "$", False, True)
-        if stop != len(buf):
-            raise BsonError("trailing bytes in record")
+        try:
+            doc, _ = self._container(buf, 0, False, "$", False, True)
+        except BsonError:
+            raise
+        except (IndexError, ValueError, struct.error, RecursionError) as e:
+            raise BsonError(f"malformed record: {e}") from e
         return doc, self.root_id, self.oid, self.leaves
 
     def _container(self, buf, pos, is_array, path, in_array, root):

@@ -12,19 +12,19 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import islice
+from urllib.parse import unquote
 
 import pyarrow as pa
-from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from doclake.plans.index_plan import parse_metadata
-from doclake.runtime import stored
+from doclake.runtime import open_path, ship_package, stored
 from doclake.sources.bson import FIXED, I32, MIN_RECORD, BsonError, Decoder, well_formed
 
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 128 << 20
 WINDOW = 1 << 20
 BATCH = 2048
-MAX_PLAN_TASKS = 20_000
+MAX_TASKS = 100_000
 KNOWN = frozenset(FIXED) | {2, 3, 4, 5, 11, 12, 13, 14, 15}
 # Fixed pattern: a collection file name, and the collection it holds.
 NAME = r"(?i)^(.*)\.bson(\.gz)?$"
@@ -54,15 +54,19 @@ def _glob(plain: str) -> str:
 
 
 def dump_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Every collection file with its size; only the listing is read, never the content."""
-    listed = (
-        spark.read.format("binaryFile").option("pathGlobFilter", _glob(FILE_GLOB)).load(folder).select("path", "length")
-    )
+    """Every collection file with its size; only the listing is read, never the content.
+
+    A scan leaves out files of zero bytes, so the names come from the listing
+    Spark made for the scan.
+    """
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", _glob(FILE_GLOB)).load(folder)
+    paths = [(unquote(p).replace("file:///", "file:/", 1),) for p in reader.inputFiles()]
+    listed = spark.createDataFrame(paths, "path string").join(reader.select("path", "length"), "path", "left")
     name = F.element_at(F.split("path", "/"), -1)
     return listed.select(
         F.regexp_extract(name, NAME, 1).alias("collection"),
         F.lower(name).endswith(".gz").alias("is_gz"),
-        "path", "length",
+        "path", F.coalesce("length", F.lit(0)).alias("length"),
     )
 
 
@@ -88,15 +92,6 @@ def dump_metadata(spark: SparkSession, folder: str) -> DataFrame:
     return parse_metadata(joined).select("collection", "indexes")
 
 
-def open_path(path: str):
-    """``(filesystem, path)`` for a URI or a plain local path."""
-    if path.startswith("file:"):
-        return pafs.LocalFileSystem(), "/" + path[5:].lstrip("/")
-    if "://" in path:
-        return pafs.FileSystem.from_uri(path)
-    return pafs.LocalFileSystem(), path
-
-
 class _Reader:
     """Ranged reads over one file with a sliding buffer."""
 
@@ -182,14 +177,26 @@ def _walk_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(rows, batch.schema)
 
 
+def _tasks(spark: SparkSession, blocks: int, n_bytes: int) -> int:
+    """Tasks for a number of blocks: all cores busy, about one full block each on large dumps."""
+    wanted = max(spark.sparkContext.defaultParallelism, -(-n_bytes // BLOCK_BYTES))
+    return max(1, min(blocks, wanted, MAX_TASKS))
+
+
+def _block_tasks(spark: SparkSession, blocks: DataFrame) -> int:
+    n, total = blocks.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("hi") - F.col("lo")), F.lit(0))).first()
+    return _tasks(spark, n, total)
+
+
 def bson_blocks(spark: SparkSession, files: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Exact split plan of plain files: per block the first record, the end, the record count.
 
     ``files`` has ``path`` and ``length``. The plan is written to the shared
     folder, so it is computed once.
     """
+    ship_package(spark)
     sized = files.filter("length > 0").select("path", F.col("length").alias("size"))
-    n_blocks = sized.agg(F.sum(F.ceil(F.col("size") / block_bytes))).first()[0] or 0
+    n_blocks, n_bytes = sized.agg(F.sum(F.ceil(F.col("size") / block_bytes)), F.sum("size")).first()
     starts = F.sequence(F.lit(0).cast("bigint"), F.col("size") - 1, F.lit(block_bytes).cast("bigint"))
     blocks = sized.select("path", "size", F.posexplode(starts).alias("block", "lo")).select(
         "path", F.col("block").cast("bigint").alias("block"), "lo",
@@ -197,7 +204,7 @@ def bson_blocks(spark: SparkSession, files: DataFrame, block_bytes: int = BLOCK_
         *[F.lit(None).cast("bigint").alias(c) for c in ("start", "stop", "n_docs")],
         F.lit(None).cast("string").alias("error"),
     )
-    tasks = max(1, min(int(n_blocks), MAX_PLAN_TASKS))
+    tasks = _tasks(spark, int(n_blocks or 0), int(n_bytes or 0))
     plan = stored(blocks.repartition(tasks).mapInArrow(_walk_blocks, BLOCK), "bson-blocks")
     while True:
         before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -218,7 +225,7 @@ def bson_blocks(spark: SparkSession, files: DataFrame, block_bytes: int = BLOCK_
         if n_wrong == 0:
             return settled.drop("wrong", "due")
         again = settled.filter("wrong").withColumn("start", F.col("due")).drop("wrong", "due")
-        again = again.repartition(max(1, min(n_wrong, MAX_PLAN_TASKS))).mapInArrow(_walk_blocks, BLOCK)
+        again = again.repartition(_tasks(spark, n_wrong, n_wrong * block_bytes)).mapInArrow(_walk_blocks, BLOCK)
         plan = stored(settled.filter("not wrong").drop("wrong", "due").unionByName(again), "bson-blocks")
 
 
@@ -230,8 +237,8 @@ def _decoded(decoder: Decoder, file: str, offset: int, raw: bytes) -> dict:
     row = {"file": file, "offset": offset, "bson_len": len(raw)}
     try:
         row["doc"], row["id"], row["oid"], row["leaves"] = decoder.decode(raw)
-    except (BsonError, IndexError, ValueError, UnicodeDecodeError) as e:
-        row["error"] = str(e) or type(e).__name__
+    except BsonError as e:
+        row["error"] = str(e)
     return row
 
 
@@ -338,13 +345,12 @@ def read_bson(
         blocks = blocks.withColumn("left", left).filter("left > 0").withColumns(
             {"n_docs": F.least("n_docs", "left"), "error": F.when(F.col("left") > F.col("n_docs"), F.col("error"))}
         ).drop("left")
-    tasks = max(1, min(blocks.count(), MAX_PLAN_TASKS))
-    rows = blocks.repartition(tasks).mapInArrow(_block_reader(leaves, allow_duplicate_keys), RECORD)
+    rows = blocks.repartition(_block_tasks(spark, blocks)).mapInArrow(_block_reader(leaves, allow_duplicate_keys), RECORD)
     n_packed = packed.count()
     if n_packed:
         cores = spark.sparkContext.defaultParallelism
         from_gz = (
-            packed.select("path").repartition(min(n_packed, MAX_PLAN_TASKS))
+            packed.select("path").repartition(min(n_packed, MAX_TASKS))
             .mapInArrow(_gz_reader(leaves, allow_duplicate_keys, sample), RECORD)
             .repartition(max(cores, n_packed))
         )
@@ -380,5 +386,4 @@ def _offset_reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def bson_offsets(spark: SparkSession, folder: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``(path, offset, length)`` of every record of the plain files."""
     blocks = bson_blocks(spark, dump_catalog(spark, folder).filter("not is_gz"), block_bytes).filter("n_docs > 0")
-    tasks = max(1, min(blocks.count(), MAX_PLAN_TASKS))
-    return blocks.repartition(tasks).mapInArrow(_offset_reader, "path string, offset bigint, length bigint")
+    return blocks.repartition(_block_tasks(spark, blocks)).mapInArrow(_offset_reader, "path string, offset bigint, length bigint")
