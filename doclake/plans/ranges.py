@@ -16,9 +16,7 @@ def bucket_size(lo: Column, hi: Column, cap: int = 100_000, start: int = 8) -> C
     span = hi - lo
     widths = F.transform(F.sequence(F.lit(0), F.lit(59)), lambda i: F.lit(start).cast("bigint") * F.power(F.lit(2), i).cast("bigint"))
     # A width that overflowed is not positive; a valid one is always found before that.
-    return F.element_at(
-        F.filter(widths, lambda w: (w > 0) & (F.call_function("div", span, w) + 1 <= cap)), 1
-    )
+    return F.get(F.filter(widths, lambda w: (w > 0) & (F.call_function("div", span, w) + 1 <= cap)), F.lit(0))
 
 
 def bucket_plan(df: DataFrame, key: Column | str, cap: int = 100_000, start: int = 8) -> tuple[int, int, int] | None:
