@@ -56,42 +56,43 @@ def elements(v: Column) -> Column:
     )
 
 
-def only(
-    data: Column,
-    dotted: str,
-    gtype: str,
-    strict: bool = True,
-    spark_type: str | None = None,
+def typed(
+    v: Column, schema: Column, dotted: str, gtype: str, strict: bool = True, spark_type: str | None = None
 ) -> Column:
-    """Value at ``dotted`` if it has exactly the wanted type.
-
-    Missing and JSON null give null. Another type raises when ``strict`` and
-    gives null otherwise. ``"5"`` is never taken for 5. JSON text carries no
-    timestamp or binary, so for those declared types ISO text and hex text of
-    the right form are accepted.
-    """
+    """Value of variant ``v``, whose schema text is ``schema``, if it has exactly the wanted type."""
     if gtype not in SPARK_TYPES:
         raise ValueError(f"{gtype!r} is not a type a key column can have")
     out = spark_type or SPARK_TYPES[gtype]
-    v = field(data, dotted)
-    s = F.schema_of_variant(v)
     if gtype in ("number", "double"):
-        ok = (s == "BIGINT") | s.startswith("DECIMAL") | s.isin("DOUBLE", "FLOAT")
+        ok = (schema == "BIGINT") | schema.startswith("DECIMAL") | schema.isin("DOUBLE", "FLOAT")
         value = F.try_variant_get(v, "$", out)
     elif gtype == "timestamp":
         text = F.try_variant_get(v, "$", "string").try_cast("timestamp")
-        ok = s.startswith("TIMESTAMP") | (s == "DATE") | ((s == "STRING") & text.isNotNull())
-        value = F.when(s == "STRING", text).otherwise(F.try_variant_get(v, "$", "timestamp")).cast(out)
+        ok = schema.startswith("TIMESTAMP") | (schema == "DATE") | ((schema == "STRING") & text.isNotNull())
+        value = F.when(schema == "STRING", text).otherwise(F.try_variant_get(v, "$", "timestamp")).cast(out)
     elif gtype == "binary":
         text = F.unhex(F.try_variant_get(v, "$", "string"))
-        ok = (s == "BINARY") | ((s == "STRING") & text.isNotNull())
-        value = F.when(s == "STRING", text).otherwise(F.try_variant_get(v, "$", "binary"))
+        ok = (schema == "BINARY") | ((schema == "STRING") & text.isNotNull())
+        value = F.when(schema == "STRING", text).otherwise(F.try_variant_get(v, "$", "binary"))
     else:
-        ok = s == gtype.upper()
+        ok = schema == gtype.upper()
         value = F.try_variant_get(v, "$", out)
+    none = F.lit(None).cast(out)
     wrong = (
-        F.raise_error(F.concat(F.lit(f"value at '{dotted}' is not a {gtype}: "), s)).cast(out)
-        if strict
-        else F.lit(None).cast(out)
+        F.raise_error(F.concat(F.lit(f"value at '{dotted}' is not a {gtype}: "), schema)).cast(out) if strict else none
     )
-    return F.when(v.isNull() | (s == "VOID"), F.lit(None).cast(out)).when(ok, value).otherwise(wrong)
+    return F.when(ok, value).when(schema.isNull() | (schema == "VOID"), none).otherwise(wrong)
+
+
+def only(
+    data: Column, dotted: str, gtype: str, strict: bool = True, spark_type: str | None = None
+) -> Column:
+    """Value at ``dotted`` if it has exactly the wanted type.
+
+    Missing and JSON null give null. Another type raises when ``strict`` and
+    gives null otherwise. ``"5"`` is never taken for 5. JSON text carries no
+    timestamp or binary, so for those declared types ISO text and hex text of
+    the right form are accepted.
+    """
+    v = field(data, dotted)
+    return typed(v, F.schema_of_variant(v), dotted, gtype, strict, spark_type)

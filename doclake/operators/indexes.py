@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from doclake.functions.variants import elements, field, only, variant_path
+from doclake.functions.variants import elements, field, typed, variant_path
 from doclake.operators.guide import flatten
 from doclake.runtime import stored
 
@@ -29,7 +29,7 @@ def unnest(df: DataFrame, keys: list[Key], arrays: set[str], strict: bool = True
     """One typed column per key, one row per element along the array chain.
 
     Each array is exploded once and the whole document is dropped as soon as
-    the columns outside the arrays are out, so elements do not carry it along.
+    the key values outside the arrays are out, so elements do not carry it along.
     """
     spark_types = spark_types or {}
     chain = array_chain([k for k, _ in keys], arrays)
@@ -39,23 +39,30 @@ def unnest(df: DataFrame, keys: list[Key], arrays: set[str], strict: bool = True
         placed[holders[-1] if holders else ""].append((path, gtype))
     names = {path: f"_k{i}" for i, (path, _) in enumerate(keys)}
 
-    def read(value: Column, base: str) -> list[Column]:
-        out = []
-        for path, gtype in placed[base]:
-            inner = path[len(base):].lstrip(".")
-            out.append(only(value, inner, gtype, strict, spark_types.get(path)).alias(names[path]))
-        return out
+    def sub_values(value: Column, base: str) -> list[Column]:
+        return [field(value, path[len(base):].lstrip(".")).alias(names[path]) for path, _ in placed[base]]
 
-    explode = F.explode_outer if outer else F.explode
-    frame, value, base, done = df, F.col("data"), "", list(keep)
+    frame, value, base, held = df, F.col("data"), "", []
     for array_path in chain:
         inner = array_path[len(base):].lstrip(".")
-        here = read(value, base)
-        frame = frame.select(*done, *here, explode(elements(field(value, inner))).alias("_e"))
-        done += [names[p] for p, _ in placed[base]]
+        frame = frame.select(*keep, *held, *sub_values(value, base), field(value, inner).alias("_a"))
+        held += [names[p] for p, _ in placed[base]]
+        # Always the outer form: the inner one would make Spark test the array, and so parse, twice.
+        frame = frame.select(*keep, *held, F.explode_outer(elements(F.col("_a"))).alias("_e"))
+        if not outer:
+            frame = frame.filter(F.col("_e").isNotNull())
         value, base = F.col("_e"), array_path
-    frame = frame.select(*done, *read(value, base))
-    return frame.select(*keep, *[F.col(names[p]).alias(p) for p, _ in keys])
+    # Sub-value, its schema and the typed value are separate steps, so that each is worked out once.
+    frame = frame.select(*keep, *held, *sub_values(value, base))
+    schemas = {path: F.schema_of_variant(names[path]).alias(names[path] + "s") for path, _ in keys}
+    frame = frame.select(*keep, *names.values(), *schemas.values())
+    return frame.select(
+        *keep,
+        *[
+            typed(F.col(names[path]), F.col(names[path] + "s"), path, gtype, strict, spark_types.get(path)).alias(path)
+            for path, gtype in keys
+        ],
+    )
 
 
 def array_view(df: DataFrame, keys: list[Key], arrays: set[str], strict: bool = True,
@@ -130,9 +137,14 @@ def primary_key(df: DataFrame, key: str = "id") -> DataFrame:
     )
 
 
-def tokens(text: Column) -> Column:
-    """Lower-case runs of ASCII letters and digits."""
-    return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda t: t != "")
+def token_rows(strings: DataFrame, text: str = "value") -> DataFrame:
+    """One row per lower-case run of ASCII letters and digits.
+
+    Empty pieces are dropped after the outer explode: an inner one, or a filter
+    on the array, would have Spark split every text twice.
+    """
+    pieces = F.split(F.lower(F.col(text)), "[^a-z0-9]+")
+    return strings.select("id", F.explode_outer(pieces).alias("token")).filter("token <> ''")
 
 
 def text_postings(strings: DataFrame, text: str = "value") -> DataFrame:
@@ -141,11 +153,7 @@ def text_postings(strings: DataFrame, text: str = "value") -> DataFrame:
     The only shuffle moves distinct (token, id) pairs, spread by both, so a
     frequent token is never one group.
     """
-    return (
-        strings.select("id", F.explode(tokens(F.col(text))).alias("token"))
-        .groupBy("token", "id")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    return token_rows(strings, text).groupBy("token", "id").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def text_index(df: DataFrame, max_depth: int | None = None) -> DataFrame:
@@ -157,33 +165,34 @@ def document_frequency(postings: DataFrame) -> DataFrame:
     return postings.groupBy("token").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("tf").alias("n_hits"))
 
 
-def geo_point(data: Column, dotted: str, strict: bool = True) -> Column:
-    """``struct<lon,lat>`` of a GeoJSON point; missing gives null, another shape raises or gives null."""
-    v = field(data, dotted)
-    missing = v.isNull() | F.is_variant_null(v)
+POINT = "struct<lon:double,lat:double>"
+
+
+def geo_point(v: Column, dotted: str, strict: bool = True) -> Column:
+    """``struct<lon,lat>`` of a GeoJSON point value; missing gives null, another shape raises or gives null."""
     point = F.struct(
         F.try_variant_get(v, "$.coordinates[0]", "double").alias("lon"),
         F.try_variant_get(v, "$.coordinates[1]", "double").alias("lat"),
     )
-    none = F.lit(None).cast("struct<lon:double,lat:double>")
     good = (
         (F.try_variant_get(v, "$.type", "string") == "Point")
         & point["lon"].between(-180, 180) & point["lat"].between(-90, 90)
     )
-    wrong = (
-        F.raise_error(F.lit(f"value at '{dotted}' is not a GeoJSON point")).cast("struct<lon:double,lat:double>")
-        if strict else none
-    )
-    return F.when(missing, none).when(F.coalesce(good, F.lit(False)), point).otherwise(wrong)
+    none = F.lit(None).cast(POINT)
+    wrong = F.raise_error(F.lit(f"value at '{dotted}' is not a GeoJSON point")).cast(POINT) if strict else none
+    return F.when(v.isNull() | F.is_variant_null(v), none).when(F.coalesce(good, F.lit(False)), point).otherwise(wrong)
 
 
 def spatial_index(df: DataFrame, dotted: str, cell_deg: float = 1.0, strict: bool = True) -> DataFrame:
     """``(cell_x, cell_y, lon, lat, id)`` for documents that have a point."""
-    located = df.select("id", geo_point(F.col("data"), dotted, strict).alias("p")).filter("p is not null")
+    values = df.select("id", field(F.col("data"), dotted).alias("v"))
+    # Through a generator, which a filter is not pushed below: the document is parsed once, not once per test.
+    point = F.array(geo_point(F.col("v"), dotted, strict))
+    located = values.select("id", F.inline_outer(point)).filter("lon is not null")
     return located.select(
-        F.floor(F.col("p.lon") / cell_deg).cast("int").alias("cell_x"),
-        F.floor(F.col("p.lat") / cell_deg).cast("int").alias("cell_y"),
-        "p.lon", "p.lat", "id",
+        F.floor(F.col("lon") / cell_deg).cast("int").alias("cell_x"),
+        F.floor(F.col("lat") / cell_deg).cast("int").alias("cell_y"),
+        "lon", "lat", "id",
     )
 
 
@@ -202,13 +211,18 @@ def points_only(df: DataFrame, dotted: str, n: int = 100) -> DataFrame:
     return df.filter(kind == "Point").limit(n).agg((F.count(F.lit(1)) == n).alias("points_only"))
 
 
-def index_stats(rows: DataFrame, cols: list[str]) -> DataFrame:
-    """Rows, non-nulls, distinct values, low and high of each column, as one row per column."""
+def index_stats(rows: DataFrame, cols: list[str], exact: bool = True) -> DataFrame:
+    """Rows, non-nulls, distinct values, low and high of each column, as one row per column.
+
+    Exact distinct counts shuffle the values of every column; ``exact=False``
+    estimates them with mergeable sketches and shuffles one row per task.
+    """
     quoted = {c: F.col(f"`{c}`") for c in cols}
+    distinct = F.count_distinct if exact else F.approx_count_distinct
     aggs = [F.count(F.lit(1)).alias("n")]
     for i, c in enumerate(quoted.values()):
         aggs += [
-            F.count(c).alias(f"v{i}"), F.count_distinct(c).alias(f"d{i}"),
+            F.count(c).alias(f"v{i}"), distinct(c).alias(f"d{i}"),
             F.min(c).cast("string").alias(f"l{i}"), F.max(c).cast("string").alias(f"h{i}"),
         ]
     one = rows.agg(*aggs)

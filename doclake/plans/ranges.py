@@ -49,3 +49,19 @@ def bucket_counts(df: DataFrame, key: Column | str, cap: int = 100_000, start: i
         hi = F.least(lo + F.lit(width), F.lit(high + 1))
         hi = F.when(F.col("bucket").isNotNull(), hi)
     return counted.select("bucket", lo.cast("bigint").alias("lo"), hi.cast("bigint").alias("hi"), "n")
+
+
+def range_predicates(column: str, plan: tuple[int, int, int] | None, reads: int) -> list[str]:
+    """SQL conditions that tile a collection into about ``reads`` ranges of whole buckets.
+
+    For sources read by condition, such as ``spark.read.jdbc(predicates=…)``. Rows
+    without a key come first, so that nothing is left out.
+    """
+    conditions = [f"{column} IS NULL"]
+    if plan is not None:
+        lo, hi, width = plan
+        buckets = (hi - lo) // width + 1
+        step = -(-buckets // max(1, reads)) * width
+        edges = [*range(lo, hi + 1, step), hi + 1]
+        conditions += [f"{column} >= {a} AND {column} < {b}" for a, b in zip(edges, edges[1:])]
+    return conditions

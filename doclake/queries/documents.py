@@ -47,8 +47,7 @@ def line_json(spark: SparkSession, sf: str) -> DataFrame:
         F.array("l_returnflag", "l_linestatus").alias("flags"),
     )
     mixed = F.when(F.col("l_linenumber") % 2 == 0, F.lit('"even"')).otherwise(F.col("l_linenumber").cast("string"))
-    body = F.to_json(doc)
-    text = F.concat(F.substring(body, 1, F.length(body) - 1), F.lit(',"empty":[],"mixed":'), mixed, F.lit("}"))
+    text = F.concat(F.lit('{"empty":[],"mixed":'), mixed, F.lit(","), F.substr(F.to_json(doc), F.lit(2)))
     return li.select(
         F.concat(F.lit("lines_"), F.pmod("l_partkey", F.lit(COLLECTIONS)).cast("string")).alias("collection"),
         line_id.alias("id"), text.alias("doc"),

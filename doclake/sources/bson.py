@@ -9,6 +9,7 @@ from __future__ import annotations
 import struct
 from datetime import datetime, timedelta
 from decimal import Decimal
+from functools import lru_cache
 from json.encoder import encode_basestring as quote
 
 # Element type codes whose payload has a constant size.
@@ -85,11 +86,20 @@ def _text(buf, pos):
     return buf[pos + 4:stop - 1].decode("utf-8", "replace"), stop
 
 
+@lru_cache(maxsize=4096)
+def _day(day: int) -> str:
+    return (EPOCH + timedelta(days=day)).date().isoformat()
+
+
 def _millis(ms: int) -> str:
+    """ISO text in UTC; milliseconds as a number outside the years ISO text can hold."""
     try:
-        return (EPOCH + timedelta(milliseconds=ms)).isoformat(timespec="milliseconds") + "Z"
+        date = _day(ms // 86_400_000)
     except OverflowError:
         return str(ms)
+    seconds, ms = divmod(ms % 86_400_000, 1000)
+    minutes, seconds = divmod(seconds, 60)
+    return "%sT%02d:%02d:%02d.%03dZ" % (date, minutes // 60, minutes % 60, seconds, ms)
 
 
 def _uuid_legacy(raw: bytes) -> str:
@@ -122,12 +132,129 @@ def _decimal_json(text: str) -> str:
     return quote(text)
 
 
+# --- scalar readers: (buffer, position) -> (JSON text, plain text, guide type, next position) ---
+
+
+def _int32(buf, pos):
+    value = str(I32(buf, pos)[0])
+    return value, value, "number", pos + 4
+
+
+def _int64(buf, pos):
+    value = str(I64(buf, pos)[0])
+    return value, value, "number", pos + 8
+
+
+def _double(buf, pos):
+    number = F64(buf, pos)[0]
+    if number - number == 0.0:
+        value = repr(number)
+        return value, value, "double", pos + 8
+    value = "NaN" if number != number else "Infinity" if number > 0 else "-Infinity"
+    return quote(value), value, "double", pos + 8
+
+
+def _string(buf, pos):
+    value, stop = _text(buf, pos)
+    return quote(value), value, "string", stop
+
+
+def _object_id(buf, pos):
+    value = buf[pos:pos + 12].hex()
+    return f'"{value}"', value, "string", pos + 12
+
+
+def _boolean(buf, pos):
+    value = "true" if buf[pos] == 1 else "false"
+    return value, value, "boolean", pos + 1
+
+
+def _datetime(buf, pos):
+    value = _millis(I64(buf, pos)[0])
+    return f'"{value}"', value, "timestamp", pos + 8
+
+
+def _null(buf, pos):
+    return "null", "null", None, pos
+
+
+def _decimal(buf, pos):
+    value = decimal128(*U64X2(buf, pos))
+    return _decimal_json(value), value, "number", pos + 16
+
+
+def _binary(buf, pos):
+    n, subtype = I32(buf, pos)[0], buf[pos + 4]
+    stop = pos + 5 + n
+    if n < 0 or stop >= len(buf):
+        raise BsonError("binary length out of range")
+    raw = buf[pos + 5:stop]
+    if subtype == 3 and n == 16:
+        value = _uuid_legacy(raw)
+        return quote(value), value, "string", stop
+    value = raw.hex().upper()
+    return f'"{value}"', value, "binary", stop
+
+
+def _extended(value: str, stop: int):
+    """Types without a JSON counterpart: extended JSON, kept as text."""
+    return quote(value), value, "string", stop
+
+
+def _code(buf, pos):
+    body, stop = _text(buf, pos)
+    return _extended('{"$code":' + quote(body) + "}", stop)
+
+
+def _regex(buf, pos):
+    cut = buf.index(0, pos)
+    stop = buf.index(0, cut + 1) + 1
+    pattern, options = buf[pos:cut].decode(), buf[cut + 1:stop - 1].decode()
+    return _extended('{"$regularExpression":{"pattern":' + quote(pattern) + ',"options":' + quote(options) + "}}", stop)
+
+
+def _timestamp(buf, pos):
+    i, t = U32X2(buf, pos)
+    return _extended(f'{{"$timestamp":{{"t":{t},"i":{i}}}}}', pos + 8)
+
+
+def _pointer(buf, pos):
+    ref, stop = _text(buf, pos)
+    target = buf[stop:stop + 12].hex()
+    return _extended('{"$dbPointer":{"$ref":' + quote(ref) + ',"$id":"' + target + '"}}', stop + 12)
+
+
+def _scoped_code(buf, pos):
+    body, after = _text(buf, pos + 4)
+    scope, _ = Decoder().container(buf, after, False, "$", False, False)
+    return _extended('{"$code":' + quote(body) + ',"$scope":' + scope + "}", pos + I32(buf, pos)[0])
+
+
+def _max_key(buf, pos):
+    return _extended('{"$maxKey":1}', pos)
+
+
+def _min_key(buf, pos):
+    return _extended('{"$minKey":1}', pos)
+
+
+READERS = {
+    1: _double, 2: _string, 5: _binary, 6: _null, 7: _object_id, 8: _boolean, 9: _datetime, 10: _null, 11: _regex,
+    12: _pointer, 13: _code, 14: _string, 15: _scoped_code, 16: _int32, 17: _timestamp, 18: _int64, 19: _decimal,
+    127: _max_key, 255: _min_key,
+}
+
+
 class Decoder:
     """Decodes one record; collects typed leaves only when asked to."""
 
     def __init__(self, leaves: bool = False, allow_duplicate_keys: bool = False):
         self.want_leaves = leaves
         self.allow_duplicates = allow_duplicate_keys
+        self.leaves = [] if leaves else None
+        self.oid = self.root_id = None
+        # Field names repeat from record to record: raw name -> (name, JSON form with colon).
+        self.names: dict[bytes, tuple[str, str]] = {}
 
     def decode(self, buf: bytes):
         """``(doc, id, oid, leaves)``: JSON text, text of the root ``_id``, first object id named ``_id``."""
@@ -136,141 +263,77 @@ class Decoder:
         self.leaves = [] if self.want_leaves else None
         self.oid = self.root_id = None
         try:
-            doc, _ = self._container(buf, 0, False, "$", False, True)
+            doc, _ = self.container(buf, 0, False, "$", False, True)
         except BsonError:
             raise
         except (IndexError, ValueError, struct.error, RecursionError) as e:
             raise BsonError(f"malformed record: {e}") from e
         return doc, self.root_id, self.oid, self.leaves
 
-    def _container(self, buf, pos, is_array, path, in_array, root):
+    def _name(self, raw: bytes) -> tuple[str, str]:
+        name = raw.decode("utf-8", "replace")
+        known = name, quote(name) + ":"
+        if len(self.names) < 65536:
+            self.names[raw] = known
+        return known
+
+    def container(self, buf, pos, is_array, path, in_array, root):
+        """``(JSON text, next position)`` of the object or array at ``pos``."""
         end = pos + I32(buf, pos)[0]
         if end > len(buf) or end - pos < MIN_RECORD or buf[end - 1] != 0:
             raise BsonError("container length out of range")
         pos += 4
         fields: dict[str, str] = {}
         items: list[str] = []
-        inside = in_array or is_array
-        while buf[pos]:
-            code = buf[pos]
+        leaves, names, readers = self.leaves, self.names, READERS
+        code = buf[pos]
+        while code:
             stop = buf.index(0, pos + 1)
-            name = buf[pos + 1:stop].decode("utf-8", "replace")
+            pos_value = stop + 1
             if is_array:
-                where = path
-            elif self.leaves is None:
-                where = ""
+                name, key, where = None, None, path
             else:
-                plain = name.isascii() and name.replace("_", "a").isalnum() and not name[0].isdigit()
-                where = f"{path}.{name}" if plain else f'{path}."{name}"'
-            pos = stop + 1
+                raw = buf[pos + 1:stop]
+                name, key = names.get(raw) or self._name(raw)
+                where = path
+                if leaves is not None:
+                    odd = "." in name or " " in name
+                    where = f'{path}."{name}"' if odd else f"{path}.{name}"
             if code == 3 or code == 4:
-                if self.leaves is not None:
-                    self._leaf(where, name, is_array, len(items), "object" if code == 3 else "array", None, inside)
-                text, pos = self._container(buf, pos, code == 4, where, inside, False)
-                plain_value = text
+                if leaves is not None:
+                    leaves.append(_leaf(where, name, len(items), "object" if code == 3 else "array", None, in_array or is_array))
+                text, pos = self.container(buf, pos_value, code == 4, where, in_array or is_array, False)
+                plain = text
             else:
-                text, plain_value, kind, pos = self._scalar(code, buf, pos)
-                if self.leaves is not None:
-                    value = None if kind is None else plain_value
-                    self._leaf(where + "[*]" if is_array else where, name, is_array, len(items), kind, value, inside)
-                if code == 7 and name == "_id" and not is_array and self.oid is None:
-                    self.oid = plain_value
+                reader = readers.get(code)
+                if reader is None:
+                    raise BsonError(f"unknown element type {code}")
+                text, plain, kind, pos = reader(buf, pos_value)
+                if leaves is not None:
+                    value = None if kind is None else plain
+                    at = where + "[*]" if is_array else where
+                    leaves.append(_leaf(at, name, len(items), kind, value, in_array or is_array))
             if is_array:
                 items.append(text)
             else:
-                if name in fields and not self.allow_duplicates:
+                if key in fields and not self.allow_duplicates:
                     raise BsonError(f"duplicate key {name!r}")
-                fields[name] = text
-                if root and name == "_id":
-                    self.root_id = None if text == "null" else plain_value
+                fields[key] = text
+                if name == "_id":
+                    if code == 7 and self.oid is None:
+                        self.oid = plain
+                    if root:
+                        self.root_id = None if text == "null" else plain
+            code = buf[pos]
         if pos != end - 1:
             raise BsonError("container ends early")
         if is_array:
             return "[" + ",".join(items) + "]", end
-        return "{" + ",".join([quote(k) + ":" + v for k, v in fields.items()]) + "}", end
-
-    def _leaf(self, path, name, is_array, position, kind, value, inside):
-        self.leaves.append(
-            {
-                "path": path, "key": None if is_array else name, "pos": position if is_array else None,
-                "type": kind, "integral": kind == "number" and value.lstrip("-").isdigit(),
-                "value": value, "in_array": inside,
-            }
-        )
-
-    @staticmethod
-    def _scalar(code, buf, pos):
-        """``(JSON text, plain text, guide type, next position)``."""
-        size = FIXED.get(code)
-        if size is not None and pos + size >= len(buf):
-            raise BsonError("value out of range")
-        if code == 2 or code == 14:
-            value, stop = _text(buf, pos)
-            return quote(value), value, "string", stop
-        if code == 16:
-            value = str(I32(buf, pos)[0])
-            return value, value, "number", pos + 4
-        if code == 18:
-            value = str(I64(buf, pos)[0])
-            return value, value, "number", pos + 8
-        if code == 1:
-            number = F64(buf, pos)[0]
-            if number - number == 0.0:
-                value = repr(number)
-                return value, value, "double", pos + 8
-            value = "NaN" if number != number else "Infinity" if number > 0 else "-Infinity"
-            return quote(value), value, "double", pos + 8
-        if code == 7:
-            value = buf[pos:pos + 12].hex()
-            return f'"{value}"', value, "string", pos + 12
-        if code == 8:
-            value = "true" if buf[pos] == 1 else "false"
-            return value, value, "boolean", pos + 1
-        if code == 9:
-            value = _millis(I64(buf, pos)[0])
-            return quote(value), value, "timestamp", pos + 8
-        if code == 10 or code == 6:
-            return "null", "null", None, pos
-        if code == 19:
-            value = decimal128(*U64X2(buf, pos))
-            return _decimal_json(value), value, "number", pos + 16
-        if code == 5:
-            n, subtype = I32(buf, pos)[0], buf[pos + 4]
-            stop = pos + 5 + n
-            if n < 0 or stop >= len(buf):
-                raise BsonError("binary length out of range")
-            raw = buf[pos + 5:stop]
-            if subtype == 3 and n == 16:
-                value = _uuid_legacy(raw)
-                return quote(value), value, "string", stop
-            value = raw.hex().upper()
-            return quote(value), value, "binary", stop
-        if code == 13:
-            body, stop = _text(buf, pos)
-            value = '{"$code":' + quote(body) + "}"
-        elif code == 11:
-            cut = buf.index(0, pos)
-            stop = buf.index(0, cut + 1) + 1
-            pattern, options = buf[pos:cut].decode(), buf[cut + 1:stop - 1].decode()
-            value = '{"$regularExpression":{"pattern":' + quote(pattern) + ',"options":' + quote(options) + "}}"
-        elif code == 17:
-            i, t = U32X2(buf, pos)
-            stop, value = pos + 8, f'{{"$timestamp":{{"t":{t},"i":{i}}}}}'
-        elif code == 127 or code == 255:
-            stop, value = pos, '{"$maxKey":1}' if code == 127 else '{"$minKey":1}'
-        elif code == 12:
-            ref, stop = _text(buf, pos)
-            value = '{"$dbPointer":{"$ref":' + quote(ref) + ',"$id":"' + buf[stop:stop + 12].hex() + '"}}'
-            stop += 12
-        elif code == 15:
-            body, after = _text(buf, pos + 4)
-            stop = pos + I32(buf, pos)[0]
-            scope, _ = Decoder()._plain(buf, after)
-            value = '{"$code":' + quote(body) + ',"$scope":' + scope + "}"
-        else:
-            raise BsonError(f"unknown element type {code}")
-        return quote(value), value, "string", stop
+        return "{" + ",".join([k + v for k, v in fields.items()]) + "}", end
+
 
-    def _plain(self, buf, pos):
-        self.leaves = self.oid = self.root_id = None
-        return self._container(buf, pos, False, "$", False, False)
+def _leaf(path, name, position, kind, value, inside):
+    return {
+        "path": path, "key": name, "pos": position if name is None else None, "type": kind,
+        "integral": kind == "number" and value.lstrip("-").isdigit(), "value": value, "in_array": inside,
+    }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from doclake.operators.indexes import Key, array_view, tokens
+from doclake.operators.indexes import Key, array_view, token_rows
 from doclake.operators.shape import parse_docs
 
 
@@ -25,7 +25,7 @@ def start_text_sync(docs: DataFrame, out: str, checkpoint: str, text: str = "val
     The stream has no shuffle and no state: a document's tokens are cut and
     written in its own task, and the file sink commits each batch exactly once.
     """
-    hits = docs.select("id", F.explode(tokens(F.col(text))).alias("token"))
+    hits = token_rows(docs, text)
     writer = hits.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()

@@ -101,3 +101,21 @@ def test_files_are_bounded(spark, tmp_path):
     W.write_collection(spark.range(1000).coalesce(1), path, records_per_file=100)
     sizes = spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()
     assert len(sizes) == 10 and all(r["count"] == 100 for r in sizes)
+
+
+def test_range_predicates_tile_everything(spark):
+    df = spark.range(1000).select(F.when(F.col("id") % 10 != 0, F.col("id") * 3).alias("k"))
+    plan = B.bucket_plan(df, "k", cap=100)
+    conditions = B.range_predicates("k", plan, 7)
+    assert 2 <= len(conditions) <= 8
+    assert sum(df.filter(c).count() for c in conditions) == 1000
+    assert B.range_predicates("k", None, 7) == ["k IS NULL"]
+
+
+def test_estimated_index_stats(spark):
+    from doclake.operators.indexes import index_stats
+
+    df = spark.range(1000).select((F.col("id") % 7).alias("a"), F.col("id").alias("b.c"))
+    exact = {r["column"]: r["n_distinct"] for r in index_stats(df, ["a", "b.c"]).collect()}
+    rough = {r["column"]: r["n_distinct"] for r in index_stats(df, ["a", "b.c"], exact=False).collect()}
+    assert exact == {"a": 7, "b.c": 1000} and rough["a"] == 7 and 850 < rough["b.c"] < 1150
