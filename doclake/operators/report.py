@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from doclake.functions.ids import index_table_name, percent_of
+from doclake.runtime import stored
 
 
 def doc_count(df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
@@ -66,46 +70,68 @@ def size_rollup(segments: DataFrame, owners: DataFrame) -> DataFrame:
 # --- running values over long counters -------------------------------------------------
 
 
-def _carry(per_bucket: DataFrame, keys: list[str], bucket: str, aggs: dict[str, Column]) -> DataFrame:
-    """Aggregates over all earlier buckets of a key: one row per bucket, so the window is short."""
-    before = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    return per_bucket.select(*keys, bucket, *[c.over(before).alias(n) for n, c in aggs.items()])
+def _ranged(df: DataFrame, keys: list[str], order: list[str], partitions: int | None) -> DataFrame:
+    """Rows cut into contiguous ranges of (keys, order), numbered ``_b`` in that order.
+
+    The ranges hold about equally many rows whatever the keys and times are, so
+    neither a hot key nor many rows at one instant make a large group. Written
+    out, because every later step must see the same cut.
+    """
+    by = [*keys, *order]
+    placed = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
+    return stored(placed.withColumn("_b", F.spark_partition_id()), "ranges")
+
+
+def _carry(per_range: DataFrame, keys: list[str], aggs: dict[str, Column]) -> DataFrame:
+    """Aggregates over all earlier ranges of a key: one row per range, so the window is short."""
+    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    return per_range.select(*keys, "_b", *[c.over(before).alias(n) for n, c in aggs.items()])
 
 
-def running_sum(df: DataFrame, keys: list[str], order: list[str], bucket: Column, value: Column, out: str) -> DataFrame:
-    """Cumulative sum per key that never puts a whole key into one task.
+def _with_carry(rows: DataFrame, carried: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows joined to the state carried into their range; a null key is a key like any other."""
+    on = [*keys, "_b"]
+    right = carried.withColumnsRenamed({k: f"_j_{k}" for k in on})
+    same = reduce(and_, [rows[k].eqNullSafe(right[f"_j_{k}"]) for k in on])
+    return rows.join(right, same).drop(*[f"_j_{k}" for k in on])
 
-    Rows are summed inside buckets of the order axis; totals of earlier buckets
-    are carried in. ``bucket`` must grow with ``order``.
+
+def running_sum(
+    df: DataFrame, keys: list[str], order: list[str], value: Column, out: str, partitions: int | None = None
+) -> DataFrame:
+    """Cumulative sum per key in a total order, without putting a whole key into one task.
+
+    Rows are summed inside ranges of the order; totals of earlier ranges are
+    carried in.
     """
-    b = df.withColumn("_b", bucket).withColumn("_x", value)
-    totals = b.groupBy(*keys, "_b").agg(F.sum("_x").alias("_t"))
-    carried = _carry(totals, keys, "_b", {"_c": F.sum("_t")})
+    rows = _ranged(df.withColumn("_x", value), keys, order, partitions)
+    totals = rows.groupBy(*keys, "_b").agg(F.sum("_x").alias("_t"))
+    carried = _carry(totals, keys, {"_c": F.sum("_t")})
     inside = Window.partitionBy(*keys, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    summed = b.withColumn("_s", F.sum("_x").over(inside))
-    return summed.join(carried, [*keys, "_b"]).withColumn(
+    summed = rows.withColumn("_s", F.sum("_x").over(inside))
+    return _with_carry(summed, carried, keys).withColumn(
         out, F.col("_s") + F.coalesce("_c", F.lit(0))
     ).drop("_b", "_x", "_s", "_c")
 
 
-def counter_rate(df: DataFrame, counter: str, ts: str, value: str, tie: str, bucket_seconds: int = 86_400) -> DataFrame:
+def counter_rate(
+    df: DataFrame, counter: str, ts: str, value: str, tie: str, partitions: int | None = None
+) -> DataFrame:
     """MiB per second between samples of a cumulative counter, and the running maximum.
 
     Null for the first two samples and when no time passed. A counter that went
-    back shows its negative rate but never raises the maximum. Works in time
-    buckets with carried-in state, so one long counter is many tasks.
+    back shows its negative rate but never raises the maximum. Works in ranges
+    with carried-in state, so one long counter is many tasks.
     """
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    b = df.select(
-        F.col(counter), F.col(ts), F.col(value), F.col(tie), micros.alias("_us"),
-        F.floor(micros / F.lit(bucket_seconds * 1_000_000)).cast("bigint").alias("_b"),
-    )
+    samples = df.select(counter, ts, value, tie, micros.alias("_us"))
+    b = _ranged(samples, [counter], ["_us", tie], partitions)
     last = F.max(F.struct("_us", tie, value)).alias("_last")
     per = b.groupBy(counter, "_b").agg(F.count(F.lit(1)).alias("_n"), last)
-    carried = _carry(per, [counter], "_b", {"_seen": F.sum("_n"), "_prev": F.max("_last")})
-    # Keep the carried sample apart from rows of this bucket: it is the lag of the first row only.
+    carried = _carry(per, [counter], {"_seen": F.sum("_n"), "_prev": F.max("_last")})
+    # The carried sample precedes the first row of a range only.
     inside = Window.partitionBy(counter, "_b").orderBy("_us", tie)
-    rows = b.join(carried, [counter, "_b"]).select(
+    rows = _with_carry(b, carried, [counter]).select(
         "*",
         F.row_number().over(inside).alias("_r"),
         F.lag("_us").over(inside).alias("_lus"),
@@ -119,9 +145,9 @@ def counter_rate(df: DataFrame, counter: str, ts: str, value: str, tie: str, buc
     # The maximum is carried the same way; only non-negative rates take part.
     peak = F.when(F.col("rate") >= 0, F.col("rate"))
     tops = rows.groupBy(counter, "_b").agg(F.max(peak).alias("_m"))
-    top_before = _carry(tops, [counter], "_b", {"_m": F.max("_m")})
+    top_before = _carry(tops, [counter], {"_m": F.max("_m")})
     running = F.max(peak).over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    return rows.withColumn("_run", running).join(top_before, [counter, "_b"]).select(
+    return _with_carry(rows.withColumn("_run", running), top_before, [counter]).select(
         counter, ts, value, tie, "rate", F.greatest("_run", "_m").alias("max_rate")
     )
 

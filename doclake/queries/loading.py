@@ -306,7 +306,7 @@ def _counter(spark, sf) -> DataFrame:
     e = table(spark, sf, "events").select(
         "event_type", "ts", "event_id", (F.round(F.col("value") * 100).cast("bigint") * 1_000_000).alias("step")
     )
-    return R.running_sum(e, ["event_type"], ["ts", "event_id"], F.floor(seconds("ts") / 86_400), F.col("step"), "total")
+    return R.running_sum(e, ["event_type"], ["ts", "event_id"], F.col("step"), "total")
 
 
 @query("running_sum", f"WITH {COUNTER} SELECT event_type, event_id, total FROM c")

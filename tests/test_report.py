@@ -45,22 +45,29 @@ def test_bucket_counts(spark):
     assert B.bucket_counts(df.limit(0), "k").count() == 0
 
 
-@pytest.mark.parametrize("bucket_seconds", [1, 3, 1000])
-def test_counter_with_reset(spark, bucket_seconds):
+@pytest.mark.parametrize("partitions", [None, 1, 3, 9])
+def test_counter_with_reset(spark, partitions):
     mb = 1 << 20
     values = [0, 10 * mb, 30 * mb, 31 * mb, 5 * mb, 7 * mb, 107 * mb, 107 * mb]
     times = [0, 1, 3, 4, 5, 6, 7, 7]
     rows = [("c", f"2024-01-01 00:00:0{t}", v, i) for i, (t, v) in enumerate(zip(times, values))] + [("d", "2024-01-01", 5, 0)]
     df = spark.createDataFrame(rows, "c string, ts string, v bigint, i int").withColumn("ts", F.col("ts").cast("timestamp"))
-    got = R.counter_rate(df, "c", "ts", "v", "i", bucket_seconds).orderBy("c", "i").collect()
+    got = R.counter_rate(df, "c", "ts", "v", "i", partitions).orderBy("c", "i").collect()
     assert [r["rate"] for r in got] == [None, None, 10.0, 1.0, -26.0, 2.0, 100.0, None, None]
     assert [r["max_rate"] for r in got] == [None, None, 10.0, 10.0, 10.0, 10.0, 100.0, 100.0, None]
 
 
 def test_running_sum(spark):
-    df = spark.range(100).select("id", (F.col("id") % 2).alias("k"))
-    got = R.running_sum(df, ["k"], ["id"], F.floor(F.col("id") / 7), F.col("id"), "s").collect()
-    assert all(r["s"] == sum(i for i in range(r["id"] + 1) if i % 2 == r["k"]) for r in got)
+    df = spark.range(100).select("id", F.when(F.col("id") % 2 == 1, 1).alias("k"))  # a null key too
+    got = R.running_sum(df, ["k"], ["id"], F.col("id"), "s", 7).collect()
+    assert all(r["s"] == sum(i for i in range(r["id"] + 1) if i % 2 == (r["k"] or 0)) for r in got)
+    assert len(got) == 100
+
+
+def test_rows_at_one_instant_spread(spark):
+    df = spark.range(20_000).select("id", F.lit("hot").alias("k"), F.lit(0).alias("t"))
+    parts = R._ranged(df, ["k"], ["t", "id"], 8).groupBy("_b").count().collect()
+    assert len(parts) == 8 and max(r["count"] for r in parts) < 6_000
 
 
 def test_progress_and_ratio_of_nothing(spark):
