@@ -19,7 +19,7 @@ from doclake.operators.shape import parse_docs, with_system_columns
 from doclake.operators.sinks import codec, read_collection
 from doclake.plans.index_plan import index_keys, index_plan
 from doclake.runtime import stored
-from doclake.sources.dump import BLOCK_BYTES, dump_catalog, dump_metadata, read_bson
+from doclake.sources.dump import BLOCK_BYTES, dump_catalog, dump_metadata, read_bson_and_parts
 
 LOG = logging.getLogger(__name__)
 # The schema is stated so that a collection named `007` stays text.
@@ -61,8 +61,8 @@ def _load(spark, source, dest, names, if_exists, sample, level, block_bytes) ->
     todo = [n for n in names if n not in skipped]
     if not todo:
         return [], skipped, None
-    staged = stored(read_bson(spark, source, todo, leaves=True, block_bytes=block_bytes, sample=sample), "staged")
-    good = with_system_columns(staged.filter("error is null")).select(
+    staged = stored(read_bson_and_parts(spark, source, todo, block_bytes=block_bytes, sample=sample), "staged")
+    good = with_system_columns(staged.filter("doc is not null")).select(
         "collection", F.coalesce("id", F.uuid()).alias("id"), "version", "doc", "bson_len", "last_modified", "created_on"
     )
     good.write.mode("overwrite").options(**codec(level)).options(**DYNAMIC).partitionBy("collection").parquet(documents_path(dest))
@@ -143,10 +143,15 @@ def run(
 
     docs = read_documents(spark, dest, result.loaded)
     if staged is not None:
-        flat = G.flatten_leaves(staged.filter("error is null"), ("collection",))
+        # Schema facts came out of the same pass that decoded the records.
+        parts = staged.filter("parts is not null")
+        guide = G.merge_parts(parts, ("collection",))
+        chars = parts.select("collection", F.inline("parts")).groupBy("collection").agg(F.sum("key_chars").alias("key_chars"))
     else:
         flat = G.flatten(parse_docs(docs), None, ("collection",))
-    guide = stored(G.guide_of(flat, ("collection",)), "guide")
+        guide = G.guide_of(flat, ("collection",))
+        chars = flat.groupBy("collection").agg(F.sum(F.length(F.coalesce("key", F.lit("")))).alias("key_chars"))
+    guide = stored(guide, "guide")
     guide.write.mode("overwrite").options(**DYNAMIC).partitionBy("collection").parquet(f"{dest}/guide")
     metadata = select_collections(dump_metadata(spark, source), result.loaded)
     plan = stored(index_plan(index_keys(metadata), guide, multivalue), "plan")
@@ -184,7 +189,6 @@ def run(
         F.count(F.lit(1)).alias("n_docs"), F.sum("bson_len").alias("n_bytes"),
         F.sum(F.octet_length("doc")).alias("target_bytes"),
     )
-    chars = flat.groupBy("collection").agg(F.sum(F.length(F.coalesce("key", F.lit("")))).alias("key_chars"))
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
     listed = files.load(documents_path(dest)).select("path", "length")
     tables = listed.groupBy(F.url_decode(F.regexp_extract("path", "/collection=([^/]*)/", 1)).alias("collection")).agg(

@@ -126,9 +126,18 @@ def flatten(
 
 def flatten_leaves(df: DataFrame, keep: tuple[str, ...] = ("id",), leaves: str = "leaves") -> DataFrame:
     """Same rows from the typed ``leaves`` of decoded binary records: keeps timestamps and binaries."""
-    return df.select(
-        *keep, F.monotonically_increasing_id().alias("_doc"), F.inline(leaves)
-    ).filter(F.col("key").isNotNull() | F.col("path").endswith("[*]"))
+    # Numbered in a step of its own: next to the generator it would number the leaves.
+    numbered = df.select(*keep, F.monotonically_increasing_id().alias("_doc"), leaves)
+    rows = numbered.select(*keep, "_doc", F.inline(leaves))
+    return rows.filter(F.col("key").isNotNull() | F.col("path").endswith("[*]"))
+
+
+def _ordered(text: Column, gtype: Column) -> Column:
+    """Something that orders values of one type: numbers as numbers, all else as text."""
+    as_double = F.when(gtype.isin("number", "double"), text.try_cast("double"))
+    # Doubles stop telling whole numbers apart at 2^53; only those pay for an exact comparison.
+    exact = F.when(F.abs(as_double) >= float(1 << 53), text.try_cast("decimal(38,0)"))
+    return F.when(text.isNotNull(), F.struct(as_double.alias("n"), exact.alias("i"), text.alias("t")))
 
 
 def guide_of(rows: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
@@ -139,14 +148,8 @@ def guide_of(rows: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     of 32768 that are complete after the map-side aggregate. Only paths below
     an array need them; any other path occurs once per document.
     """
-    text = F.col("value")
-    number = F.col("type").isin("number", "double")
-    as_double = F.when(number, text.try_cast("double"))
-    # Doubles stop telling whole numbers apart at 2^53; only those pay for an exact comparison.
-    exact = F.when(F.abs(as_double) >= float(1 << 53), text.try_cast("decimal(38,0)"))
-    ordered = F.struct(as_double.alias("n"), exact.alias("i"), text.alias("t"))
-    comparable = F.when(text.isNotNull(), ordered)
-    doc = F.col("_doc")
+    text, doc = F.col("value"), F.col("_doc")
+    comparable = _ordered(text, F.col("type"))
     partial = rows.groupBy(
         *by, "path", "type", "in_array",
         F.when(F.col("in_array"), F.bitmap_bucket_number(doc)).alias("_bucket"),
@@ -168,6 +171,19 @@ def guide_of(rows: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
+def merge_parts(parts: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Guide from the schema facts that dump readers hand out per block (column ``parts``)."""
+    rows = parts.select(*by, F.inline("parts"))
+    return rows.groupBy(*by, "path", "type").agg(
+        F.max("length").alias("length"),
+        F.min(_ordered(F.col("low"), F.col("type")))["t"].alias("low"),
+        F.max(_ordered(F.col("high"), F.col("type")))["t"].alias("high"),
+        F.sum("n_docs").alias("n_docs"),
+        F.sum("n_values").alias("n_values"),
+        F.min("integral").alias("integral"),
+    )
+
+
 def data_guide(
     df: DataFrame,
     limit: int | None = None,

@@ -127,19 +127,32 @@ def read_bson_gz(spark, sf):
     return _orders_back(D.read_bson(spark, order_dump(spark, sf, gz=True)))
 
 
-@query("decode_bson", """
+DECODED = """
 SELECT '$._id' AS path, 'number' AS type, count(*) AS n, min(o_orderkey)::VARCHAR AS sample FROM orders
 UNION ALL SELECT '$.custkey', 'number', count(*), NULL FROM orders
 UNION ALL SELECT '$.status', 'string', count(*), min(o_orderstatus) FROM orders
 UNION ALL SELECT '$.total', 'double', count(*), NULL FROM orders
 UNION ALL SELECT '$.date', 'timestamp', count(*), strftime(min(o_orderdate), '%Y-%m-%dT%H:%M:%S.000Z') FROM orders
 UNION ALL SELECT '$.priority', 'string', count(*), min(o_orderpriority) FROM orders
-""")
+"""
+
+
+def _shown(guide: DataFrame) -> DataFrame:
+    shown = F.col("path").isin("$._id", "$.status", "$.date", "$.priority")
+    return guide.select("path", "type", F.col("n_docs").alias("n"), F.when(shown, F.col("low")).alias("sample"))
+
+
+@query("decode_bson", DECODED)
 def decode_bson(spark, sf):
     rows = D.read_bson(spark, order_dump(spark, sf), leaves=True, block_bytes=BLOCK)
     guide = G.guide_of(G.flatten_leaves(rows, ()))
-    shown = F.col("path").isin("$._id", "$.status", "$.date", "$.priority")
-    return guide.select("path", "type", F.col("n_docs").alias("n"), F.when(shown, F.col("low")).alias("sample"))
+    return _shown(guide)
+
+
+@query("guide_while_loading", DECODED)
+def guide_while_loading(spark, sf):
+    rows = D.read_bson_and_parts(spark, order_dump(spark, sf), block_bytes=BLOCK)
+    return _shown(G.merge_parts(rows.filter("parts is not null")))
 
 
 @query("load_counters", f"""

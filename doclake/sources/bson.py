@@ -337,3 +337,63 @@ def _leaf(path, name, position, kind, value, inside):
         "path": path, "key": name, "pos": position if name is None else None, "type": kind,
         "integral": kind == "number" and value.lstrip("-").isdigit(), "value": value, "in_array": inside,
     }
+
+
+class GuideParts:
+    """Schema facts of the records of one task, summed up while they are decoded.
+
+    Rows per (path, type), to be merged by ``guide.merge_parts``; far smaller than
+    the leaves themselves.
+    """
+
+    def __init__(self):
+        self.rows: dict[tuple[str, str | None], list] = {}
+
+    def add(self, leaves: list[dict]) -> None:
+        seen = set()
+        for leaf in leaves:
+            path, kind, text, name = leaf["path"], leaf["type"], leaf["value"], leaf["key"]
+            if name is None and not path.endswith("[*]"):
+                continue  # an object or array inside an array is no guide row
+            at = path, kind
+            row = self.rows.get(at)
+            if row is None:
+                # length, low, high (each comparable, text), documents, values, integral, name characters
+                row = self.rows[at] = [None, None, None, 0, 0, True, 0]
+            if at not in seen:
+                seen.add(at)
+                row[3] += 1
+            row[4] += 1
+            row[5] = row[5] and leaf["integral"]
+            if name is not None:
+                row[6] += len(name)
+            if text is not None:
+                size = len(text) if text.isascii() else len(text.encode("utf-8", "replace"))
+                if row[0] is None or size > row[0]:
+                    row[0] = size
+                low, high = row[1], row[2]
+                value = (_comparable(text), text) if kind in ("number", "double") else (0, text)
+                if low is None or value < low:
+                    row[1] = value
+                if high is None or value > high:
+                    row[2] = value
+
+    def take(self) -> list[dict]:
+        out = [
+            {
+                "path": path, "type": kind, "length": r[0], "low": r[1] and r[1][1], "high": r[2] and r[2][1],
+                "n_docs": r[3], "n_values": r[4], "integral": r[5], "key_chars": r[6],
+            }
+            for (path, kind), r in self.rows.items()
+        ]
+        self.rows = {}
+        return out
+
+
+def _comparable(text: str):
+    """A number's text as something that orders like the number; not-a-number above all."""
+    try:
+        return int(text)
+    except ValueError:
+        number = float(text)
+        return number if number == number else float("inf")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from doclake.plans.index_plan import parse_metadata
 from doclake.runtime import open_path, ship_package, stored
-from doclake.sources.bson import FIXED, I32, MIN_RECORD, BsonError, Decoder, well_formed
+from doclake.sources.bson import FIXED, I32, MIN_RECORD, BsonError, Decoder, GuideParts, well_formed
 
 BLOCK_BYTES = 128 << 20
 WINDOW = 1 << 20
@@ -38,14 +38,22 @@ LEAF = pa.struct(
     [("path", pa.string()), ("key", pa.string()), ("pos", pa.int32()), ("type", pa.string()),
      ("integral", pa.bool_()), ("value", pa.string()), ("in_array", pa.bool_())]
 )
+PART = pa.struct(
+    [("path", pa.string()), ("type", pa.string()), ("length", pa.int64()), ("low", pa.string()), ("high", pa.string()),
+     ("n_docs", pa.int64()), ("n_values", pa.int64()), ("integral", pa.bool_()), ("key_chars", pa.int64())]
+)
+MAX_PARTS = 50_000
 RECORD_ARROW = pa.schema(
     [("file", pa.string()), ("offset", pa.int64()), ("bson_len", pa.int64()), ("id", pa.string()),
-     ("oid", pa.string()), ("doc", pa.string()), ("leaves", pa.list_(LEAF)), ("error", pa.string())]
+     ("oid", pa.string()), ("doc", pa.string()), ("leaves", pa.list_(LEAF)), ("error", pa.string()),
+     ("parts", pa.list_(PART))]
 )
 RECORD = (
     "file string, offset bigint, bson_len bigint, id string, oid string, doc string, "
     "leaves array<struct<path:string,key:string,pos:int,type:string,integral:boolean,value:string,in_array:boolean>>, "
-    "error string"
+    "error string, "
+    "parts array<struct<path:string,type:string,length:bigint,low:string,high:string,n_docs:bigint,n_values:bigint,"
+    "integral:boolean,key_chars:bigint>>"
 )
 
 
@@ -229,38 +237,60 @@ def bson_blocks(spark: SparkSession, files: DataFrame, block_bytes: int = BLOCK_
         plan = stored(settled.filter("not wrong").drop("wrong", "due").unionByName(again), "bson-blocks")
 
 
-def _record_batch(rows: list[dict]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pylist(rows, RECORD_ARROW)
-
-
-def _decoded(decoder: Decoder, file: str, offset: int, raw: bytes) -> dict:
-    row = {"file": file, "offset": offset, "bson_len": len(raw)}
-    try:
-        row["doc"], row["id"], row["oid"], row["leaves"] = decoder.decode(raw)
-    except BsonError as e:
-        row["error"] = str(e)
-    return row
-
-
-def _block_reader(leaves: bool, allow_duplicate_keys: bool):
+class _Records:
+    """Decodes raw records of one task into Arrow batches."""
+
+    def __init__(self, output: str, allow_duplicate_keys: bool):
+        self.decoder = Decoder(output != "docs", allow_duplicate_keys)
+        self.keep_leaves = output == "leaves"
+        self.parts = GuideParts() if output == "parts" else None
+        self.rows: list[dict] = []
+
+    def add(self, file: str, offset: int, raw: bytes) -> None:
+        row = {"file": file, "offset": offset, "bson_len": len(raw)}
+        try:
+            row["doc"], row["id"], row["oid"], leaves = self.decoder.decode(raw)
+        except BsonError as e:
+            row["error"] = str(e)
+        else:
+            if self.keep_leaves:
+                row["leaves"] = leaves
+            elif self.parts is not None:
+                self.parts.add(leaves)
+                if len(self.parts.rows) > MAX_PARTS:
+                    self.end(file)
+        self.rows.append(row)
+
+    def fail(self, file: str, offset: int, n_bytes: int | None, error: str) -> None:
+        self.rows.append({"file": file, "offset": offset, "bson_len": n_bytes, "error": error})
+
+    def end(self, file: str) -> None:
+        """After a block or file: what was learned about its schema becomes one row."""
+        if self.parts is not None and self.parts.rows:
+            self.rows.append({"file": file, "parts": self.parts.take()})
+
+    def batches(self, least: int) -> Iterator[pa.RecordBatch]:
+        if self.rows and len(self.rows) >= least:
+            yield pa.RecordBatch.from_pylist(self.rows, RECORD_ARROW)
+            self.rows = []
+
+
+def _block_reader(output: str, allow_duplicate_keys: bool):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(leaves, allow_duplicate_keys)
+        records = _Records(output, allow_duplicate_keys)
         for batch in batches:
             for block in batch.to_pylist():
-                reader = _Reader(block["path"], block["size"])
-                rows, pos = [], block["start"]
+                reader, path, pos = _Reader(block["path"], block["size"]), block["path"], block["start"]
                 for _ in range(block["n_docs"]):
                     n = reader.record_length(pos)
                     buf, i = reader.window(pos, n)
-                    rows.append(_decoded(decoder, block["path"], pos, buf[i:i + n]))
+                    records.add(path, pos, buf[i:i + n])
                     pos += n
-                    if len(rows) == BATCH:
-                        yield _record_batch(rows)
-                        rows = []
+                    yield from records.batches(BATCH)
                 if block["error"]:
-                    rows.append({"file": block["path"], "offset": pos, "bson_len": block["size"] - pos, "error": block["error"]})
-                if rows:
-                    yield _record_batch(rows)
+                    records.fail(path, pos, block["size"] - pos, block["error"])
+                records.end(path)
+        yield from records.batches(1)
 
     return read
 
@@ -296,22 +326,19 @@ def gz_records(path: str) -> Iterator[tuple[int, bytes | None, str | None]]:
         pending = pending[at:]
 
 
-def _gz_reader(leaves: bool, allow_duplicate_keys: bool, sample: int | None):
+def _gz_reader(output: str, allow_duplicate_keys: bool, sample: int | None):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(leaves, allow_duplicate_keys)
+        records = _Records(output, allow_duplicate_keys)
         for batch in batches:
             for path in batch.column("path").to_pylist():
-                rows = []
                 for offset, raw, error in islice(gz_records(path), sample):
                     if raw is None:
-                        rows.append({"file": path, "offset": offset, "error": error})
+                        records.fail(path, offset, None, error)
                     else:
-                        rows.append(_decoded(decoder, path, offset, raw))
-                    if len(rows) == BATCH:
-                        yield _record_batch(rows)
-                        rows = []
-                if rows:
-                    yield _record_batch(rows)
+                        records.add(path, offset, raw)
+                    yield from records.batches(BATCH)
+                records.end(path)
+        yield from records.batches(1)
 
     return read
 
@@ -334,6 +361,32 @@ def read_bson(
     are then dealt out over all cores for the work that follows. ``sample`` reads
     the first records of every file; blocks behind them are not opened.
     """
+    if on_error not in ("null", "fail"):
+        raise ValueError(f"unknown on_error {on_error!r}: null or fail")
+    output = "leaves" if leaves else "docs"
+    rows = _read(spark, folder, collections, output, allow_duplicate_keys, block_bytes, sample).drop("parts")
+    if on_error == "fail":
+        stop = F.raise_error(F.concat(F.col("file"), F.lit(": "), F.col("error"))).cast("string")
+        rows = rows.withColumn("error", F.when(F.col("error").isNotNull(), stop))
+    return rows
+
+
+def read_bson_and_parts(
+    spark: SparkSession,
+    folder: str,
+    collections: list[str] | None = None,
+    allow_duplicate_keys: bool = False,
+    block_bytes: int = BLOCK_BYTES,
+    sample: int | None = None,
+) -> DataFrame:
+    """Records and, in extra rows with ``parts`` set, the schema facts of each block: one decoding pass for both."""
+    return _read(spark, folder, collections, "parts", allow_duplicate_keys, block_bytes, sample).drop("leaves")
+
+
+def _read(
+    spark: SparkSession, folder: str, collections: list[str] | None, output: str, allow_duplicate_keys: bool,
+    block_bytes: int, sample: int | None,
+) -> DataFrame:
     files = dump_catalog(spark, folder)
     if collections:
         files = files.filter(F.col("collection").isin(list(collections)))
@@ -345,24 +398,18 @@ def read_bson(
         blocks = blocks.withColumn("left", left).filter("left > 0").withColumns(
             {"n_docs": F.least("n_docs", "left"), "error": F.when(F.col("left") > F.col("n_docs"), F.col("error"))}
         ).drop("left")
-    rows = blocks.repartition(_block_tasks(spark, blocks)).mapInArrow(_block_reader(leaves, allow_duplicate_keys), RECORD)
+    rows = blocks.repartition(_block_tasks(spark, blocks)).mapInArrow(_block_reader(output, allow_duplicate_keys), RECORD)
     n_packed = packed.count()
     if n_packed:
         cores = spark.sparkContext.defaultParallelism
         from_gz = (
             packed.select("path").repartition(min(n_packed, MAX_TASKS))
-            .mapInArrow(_gz_reader(leaves, allow_duplicate_keys, sample), RECORD)
+            .mapInArrow(_gz_reader(output, allow_duplicate_keys, sample), RECORD)
             .repartition(max(cores, n_packed))
         )
         rows = rows.unionByName(from_gz)
     name = F.element_at(F.split("file", "/"), -1)
-    rows = rows.withColumn("collection", F.regexp_extract(name, NAME, 1))
-    if on_error == "fail":
-        stop = F.raise_error(F.concat(F.col("file"), F.lit(": "), F.col("error"))).cast("string")
-        rows = rows.withColumn("error", F.when(F.col("error").isNotNull(), stop))
-    elif on_error != "null":
-        raise ValueError(f"unknown on_error {on_error!r}: null or fail")
-    return rows.select("collection", *RECORD_ARROW.names)
+    return rows.select(F.regexp_extract(name, NAME, 1).alias("collection"), *RECORD_ARROW.names)
 
 
 def _offset_reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -150,3 +150,38 @@ def test_chunk_examples(spark):
 
 def test_buffer_clamp():
     assert [clamp_buffer_mb(n) for n in (1, 16, 128, 9999)] == [16, 16, 128, 2047]
+
+
+def test_guide_from_parts_equals_guide_from_leaves(spark, folder):
+    from doclake.operators import guide as G
+
+    names = ["plain", "zipped", "bad", "truncated"]
+    rows = D.read_bson(spark, str(folder[0]), names, leaves=True, block_bytes=3000)
+    want = G.guide_of(G.flatten_leaves(rows, ("collection",)), ("collection",)).collect()
+    staged = D.read_bson_and_parts(spark, str(folder[0]), names, block_bytes=3000)
+    got = G.merge_parts(staged.filter("parts is not null"), ("collection",)).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, want)) and len(got) > 8
+    assert staged.filter("doc is not null").count() == rows.filter("doc is not null").count()
+
+
+def test_many_paths_are_handed_out_early(spark, tmp_path, monkeypatch):
+    from doclake.operators import guide as G
+    from doclake.sources.bson import Decoder, GuideParts
+
+    docs = [encode({"m": {"k%d" % (n * 7 + k): k for k in range(5)}, "same": [1.5, -2.0, 10]}) for n in range(40)]
+    (tmp_path / "m.bson").write_bytes(b"".join(docs))
+    staged = D.read_bson_and_parts(spark, str(tmp_path))
+    guide = {r["path"]: r for r in G.merge_parts(staged.filter("parts is not null")).collect() if r["type"] != "number"}
+    assert guide["$.m"]["n_docs"] == 40 and guide["$.same[*]"]["n_values"] == 80
+    assert (guide["$.same[*]"]["low"], guide["$.same[*]"]["high"]) == ("-2.0", "1.5")
+    monkeypatch.setattr(D, "MAX_PARTS", 20)
+    records = D._Records("parts", False)
+    for raw in docs:
+        records.add("f", 0, raw)
+    records.end("f")
+    handed = [r["parts"] for r in records.rows if "parts" in r]
+    assert len(handed) > 5 and sum(p["n_docs"] for ps in handed for p in ps if p["path"] == "$.m") == 40
+    whole, decoder = GuideParts(), Decoder(leaves=True)
+    for raw in docs:
+        whole.add(decoder.decode(raw)[3])
+    assert sum(len(ps) for ps in handed) >= len(whole.rows)
