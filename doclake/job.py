@@ -176,7 +176,7 @@ def run(
             failures = [o for o in outcomes if o]
     if failures:
         bad = spark.createDataFrame(failures, "collection string, index_name string, reason string")
-        plan = plan.join(F.broadcast(bad), ["collection", "index_name"], "left").withColumns(
+        plan = plan.join(bad, ["collection", "index_name"], "left").withColumns(
             {
                 "status": F.when(F.col("reason").isNotNull(), "failed").otherwise(F.col("status")),
                 "reasons": F.when(F.col("reason").isNotNull(), F.array("reason")).otherwise(F.col("reasons")),

@@ -10,6 +10,7 @@ from the first byte, whatever the data holds.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import islice
 from urllib.parse import unquote
@@ -25,6 +26,7 @@ BLOCK_BYTES = 128 << 20
 WINDOW = 1 << 20
 BATCH = 2048
 MAX_TASKS = 100_000
+NOT_ZERO = re.compile(rb"[^\0]")
 KNOWN = frozenset(FIXED) | {2, 3, 4, 5, 11, 12, 13, 14, 15}
 # Fixed pattern: a collection file name, and the collection it holds.
 NAME = r"(?i)^(.*)\.bson(\.gz)?$"
@@ -158,6 +160,11 @@ class _Reader:
                 pos += len(buf) - i - 2
                 continue
             pos += zero - i - 3
+            if buf.startswith(b"\0\0\0\0", zero - 3):
+                # A run of zeros: no length is zero, so go on where the run ends.
+                end = NOT_ZERO.search(buf, zero)
+                pos += (end.start() if end else len(buf)) - zero
+                continue
             if pos < hi and self.plausible(pos):
                 return pos
             pos += 1
@@ -401,12 +408,12 @@ def _read(
     rows = blocks.repartition(_block_tasks(spark, blocks)).mapInArrow(_block_reader(output, allow_duplicate_keys), RECORD)
     n_packed = packed.count()
     if n_packed:
-        cores = spark.sparkContext.defaultParallelism
-        from_gz = (
-            packed.select("path").repartition(min(n_packed, MAX_TASKS))
-            .mapInArrow(_gz_reader(output, allow_duplicate_keys, sample), RECORD)
-            .repartition(max(cores, n_packed))
+        from_gz = packed.select("path").repartition(min(n_packed, MAX_TASKS)).mapInArrow(
+            _gz_reader(output, allow_duplicate_keys, sample), RECORD
         )
+        # Records with parts go to storage, which splits them by itself and keeps a collection's rows together.
+        if output != "parts":
+            from_gz = from_gz.repartition(max(spark.sparkContext.defaultParallelism, n_packed))
         rows = rows.unionByName(from_gz)
     name = F.element_at(F.split("file", "/"), -1)
     return rows.select(F.regexp_extract(name, NAME, 1).alias("collection"), *RECORD_ARROW.names)

@@ -19,7 +19,7 @@ def record(n, rnd):
     if kind < 0.25:
         return encode({"_id": n, "big": "y" * rnd.randrange(2000, 9000)})
     if kind < 0.3:
-        return encode({"_id": n, "zeros": bytes(rnd.randrange(400))})
+        return encode({"_id": n, "zeros": bytes(rnd.randrange(400)), "tail": rnd.randbytes(rnd.randrange(60))})
     return encode({"_id": n, "sub": [{"a": 1, "b": "t"}] * rnd.randrange(4)})
 
 
