@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 import tempfile
 import uuid
 import zipfile
@@ -19,7 +20,8 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach.
 
     The cluster names it in ``spark.checkpoint.dir``. Only where that is unset
-    (plain local sessions) a folder of our own is made.
+    and the master is local (one machine) a folder of our own is made; on a
+    cluster such a folder would be a different one on each executor, so that raises.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -27,6 +29,8 @@ def shared_dir(spark: SparkSession) -> str:
     existing = spark.sparkContext.getCheckpointDir()
     if existing:
         return existing.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     made = tempfile.mkdtemp(prefix="doclake-")
     spark.sparkContext.setCheckpointDir(made)
     return made
@@ -41,7 +45,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage and survives executor loss."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

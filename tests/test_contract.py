@@ -3,10 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry
+from doclake.queries.registry import ORACLES, QUERIES
 from tests.contract import compare, connect
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -106,3 +106,16 @@ def test_counts_are_stable_under_repartition(spark, source, tmp_path):
 
     rows = read_bson(spark, source, ["orders"], block_bytes=700).repartition(13)
     assert rows.agg(F.count("doc")).first()[0] == 200
+
+
+def test_no_folder_of_our_own_on_a_cluster():
+    from types import SimpleNamespace
+
+    from doclake.runtime import shared_dir
+
+    session = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: default),
+        sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://head:7077"),
+    )
+    with pytest.raises(RuntimeError):
+        shared_dir(session)
