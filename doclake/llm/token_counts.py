@@ -9,7 +9,9 @@ Null counts as the empty text: 0 bytes, 0 tokens. Repeated rows are counted each
 
 from __future__ import annotations
 
+import hashlib
 import json
+import re
 from collections.abc import Iterator
 from functools import partial
 from heapq import heapify, heappop, heappush
@@ -27,8 +29,12 @@ PRE_TOKEN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
-REMEMBERED = 1_000_000  # pre-tokens whose count a task remembers (memory only)
-LONG_WORD = 64  # longer pre-tokens are counted anew each time
+#: The characters with the Unicode property White_Space.
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Runs without white space and the space before, or white space: no pre-token crosses from one into the next.
+CHUNK = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
+REMEMBERED = 1_000_000  # chunks, and as many pre-tokens, whose count a task remembers (memory only)
+LONG_WORD = 64  # longer ones are counted anew each time
 
 
 def byte_symbols() -> list[str]:
@@ -82,16 +88,13 @@ def merged_count(symbols: list[str], ranks: dict[tuple[str, str], int]) -> int:
     return n - merges
 
 
-class TokenCounter(dict):
+class WordCounts(dict):
     """Counts of pre-tokens, filled as they are met."""
 
-    def __init__(self, merges: list[tuple[str, str]], special: list[str]):
+    def __init__(self, merges: list[tuple[str, str]]):
         super().__init__()
         self.ranks = {pair: rank for rank, pair in enumerate(merges)}
         self.symbols = byte_symbols()
-        self.pattern = regex.compile(PRE_TOKEN)
-        longest_first = sorted(special, key=len, reverse=True)
-        self.special = regex.compile("|".join(map(regex.escape, longest_first))) if special else None
 
     def __missing__(self, word: str) -> int:
         table = self.symbols
@@ -100,17 +103,39 @@ class TokenCounter(dict):
             self[word] = count
         return count
 
+
+class TokenCounter(dict):
+    """Counts of white-space-separated chunks, filled as they are met."""
+
+    def __init__(self, merges: list[tuple[str, str]], special: list[str]):
+        super().__init__()
+        self.words = WordCounts(merges)
+        self.pattern = regex.compile(PRE_TOKEN)
+        longest_first = sorted(special, key=len, reverse=True)
+        self.special = regex.compile("|".join(map(regex.escape, longest_first))) if special else None
+
+    def __missing__(self, chunk: str) -> int:
+        count = sum(map(self.words.__getitem__, matches(self.pattern, chunk)))
+        if len(chunk) <= LONG_WORD:
+            self[chunk] = count
+        return count
+
     def count(self, text: str) -> int:
-        if len(self) > REMEMBERED:
-            self.clear()
-        if self.special is None:
-            return sum(map(self.__getitem__, matches(self.pattern, text)))
-        pieces = self.special.split(text)
-        return len(pieces) - 1 + sum(sum(map(self.__getitem__, matches(self.pattern, p))) for p in pieces if p)
+        for known in (self, self.words):
+            if len(known) > REMEMBERED:
+                known.clear()
+        pieces = self.special.split(text) if self.special else [text]
+        return len(pieces) - 1 + sum(sum(map(self.__getitem__, matches(CHUNK, p))) for p in pieces if p)
+
+
+_held: dict[str, TokenCounter] = {}  # of this Python worker, which serves one task after another
 
 
-def _count(batches: Iterator[pa.RecordBatch], merges, special) -> Iterator[pa.RecordBatch]:
-    counter = TokenCounter(merges.value, special)
+def _count(batches: Iterator[pa.RecordBatch], name, merges, special) -> Iterator[pa.RecordBatch]:
+    if name not in _held:
+        _held.clear()
+        _held[name] = TokenCounter(merges.value, special)
+    counter = _held[name]
     for batch in batches:
         counts = [counter.count(t) if t else 0 for t in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays(
@@ -125,11 +150,12 @@ def count_tokens(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col
     The merge table is broadcast; its size is that of the vocabulary file, whatever the input.
     """
     merges, special = load_merges(path)
+    name = hashlib.sha256(repr((merges, special)).encode()).hexdigest()
     shared = docs.sparkSession.sparkContext.broadcast(merges)
     narrow = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(text_col).alias("text"),
         F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)).cast("long").alias("n_bytes"),
     )
-    counted = map_arrow(narrow, partial(_count, merges=shared, special=special), "doc_id long, n_bytes long, n_tokens long")
+    counted = map_arrow(narrow, partial(_count, name=name, merges=shared, special=special), "doc_id long, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
