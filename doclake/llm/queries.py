@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from doclake.llm import chat, token_counts
+from doclake.llm import chat, exact_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,3 +49,14 @@ def op4_chat_formatting(spark, sf):
 @query("op10_token_counts")
 def op10_token_counts(spark, sf):
     return token_counts.count_tokens(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op7_exact_dedup", """
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+  doc_id = max(doc_id) OVER w AS kept,
+  sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
+FROM documents
+WINDOW w AS (PARTITION BY translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))
+""")
+def op7_exact_dedup(spark, sf):
+    return exact_dedup.exact_duplicates(table(spark, sf, "documents"))
