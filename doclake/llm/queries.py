@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from doclake.llm import chat, exact_dedup, token_counts
+from doclake.llm import chat, exact_dedup, language_id, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -60,3 +60,8 @@ WINDOW w AS (PARTITION BY translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVW
 """)
 def op7_exact_dedup(spark, sf):
     return exact_dedup.exact_duplicates(table(spark, sf, "documents"))
+
+
+@query("op5_language_id")
+def op5_language_id(spark, sf):
+    return language_id.identify(table(spark, sf, "documents"))
