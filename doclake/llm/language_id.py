@@ -11,8 +11,8 @@ value were taken; n-grams of one hash share an entry. So the bound holds whateve
 
 Rejection is calibrated on the learning documents: of those that got their own language, the mean ``m`` of the
 cross-entropy and its spread ``s`` (of the deviation times the root of the length) are kept per language. A text is
-rejected if it deviates by more than ``z`` spreads *and* lies nearer to random symbols (the logarithm of the alphabet)
-than to ``m``; so is a text without a letter.
+rejected if it deviates by more than ``z`` spreads *and* has gone more than two thirds of the way from ``m`` to random
+symbols (the logarithm of the alphabet), so that texts in two languages stay; so is a text without a letter.
 
 Defined cases: null text or no letter gives ``und``, score 0, rejected; rows with a null language or identifier are not
 learnt from; ties go to the language that sorts first; with nothing to learn from, every text is ``und`` with score 0,
@@ -287,7 +287,7 @@ def identify(
     off = F.col("entropy") - F.col("m")
     random = float(-np.log(models.unseen))
     rejected = (F.col("n_symbols") == 0) | F.coalesce(
-        (off * F.sqrt("n_symbols") > z * F.col("s")) & (F.col("entropy") > (F.col("m") + random) / 2), F.lit(False)
+        (off * F.sqrt("n_symbols") > z * F.col("s")) & (F.col("entropy") > (F.col("m") + 2 * random) / 3), F.lit(False)
     )
     return scored.join(spread, "lang_pred", "left").select(
         "doc_id.doc_id", held_out(F.col("doc_id.doc_id")).alias("held_out"), "lang_pred", "score", "entropy", "n_symbols",

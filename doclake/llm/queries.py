@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from doclake.llm import chat, exact_dedup, language_id, token_counts
+from doclake.llm import chat, decontaminate, exact_dedup, language_id, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -65,3 +65,19 @@ def op7_exact_dedup(spark, sf):
 @query("op5_language_id")
 def op5_language_id(spark, sf):
     return language_id.identify(table(spark, sf, "documents"))
+
+
+@query("op2_decontamination", r"""
+WITH words AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM documents),
+item_words AS (SELECT DISTINCT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM benchmark),
+item_shingles AS (SELECT DISTINCT item_id, unnest([array_to_string(w[i:i+4], ' ') FOR i IN range(1, len(w) - 3)]) AS s
+  FROM item_words WHERE len(w) >= 5),
+sizes AS (SELECT item_id, count(*) AS n_shingles FROM item_shingles GROUP BY item_id),
+doc_shingles AS (SELECT DISTINCT doc_id, unnest([array_to_string(w[i:i+4], ' ') FOR i IN range(1, len(w) - 3)]) AS s
+  FROM words WHERE len(w) >= 5)
+SELECT doc_id, item_id, count(*) AS n_shared, n_shingles, CAST(count(*) AS DOUBLE) / n_shingles AS containment
+FROM doc_shingles JOIN item_shingles USING (s) JOIN sizes USING (item_id)
+GROUP BY doc_id, item_id, n_shingles HAVING count(*) >= 0.8 * n_shingles
+""")
+def op2_decontamination(spark, sf):
+    return decontaminate.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
