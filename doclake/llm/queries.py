@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from doclake.llm import chat, decontaminate, exact_dedup, language_id, token_counts
+from doclake.llm import chat, decontaminate, exact_dedup, language_id, near_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,3 +81,8 @@ GROUP BY doc_id, item_id, n_shingles HAVING count(*) >= 0.8 * n_shingles
 """)
 def op2_decontamination(spark, sf):
     return decontaminate.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op9_near_dedup")
+def op9_near_dedup(spark, sf):
+    return near_dedup.near_duplicates(table(spark, sf, "documents"))
