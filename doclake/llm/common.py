@@ -8,7 +8,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from doclake.runtime import ship_package
 
@@ -22,6 +23,11 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return df.mapInArrow(fn, schema)
 
 
+def whole_row(df: DataFrame, *without: str) -> Column:
+    """All columns of ``df`` in one struct ``row``, so that no name of theirs meets one of an operator's own."""
+    return F.struct(*(F.col(f"`{c}`") for c in df.columns if c not in without)).alias("row")
+
+
 def matches(pattern, text: str):
     """All matches of ``pattern``: a list, or a generator where the list would be large."""
     if len(text) < LONG_TEXT:

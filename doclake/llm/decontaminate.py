@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from doclake.llm.common import WORD, WordIds, map_arrow, matches, shingles
+from doclake.llm.common import WORD, WordIds, map_arrow, matches, shingles, whole_row
 
 K = 5
 THRESHOLD = 0.8
@@ -116,10 +116,10 @@ def _find(batches: Iterator[pa.RecordBatch], index) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _keep_clean(batches: Iterator[pa.RecordBatch], index, text_col: str) -> Iterator[pa.RecordBatch]:
+def _keep_clean(batches: Iterator[pa.RecordBatch], index) -> Iterator[pa.RecordBatch]:
     items, ids = index.value, WordIds()
     for batch in batches:
-        clean = [not items.found_in(t, ids) for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
+        clean = [not items.found_in(t, ids) for t in batch.column("text").to_pylist()]
         yield batch.filter(pa.array(clean, pa.bool_()))
 
 
@@ -155,6 +155,7 @@ def without_leaks(
     docs: DataFrame, items: DataFrame, *, text_col: str = "text", threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """The documents, with all their columns, that contain no item."""
+    packed = docs.select(whole_row(docs), F.col(text_col).cast("string").alias("text"))
     for index in item_blocks(items, threshold, block_bytes):
-        docs = map_arrow(docs, partial(_keep_clean, index=index, text_col=text_col), docs.schema)
-    return docs
+        packed = map_arrow(packed, partial(_keep_clean, index=index), packed.schema)
+    return packed.select("row.*")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from doclake.llm import chat, decontaminate, exact_dedup, language_id, near_dedup, token_counts
+from doclake.llm import chat, decontaminate, exact_dedup, language_id, mixing, near_dedup, sharding, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -86,3 +86,13 @@ def op2_decontamination(spark, sf):
 @query("op9_near_dedup")
 def op9_near_dedup(spark, sf):
     return near_dedup.near_duplicates(table(spark, sf, "documents"))
+
+
+@query("op1_sharding")
+def op1_sharding(spark, sf):
+    return sharding.shard(table(spark, sf, "documents"), 16)
+
+
+@query("op6_mixing")
+def op6_mixing(spark, sf):
+    return mixing.mix_weights(table(spark, sf, "documents"))
