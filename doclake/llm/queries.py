@@ -6,8 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from doclake.llm import chat, decontaminate, exact_dedup, language_id, mixing, near_dedup, sharding, token_counts
+from doclake.llm import (
+    chat, decontaminate, exact_dedup, fixity, html_text, language_id, mixing, near_dedup, sharding, token_counts,
+)
+from doclake.runtime import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -96,3 +100,42 @@ def op1_sharding(spark, sf):
 @query("op6_mixing")
 def op6_mixing(spark, sf):
     return mixing.mix_weights(table(spark, sf, "documents"))
+
+
+@query("op3_html_extraction")
+def op3_html_extraction(spark, sf):
+    return html_text.extract(table(spark, sf, "pages"))
+
+
+_RECORD = """'WARC/1.1' || nl || 'WARC-Type: resource' || nl || 'WARC-Record-ID: <urn:page:' || page_id || '>' || nl ||
+  'WARC-Target-URI: ' || url || nl || 'Content-Type: text/html' || nl || 'Content-Length: ' || strlen(html) || nl || nl ||
+  html || nl || nl"""
+
+
+@query("op8_warc_fixity", f"""
+WITH lines AS (SELECT *, chr(13) || chr(10) AS nl FROM pages),
+good AS (SELECT page_id, url, {_RECORD} AS r FROM lines),
+bad AS (SELECT page_id, url, CASE page_id % 101 WHEN 7 THEN replace(r, '<article>', '<article >')
+  WHEN 8 THEN left(r, length(r) // 2) WHEN 9 THEN NULL ELSE r END AS r FROM good),
+placed AS (SELECT *, CAST(sum(strlen(r)) OVER (ORDER BY page_id, url, sha256(r)) - strlen(r) AS BIGINT) AS pos FROM good)
+SELECT pos // 8388608 AS file, pos % 8388608 AS "offset", page_id,
+  CASE WHEN b.r IS NULL THEN 'missing' ELSE 'changed' END AS status,
+  strlen(p.r) AS length_a, strlen(b.r) AS length_b, sha256(p.r) AS digest_a, sha256(b.r) AS digest_b
+FROM placed p JOIN bad b USING (page_id, url) WHERE p.r IS DISTINCT FROM b.r
+""")
+def op8_warc_fixity(spark, sf):
+    """All pages as WARC records, against a replica that lost some of them and holds others changed or cut short."""
+    pages = table(spark, sf, "pages")
+    whole = fixity.warc_record(F.col("page_id"), F.col("url"), F.col("html"))
+    harm = F.col("page_id") % 101
+    harmed = (
+        F.when(harm == 7, F.replace(whole, F.lit("<article>"), F.lit("<article >")))
+        .when(harm == 8, F.substring(whole, F.lit(1), F.floor(F.length(whole) / 2).cast("int")))
+        .when(harm == 9, F.lit(None)).otherwise(whole)
+    )
+    found = {"length_2": F.octet_length(harmed).cast("long"), "digest_2": F.sha2(harmed.cast("binary"), 256)}
+    records = stored(fixity.warc_records(pages, file_bytes=8 << 20, more=found), "warc")
+    replica = records.filter("digest_2 IS NOT NULL").select(
+        "page_id", "file", "offset", F.col("length_2").alias("length"), F.col("digest_2").alias("digest")
+    )
+    return fixity.audit(records.drop("length_2", "digest_2"), replica)
