@@ -30,8 +30,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from doclake.llm.common import map_arrow, mix, signed
+from doclake.llm.common import map_arrow, mix, signed, whole_row
 from doclake.runtime import stored
 
 ORDER = 4
@@ -217,7 +218,6 @@ class LanguageModels:
         return cost, n
 
 
-SCORED = "doc_id long, lang_pred string, score double, entropy double, n_symbols long"
 SURE = 50  # symbols whose evidence the score counts at most: neighbouring symbols are not independent
 
 
@@ -238,8 +238,8 @@ def _scored(batches: Iterator[pa.RecordBatch], models) -> Iterator[pa.RecordBatc
         none = n == 0
         names[none], score[none] = "und", 0.0
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(names, pa.string()), pa.array(score), pa.array(low), pa.array(n)],
-            names=["doc_id", "lang_pred", "score", "entropy", "n_symbols"],
+            [batch.column("row"), batch.column("label"), pa.array(names, pa.string()), pa.array(score), pa.array(low), pa.array(n)],
+            names=["row", "label", "lang_pred", "score", "entropy", "n_symbols"],
         )
 
 
@@ -260,36 +260,58 @@ def fit(learn: DataFrame, model_mb: int = 256) -> LanguageModels:
     return LanguageModels(table, bits)
 
 
+def _judged(rows: DataFrame, z: float, model_mb: int) -> DataFrame:
+    """``row, lang_pred, score, entropy, n_symbols, rejected`` of ``row, doc_id, text, lang`` rows. What ``row`` holds and
+    the label only ride along with the scoring."""
+    learnt = ~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull() & F.col("lang").isNotNull()
+    models = fit(rows.filter(learnt & F.col("text").isNotNull()), model_mb)
+    labelled = rows.select("row", F.when(learnt, F.col("lang")).alias("label"), "text")
+    schema = StructType([
+        *labelled.drop("text").schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType()),
+        StructField("entropy", DoubleType()), StructField("n_symbols", LongType()),
+    ])
+    shared = rows.sparkSession.sparkContext.broadcast(models)
+    scored = stored(map_arrow(labelled, partial(_scored, models=shared), schema), "language-scores")
+    return scored.withColumn("rejected", _rejected(scored, models, z)).drop("label")
+
+
+def _rejected(scored: DataFrame, models: LanguageModels, z: float) -> Column:
+    """The calibrated rule: two numbers per learned language are all that is gathered."""
+    right = scored.filter("label = lang_pred AND n_symbols > 0")
+    means = dict(right.groupBy("lang_pred").agg(F.avg("entropy")).toArrow().to_pandas().itertuples(index=False, name=None))
+    random = float(-np.log(models.unseen))
+    if not means:
+        return F.col("n_symbols") == 0
+    mean = _by_language(means)
+    squares = F.pow(F.col("entropy") - mean, 2) * F.col("n_symbols")
+    spreads = dict(right.groupBy("lang_pred").agg(F.sqrt(F.avg(squares))).toArrow().to_pandas().itertuples(index=False, name=None))
+    far = (F.col("entropy") - mean) * F.sqrt("n_symbols") > z * _by_language(spreads)
+    return (F.col("n_symbols") == 0) | F.coalesce(far & (F.col("entropy") > (mean + 2 * random) / 3), F.lit(False))
+
+
+def _by_language(values: dict[str, float]) -> Column:
+    pairs = [F.lit(x) for item in sorted(values.items()) for x in item]
+    return F.try_element_at(F.create_map(*pairs), F.col("lang_pred"))
+
+
+def _rows(docs: DataFrame, row: Column, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    cast = {"doc_id": (id_col, "long"), "text": (text_col, "string"), "lang": (lang_col, "string")}
+    return docs.select(row, *(F.col(c).cast(kind).alias(name) for name, (c, kind) in cast.items()))
+
+
 def identify(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", z: float = 8.0, model_mb: int = 256
 ) -> DataFrame:
     """One row per document: ``doc_id, held_out, lang_pred, score, entropy, n_symbols, rejected``."""
-    narrow = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")
-    )
-    learnt = ~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull() & F.col("lang").isNotNull()
-    models = fit(narrow.filter(learnt & F.col("text").isNotNull()), model_mb)
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-    # The label rides along as a struct with the identifier: the scoring task hands it back without looking at it
-    scored = stored(
-        map_arrow(
-            narrow.select(F.struct("doc_id", F.when(learnt, F.col("lang")).alias("label")).alias("doc_id"), "text"),
-            partial(_scored, models=shared), SCORED.replace("doc_id long", "doc_id struct<doc_id:long,label:string>"),
-        ),
-        "language-scores",
-    )
-    right = scored.filter("doc_id.label = lang_pred AND n_symbols > 0")
-    means = right.groupBy("lang_pred").agg(F.avg("entropy").alias("m"))
-    spread = (
-        right.join(means, "lang_pred").groupBy("lang_pred", "m")
-        .agg(F.sqrt(F.avg(F.pow(F.col("entropy") - F.col("m"), 2) * F.col("n_symbols"))).alias("s"))
-    )
-    off = F.col("entropy") - F.col("m")
-    random = float(-np.log(models.unseen))
-    rejected = (F.col("n_symbols") == 0) | F.coalesce(
-        (off * F.sqrt("n_symbols") > z * F.col("s")) & (F.col("entropy") > (F.col("m") + 2 * random) / 3), F.lit(False)
-    )
-    return scored.join(spread, "lang_pred", "left").select(
-        "doc_id.doc_id", held_out(F.col("doc_id.doc_id")).alias("held_out"), "lang_pred", "score", "entropy", "n_symbols",
-        rejected.alias("rejected"),
+    only_id = F.struct(F.col(id_col).cast("long").alias("doc_id")).alias("row")
+    judged = _judged(_rows(docs, only_id, id_col, text_col, lang_col), z, model_mb)
+    return judged.select(
+        "row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "lang_pred", "score", "entropy", "n_symbols", "rejected"
     )
+
+
+def accepted(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", z: float = 8.0, model_mb: int = 256
+) -> DataFrame:
+    """The documents, with all their columns, that are not rejected."""
+    return _judged(_rows(docs, whole_row(docs), id_col, text_col, lang_col), z, model_mb).filter("NOT rejected").select("row.*")

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from doclake.llm.common import WordIds, map_arrow, mix, shingles, signed
+from doclake.llm.common import WordIds, map_arrow, mix, shingles, signed, whole_row
 from doclake.runtime import stored
 
 K = 5
@@ -274,18 +274,44 @@ def near_links(vertices: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return links if links is not None else pairs.select(F.col("v").alias("a"), F.col("leader").alias("b"))
 
 
+def _classes(texts: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``v, root`` of every vertex of ``texts`` (``v, doc_id, n``: smallest identifier and rows), and per ``root`` the
+    class: ``class_id, class_size`` and ``keeper``, the vertex of the document that stays."""
+    rooted = texts.join(components(links), "v", "left").withColumn("root", F.coalesce("root", "v"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "v"))
+    classes = rooted.groupBy("root").agg(first.alias("first"), F.sum("n").alias("class_size"))
+    return rooted, classes.select("root", "class_size", F.col("first.doc_id").alias("class_id"), F.col("first.v").alias("keeper"))
+
+
+def _by_text(narrow: DataFrame) -> DataFrame:
+    return narrow.filter("v IS NOT NULL").groupBy("v").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
+
+
 def near_duplicates(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD
 ) -> DataFrame:
     """One row per document: ``doc_id, class_id, class_size, kept``."""
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     own = own.withColumn("v", vertex(F.col("text")))
-    roots = components(near_links(own.filter("v IS NOT NULL").select("v", "text"), threshold))
     narrow = own.select("doc_id", "v")
-    texts = narrow.filter("v IS NOT NULL").groupBy("v").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
-    rooted = texts.join(roots, "v", "left").withColumn("root", F.coalesce("root", "v"))
-    classes = rooted.groupBy("root").agg(F.min("class_id").alias("class_id"), F.sum("class_size").alias("class_size"))
+    rooted, classes = _classes(_by_text(narrow), near_links(own.filter("v IS NOT NULL").select("v", "text"), threshold))
     named = rooted.select("v", "root").join(classes, "root").select("v", "class_id", "class_size")
     in_class = narrow.filter("v IS NOT NULL").join(named, "v").select("doc_id", "class_id", "class_size")
     alone = narrow.filter("v IS NULL").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"))
     return in_class.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
+
+
+def without_near_duplicates(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD
+) -> DataFrame:
+    """One document of every class, with all its columns (of repeated rows, one of them)."""
+    own = docs.select(
+        whole_row(docs), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
+    ).withColumn("v", vertex(F.col("text")))
+    worded = own.filter("v IS NOT NULL")
+    _, classes = _classes(_by_text(own.select("doc_id", "v")), near_links(worded.select("v", "text"), threshold))
+    # Rows are dealt out by identifier and text, so that neither many copies nor many nulls meet in one task
+    keepers = classes.select(F.coalesce("class_id", "keeper").alias("id"), F.col("keeper").alias("v"))
+    kept = worded.select("row", F.coalesce("doc_id", "v").alias("id"), "v").join(keepers, ["id", "v"])
+    once = kept.groupBy("id", "v").agg(F.first("row").alias("row"))
+    return once.select("row.*").unionByName(own.filter("v IS NULL").select("row.*"))
