@@ -6,14 +6,16 @@ classes are the connected components of these links.
 
 1. Order MinHash: ``BANDS`` times, the ``SAMPLE`` labelled shingles of smallest hash are taken and hashed in their text
    order. At similarity 0.8 a band agrees with probability 0.8^3, one of 16 with 0.99999.
-2. Texts that agree in a band form a group. Every group elects the member whose groups are largest as leader, and only
-   (member, leader) pairs are verified, so a group of n costs n alignments whatever its size.
+2. Texts that agree in a band form a group. A group of up to ``SMALL`` texts is settled in one task, which aligns until
+   its links are complete. A larger one elects the member whose groups are largest as leader, and only (member, leader)
+   pairs are aligned, so a group of n costs n alignments.
 3. Where a leader did not link all its members, links among the rest could be missing. Such a group gets a pivot (the
    shingles that most of a few members share). Two members that are linked, but not through a member near the pivot,
    differ from the pivot in much the same shingles. So they are grouped anew by MinHashes of that difference (similarity
-   1/3 or more), the member nearest to the pivot is paired with all, and 2 and 3 repeat until no new pair arises.
+   1/3 or more), the member nearest to the pivot is paired with all, and 2 and 3 repeat. What is still open after
+   ``ROUNDS`` rounds is settled exactly: the group is split into blocks, and each pair of blocks is a small group.
 
-A group is never collected and its pairs are never enumerated. Equal texts are one vertex, told apart by 64-bit hashes
+Equal texts are one vertex, told apart by 64-bit hashes
 of the texts (the chance of one collision among n texts is n^2 / 2^65).
 
 Defined cases: words are runs of letters, digits and ``_``, lower-cased; fewer than five words are one shingle; a null
@@ -41,6 +43,9 @@ THRESHOLD = 0.8
 BANDS, SAMPLE = 16, 3
 DIFFERENCES = 16  # MinHashes of the difference to a pivot
 PIVOT_MEMBERS = 24  # members a pivot is made of, about
+SMALL = 16  # members of a group that one task settles
+ROUNDS = 4
+WIDE = 1 << 20  # hashes scrambled at once
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = mix(np.arange(1, 1 + max(BANDS, DIFFERENCES), dtype=np.uint64) * _STEP)
 
@@ -65,12 +70,14 @@ def order_min_hashes(labels: np.ndarray) -> np.ndarray:
     """One hash per band: the labelled shingles of smallest hash, in text order."""
     out = _SEEDS[:BANDS].copy()
     n = min(SAMPLE, len(labels))
-    for band in range(BANDS):
-        scrambled = mix(labels ^ _SEEDS[band])
-        chosen = np.argpartition(scrambled, n - 1)[:n] if n < len(labels) else np.arange(n)
-        chosen.sort()
-        for value in scrambled[chosen]:
-            out[band : band + 1] = mix(out[band : band + 1] + value)
+    step = max(1, WIDE // len(labels))
+    for low in range(0, BANDS, step):
+        scrambled = mix(labels[None, :] ^ _SEEDS[low : min(BANDS, low + step), None])
+        chosen = np.argpartition(scrambled, n - 1, axis=1)[:, :n]
+        chosen.sort(axis=1)
+        values = np.take_along_axis(scrambled, chosen, axis=1)
+        for place in range(n):
+            out[low : low + step] = mix(out[low : low + step] + values[:, place])
     return out
 
 
@@ -181,14 +188,48 @@ def vertex(text: Column) -> Column:
     return F.when(F.coalesce(text, F.lit("")).rlike(r"(?U)\w"), F.xxhash64(F.lit(K), text))
 
 
-def _pairs(grouped: DataFrame) -> DataFrame:
-    """(member, leader) pairs from ``key, v`` rows."""
-    several = grouped.groupBy("key").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).filter("lo <> hi").select("key")
-    members = stored(grouped.join(several, "key").distinct(), "near-members")
-    sizes = members.groupBy("key").agg(F.count("*").alias("n"))
-    central = members.join(sizes, "key").groupBy("v").agg(F.sum("n").alias("n"))
-    leaders = members.join(central, "v").groupBy("key").agg(F.max_by("v", F.struct("n", "v")).alias("leader"))
-    return members.join(leaders, "key").filter("v <> leader").select("v", "leader").distinct()
+def _members(keyed: DataFrame) -> DataFrame:
+    """``key, v`` of the groups with at least two vertices."""
+    several = keyed.groupBy("key").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).filter("lo <> hi").select("key")
+    members = keyed.join(several, "key").distinct()
+    return stored(members.join(members.groupBy("key").agg(F.count("*").alias("n")), "key"), "near-members")
+
+
+def _small_groups(members: DataFrame) -> DataFrame:
+    """``g, v`` of the groups one task can settle, each set of members once."""
+    sets = members.filter(F.col("n") <= SMALL).groupBy("key").agg(F.array_sort(F.collect_list("v")).alias("vs"))
+    return sets.select("vs").distinct().select(F.xxhash64("vs").alias("g"), F.explode("vs").alias("v"))
+
+
+def _pairs(members: DataFrame) -> DataFrame:
+    """(member, leader) pairs of the larger groups."""
+    large = members.filter(F.col("n") > SMALL)
+    central = large.groupBy("v").agg(F.sum("n").alias("weight"))
+    leaders = large.join(central, "v").groupBy("key").agg(F.max_by("v", F.struct("weight", "v")).alias("leader"))
+    return large.join(leaders, "key").filter("v <> leader").select("v", "leader").distinct()
+
+
+def _settled(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    """Links that connect the members of small groups as far as they are linked at all."""
+    for batch in batches:
+        links = []
+        for group in batch.column("group").to_pylist():
+            texts = [(m["v"], _of(m["words"])) for m in sorted(group, key=lambda m: m["v"])]
+            part = list(range(len(texts)))
+            for j in range(1, len(texts)):
+                order = np.argsort(texts[j][1], kind="stable")
+                for i in range(j):
+                    if part[i] != part[j] and linked(texts[i][1], texts[j][1], order, threshold):
+                        links.append((texts[i][0], texts[j][0]))
+                        part = [part[i] if x == part[j] else x for x in part]
+        if links:
+            a, b = zip(*links)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _settle(groups: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
+    gathered = groups.join(words, "v").groupBy("g").agg(F.collect_list(F.struct("v", "words")).alias("group"))
+    return stored(map_arrow(gathered.select("group"), partial(_settled, threshold=threshold), "a long, b long"), "near-links")
 
 
 def _verify(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
@@ -197,17 +238,18 @@ def _verify(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
     return map_arrow(both, partial(_verified, threshold=threshold), "v long, leader long, linked boolean")
 
 
-def _regrouped(verified: DataFrame, words: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``key, v`` rows and (member, nearest) pairs of the groups whose leader did not link all members."""
-    open_groups = (
-        verified.groupBy("leader").agg(F.count("*").alias("n"), F.count_if(~F.col("linked")).alias("apart"))
-        .filter("n >= 2 AND apart >= 1")
-    )
-    members = verified.join(open_groups, "leader").select("v", "leader", "n")
+def _open(verified: DataFrame) -> DataFrame:
+    """``v, leader, n`` of the groups whose leader did not link all members."""
+    groups = verified.groupBy("leader").agg(F.count("*").alias("n"), F.count_if(~F.col("linked")).alias("apart"))
+    return verified.join(groups.filter("n >= 2 AND apart >= 1"), "leader").select("v", "leader", "n")
+
+
+def _regrouped(members: DataFrame, words: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``key, v`` rows and (member, nearest) pairs of open groups."""
     # About PIVOT_MEMBERS members, chosen by hash; the pivot only steers which pairs are looked at first
     every = F.ceil(F.col("n") / PIVOT_MEMBERS)
     chosen = members.filter((F.col("n") <= PIVOT_MEMBERS) | (F.pmod(F.xxhash64("v", "leader"), every) == 0)).select("leader", "v")
-    leaders = open_groups.select("leader", F.col("leader").alias("v"))
+    leaders = members.select("leader", F.col("leader").alias("v")).distinct()
     pivots = map_arrow(
         chosen.unionByName(leaders).join(words, "v").groupBy("leader").agg(F.collect_list("words").alias("several")),
         _pivots, "leader long, pivot binary",
@@ -224,6 +266,16 @@ def _regrouped(verified: DataFrame, words: DataFrame) -> tuple[DataFrame, DataFr
     return apart.select(F.explode("keys").alias("key"), "v"), to_nearest
 
 
+def _blocks(members: DataFrame) -> DataFrame:
+    """``g, v`` that bring every two members of an open group together: one group per pair of blocks of members."""
+    every = members.select("v", "leader", "n").unionByName(members.select(F.col("leader").alias("v"), "leader", "n").distinct())
+    blocks = F.ceil(2 * (F.col("n") + 1) / SMALL)
+    own = F.pmod(F.xxhash64("v"), blocks)
+    other = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
+    paired = every.select("v", "leader", own.alias("own"), other.alias("other"))
+    return paired.select(F.xxhash64("leader", F.least("own", "other"), F.greatest("own", "other")).alias("g"), "v")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``v, root`` of the vertices of ``a, b`` edges, the root being the smallest vertex of the component: every vertex
     hands the smallest neighbour it knows to the larger and then to the smaller ones, until nothing changes."""
@@ -250,28 +302,33 @@ def _changed(before: DataFrame, after: DataFrame) -> bool:
     return not twice.isEmpty() or not after.join(roots, "a", "left_semi").isEmpty()
 
 
-def near_links(vertices: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def near_links(vertices: DataFrame, threshold: float = THRESHOLD, rounds: int = ROUNDS) -> DataFrame:
     """Links ``a, b`` between the texts of ``v, text`` rows that connect every class."""
     sketches = stored(map_arrow(vertices, _sketch, "v long, keys array<long>"), "near-sketches")
-    pairs = stored(_pairs(sketches.select(F.explode("keys").alias("key"), "v")), "near-pairs")
-    wanted = pairs.select("v").unionByName(pairs.select(F.col("leader").alias("v"))).distinct()
+    members = _members(sketches.select(F.explode("keys").alias("key"), "v"))
     words = stored(
-        map_arrow(vertices.join(wanted, "v"), _words, "v long, words binary").groupBy("v").agg(F.first("words").alias("words")),
+        map_arrow(vertices.join(members.select("v").distinct(), "v"), _words, "v long, words binary")
+        .groupBy("v").agg(F.first("words").alias("words")),
         "near-words",
     )
-    links = done = None
-    while not pairs.isEmpty():
-        verified = stored(_verify(pairs, words, threshold), "near-verified")
-        found = verified.filter("linked").select(F.col("v").alias("a"), F.col("leader").alias("b"))
-        tried = verified.select(F.least("v", "leader").alias("lo"), F.greatest("v", "leader").alias("hi"))
-        links = found if links is None else links.unionByName(found)
-        done = tried if done is None else done.unionByName(tried)
-        grouped, to_nearest = _regrouped(verified, words)
-        more = _pairs(grouped).unionByName(to_nearest).select(
-            "v", "leader", F.least("v", "leader").alias("lo"), F.greatest("v", "leader").alias("hi")
-        ).dropDuplicates(["lo", "hi"])
-        pairs = stored(more.join(done, ["lo", "hi"], "left_anti").select("v", "leader"), "near-pairs")
-    return links if links is not None else pairs.select(F.col("v").alias("a"), F.col("leader").alias("b"))
+    links = _settle(_small_groups(members), words, threshold)
+    pairs, done = _pairs(members), None
+    for round_ in range(rounds):
+        pairs = stored(pairs, "near-pairs")
+        fresh = pairs if done is None else pairs.join(done.select("v", "leader"), ["v", "leader"], "left_anti")
+        verified = stored(_verify(fresh, words, threshold), "near-verified")
+        links = links.unionByName(verified.filter("linked").select(F.col("v").alias("a"), F.col("leader").alias("b")))
+        done = verified if done is None else done.unionByName(verified)
+        still_open = stored(_open(pairs.join(done, ["v", "leader"])), "near-open")
+        if still_open.isEmpty():
+            return links
+        if round_ == rounds - 1:
+            break
+        keyed, to_nearest = _regrouped(still_open, words)
+        members = _members(keyed)
+        links = links.unionByName(_settle(_small_groups(members), words, threshold))
+        pairs = _pairs(members).unionByName(to_nearest).distinct()
+    return links.unionByName(_settle(_blocks(still_open), words, threshold))
 
 
 def _classes(texts: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
