@@ -28,21 +28,6 @@ def variant_path(dotted: str) -> str:
     )
 
 
-def guide_type(v: Column) -> Column:
-    """Guide type of one variant value; null for JSON null and for a missing value."""
-    s = F.schema_of_variant(v)
-    return (
-        F.when(s == "STRING", "string")
-        .when((s == "BIGINT") | s.startswith("DECIMAL"), "number")
-        .when(s.startswith("OBJECT"), "object")
-        .when(s.startswith("ARRAY"), "array")
-        .when(s == "BOOLEAN", "boolean")
-        .when(s.isin("DOUBLE", "FLOAT"), "double")
-        .when(s.startswith("TIMESTAMP") | (s == "DATE"), "timestamp")
-        .when(s == "BINARY", "binary")
-    )
-
-
 def field(data: Column, dotted: str) -> Column:
     """Sub-value at a dotted path as VARIANT; null when any step is missing."""
     return F.try_variant_get(data, variant_path(dotted), "variant") if dotted else data

@@ -8,17 +8,16 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from doclake.operators import guide as G
 from doclake.operators import indexes as I
 from doclake.operators import report as R
 from doclake.operators.select import select_collections
-from doclake.operators.shape import parse_docs, with_system_columns
+from doclake.operators.shape import parse_docs, with_keys, with_system_columns
 from doclake.operators.sinks import codec, read_collection
 from doclake.plans.index_plan import index_keys, index_plan
-from doclake.runtime import stored
+from doclake.runtime import children, remove, stored
 from doclake.sources.dump import BLOCK_BYTES, dump_catalog, dump_metadata, read_bson_and_parts
 
 LOG = logging.getLogger(__name__)
@@ -49,7 +48,25 @@ def read_documents(spark: SparkSession, dest: str, collections: list[str] | None
     return select_collections(spark.read.schema(DOCUMENTS).parquet(documents_path(dest)), collections)
 
 
-def _load(spark, source, dest, names, if_exists, sample, level, block_bytes) -> tuple[list[str], list[str], DataFrame | None]:
+def _clear(spark: SparkSession, dest: str, names: list[str], known: list[str], tables: tuple[str, ...]) -> None:
+    """Remove what ``dest`` holds of the named collections: their part of each table, and their index tables.
+
+    Overwriting replaces only partitions that get rows, so a collection that has become empty would keep its old ones.
+    """
+    for table in tables:
+        for folder, name in children(spark, f"{dest}/{table}"):
+            if name.removeprefix("collection=") in names and name.startswith("collection="):
+                remove(spark, folder)
+    for folder, name in children(spark, f"{dest}/indexes"):
+        # Of collections `a` and `a$b`, the longest that fits owns `a$b$c`
+        owners = [c for c in {*names, *known} if name.startswith(f"{c}$")]
+        if owners and max(owners, key=len) in names:
+            remove(spark, folder)
+
+
+def _load(
+    spark, source, dest, names, if_exists, sample, level, block_bytes, key_methods, allow_duplicate_keys
+) -> tuple[list[str], list[str], DataFrame | None]:
     filled = set()
     if read_collection(spark, documents_path(dest)) is not None:
         # One name per collection: catalog-sized, like the names themselves.
@@ -61,9 +78,11 @@ def _load(spark, source, dest, names, if_exists, sample, level, block_bytes) ->
     todo = [n for n in names if n not in skipped]
     if not todo:
         return [], skipped, None
-    staged = stored(read_bson_and_parts(spark, source, todo, block_bytes=block_bytes, sample=sample), "staged")
-    good = with_system_columns(staged.filter("doc is not null")).select(
-        "collection", F.coalesce("id", F.uuid()).alias("id"), "version", "doc", "bson_len", "last_modified", "created_on"
+    read = read_bson_and_parts(spark, source, todo, allow_duplicate_keys=allow_duplicate_keys, block_bytes=block_bytes, sample=sample)
+    staged = stored(read, "staged")
+    _clear(spark, dest, todo, names, ("documents", "rejected", "guide", "key_chars"))
+    good = with_keys(with_system_columns(staged.filter("doc is not null")), key_methods).select(
+        "collection", "id", "version", "doc", "bson_len", "last_modified", "created_on"
     )
     good.write.mode("overwrite").options(**codec(level)).options(**DYNAMIC).partitionBy("collection").parquet(documents_path(dest))
     bad = staged.filter("error is not null").select("collection", "file", "offset", "bson_len", "error")
@@ -71,6 +90,34 @@ def _load(spark, source, dest, names, if_exists, sample, level, block_bytes) ->
     return todo, skipped, staged
 
 
+def _guide(spark: SparkSession, dest: str, docs: DataFrame, names: list[str], staged: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """The data guide and the name characters per collection: from the pass that decoded the records, else from what an
+    earlier run stored, else from the documents' text (which knows fewer types)."""
+    kept = [read_collection(spark, f"{dest}/{t}") for t in ("guide", "key_chars")]
+    if staged is None and None not in kept:
+        guide, chars = (select_collections(k.withColumn("collection", F.col("collection").cast("string")), names) for k in kept)
+        stored_names = {r["collection"] for r in chars.select("collection").distinct().collect()}
+        if stored_names == {r["collection"] for r in docs.select("collection").distinct().collect()}:
+            return guide, chars
+    if staged is not None:
+        parts = staged.filter("parts is not null")
+        guide = G.merge_parts(parts, ("collection",))
+        chars = parts.select("collection", F.inline("parts")).groupBy("collection").agg(F.sum("key_chars").alias("key_chars"))
+    else:
+        flat = G.flatten(parse_docs(docs), None, ("collection",))
+        guide = G.guide_of(flat, ("collection",))
+        chars = flat.groupBy("collection").agg(F.sum(F.length(F.coalesce("key", F.lit("")))).alias("key_chars"))
+    guide, chars = stored(guide, "guide"), stored(chars, "key-chars")
+    for table, rows in (("guide", guide), ("key_chars", chars)):
+        rows.write.mode("overwrite").options(**DYNAMIC).partitionBy("collection").parquet(f"{dest}/{table}")
+    return guide, chars
+
+
+def _reason(failure: Exception) -> str:
+    """The message of a failure, whole but for the engine's stack trace."""
+    return str(failure).split("\n\tat ")[0].strip() or type(failure).__name__
+
+
 def _keys(row: Row) -> tuple[list[I.Key], dict[str, str], set[str]]:
     columns = sorted(row["columns"], key=lambda c: c["pos"])
     keys = [(c["path"], c["type"]) for c in columns]
@@ -87,7 +134,7 @@ def build_index(docs: DataFrame, row: Row, cell_deg: float = 1.0) -> DataFrame:
     if kind == "json_search":
         return I.index_table(I.text_index(docs), [("token", True)])
     if kind == "geo_json":
-        return I.index_table(I.spatial_index(docs, keys[0][0], cell_deg), [("cell_x", True), ("cell_y", True)])
+        return I.index_table(I.spatial_index(docs, row["spatial_path"], cell_deg), [("cell_x", True), ("cell_y", True)])
     if kind == "multivalue":
         path, gtype = keys[0]
         return I.index_table(I.multivalue_index(docs, path, gtype, arrays, types.get(path)), [("value", order[0][1])])
@@ -117,12 +164,20 @@ def run(
     level: int = 2,
     cell_deg: float = 1.0,
     block_bytes: int = BLOCK_BYTES,
+    key_methods: dict[str, str] | None = None,
+    allow_duplicate_keys: bool = False,
 ) -> Result:
     """Load a dump folder, infer the schema, build what indexes can be built, report.
 
-    ``if_exists``: ``skip`` or ``drop`` collections that already hold rows.
-    ``indexes``: ``all``, ``skip`` (load only) or ``only`` (build from loaded documents).
+    ``if_exists``: ``skip`` or ``drop`` collections that already hold rows; dropping replaces their documents, rejected
+    records, guide and indexes, also by nothing.
+    ``indexes``: ``all``, ``skip`` (load only) or ``only`` (build from loaded documents, with the guide of their load).
+    ``key_methods``: per collection ``EMBEDDED_OID`` (the default) or ``UUID``.
+    ``allow_duplicate_keys``: the last of repeated keys of an object wins, instead of rejecting the record.
     """
+    for name, method in (key_methods or {}).items():
+        if method not in ("EMBEDDED_OID", "UUID"):
+            raise ValueError(f"unknown key method {method!r} of {name}: EMBEDDED_OID or UUID")
     if if_exists not in ("skip", "drop"):
         raise ValueError(f"unknown if_exists {if_exists!r}: skip or drop")
     if indexes not in ("all", "skip", "only"):
@@ -136,23 +191,17 @@ def run(
     if indexes == "only":
         result.loaded, staged = names, None
     else:
-        result.loaded, result.skipped, staged = _load(spark, source, dest, names, if_exists, sample, level, block_bytes)
+        result.loaded, result.skipped, staged = _load(
+            spark, source, dest, names, if_exists, sample, level, block_bytes, key_methods or {}, allow_duplicate_keys
+        )
     load_ms = int((time.monotonic() - started) * 1000)
     if not result.loaded:
         return result
 
     docs = read_documents(spark, dest, result.loaded)
-    if staged is not None:
-        # Schema facts came out of the same pass that decoded the records.
-        parts = staged.filter("parts is not null")
-        guide = G.merge_parts(parts, ("collection",))
-        chars = parts.select("collection", F.inline("parts")).groupBy("collection").agg(F.sum("key_chars").alias("key_chars"))
-    else:
-        flat = G.flatten(parse_docs(docs), None, ("collection",))
-        guide = G.guide_of(flat, ("collection",))
-        chars = flat.groupBy("collection").agg(F.sum(F.length(F.coalesce("key", F.lit("")))).alias("key_chars"))
-    guide = stored(guide, "guide")
-    guide.write.mode("overwrite").options(**DYNAMIC).partitionBy("collection").parquet(f"{dest}/guide")
+    if indexes == "only":
+        _clear(spark, dest, result.loaded, names, ())
+    guide, chars = _guide(spark, dest, docs, result.loaded, staged)
     metadata = select_collections(dump_metadata(spark, source), result.loaded)
     plan = stored(index_plan(index_keys(metadata), guide, multivalue), "plan")
 
@@ -165,9 +214,9 @@ def run(
                 documents = parse_docs(read_documents(spark, dest, [row["collection"]]))
                 rows = build_index(documents, row, cell_deg)
                 rows.write.mode("overwrite").options(**codec(level)).parquet(f"{dest}/indexes/{table}")
-            except (PySparkException, ValueError) as e:
+            except Exception as e:  # whatever happens to one index, the others are built and all are reported
                 LOG.warning("index %s failed: %s", table, e)
-                return row["collection"], row["index_name"], str(e).splitlines()[0][:500]
+                return row["collection"], row["index_name"], _reason(e)
             return None
 
         # Index definitions are catalog-sized; every build is a distributed job, a few run side by side.

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import warnings
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.utils import AnalysisException
@@ -287,10 +286,3 @@ def mat_paths(guide: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
         any_array = arrays.limit(1).agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
         marked = marked.filter(any_array > 0)
     return marked.select(*by, "key", F.when(F.col("in_array"), "ARRAY").otherwise("OTHER").alias("path_type"))
-
-
-def warn_multitype(types: DataFrame) -> None:
-    """Log the first conflicting keys (at most 20 shown; the table itself is complete)."""
-    shown = [r["key"] for r in types.filter("type = 'multitype'").limit(20).collect()]
-    if shown:
-        warnings.warn("keys with several types: " + ", ".join(shown), stacklevel=2)

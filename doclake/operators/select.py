@@ -39,9 +39,5 @@ def catalog_counts(catalog: DataFrame, keys: DataFrame, names: list[str] | None
     )
 
 
-def catalog_totals(counts: DataFrame) -> DataFrame:
-    return counts.agg(F.count(F.lit(1)).alias("n_collections"), F.coalesce(F.sum("n_indexes"), F.lit(0)).alias("n_indexes"))
-
-
 def grouped_counts(df: DataFrame, by: list[str], total: Column) -> DataFrame:
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum(total).alias("total"))

@@ -41,6 +41,16 @@ def assign_id(df: DataFrame, method: str = "embedded", data: str = "data") -> Da
     raise ValueError(f"unknown key method {method!r}: embedded or uuid")
 
 
+def with_keys(df: DataFrame, methods: dict[str, str], collection: str = "collection") -> DataFrame:
+    """``id`` by each collection's method: ``UUID`` gives a generated key, else the decoded one stays, generated if missing.
+
+    Write the result before using it twice.
+    """
+    generated = [name for name, method in methods.items() if method == "UUID"]
+    own = F.coalesce("id", F.uuid())
+    return df.withColumn("id", F.when(F.col(collection).isin(generated), F.uuid()).otherwise(own) if generated else own)
+
+
 def with_system_columns(df: DataFrame) -> DataFrame:
     now = F.current_timestamp()
     return df.withColumns({"version": F.lit("1"), "last_modified": now, "created_on": now})

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from doclake.functions.ids import clean_index_name, index_table_name, path_prefixes
 from doclake.operators.guide import key_types
@@ -10,7 +10,6 @@ from doclake.operators.guide import key_types
 METADATA = (
     "indexes array<struct<name:string,unique:boolean,key:map<string,string>,expireAfterSeconds:string>>"
 )
-COLUMN = "struct<pos:int,path:string,asc:boolean>"
 
 
 def parse_metadata(df: DataFrame, text: str = "metadata") -> DataFrame:
@@ -49,16 +48,20 @@ def index_keys(meta: DataFrame) -> DataFrame:
         ),
     )
     ttl = F.col("ix.expireAfterSeconds")
+    # Names that differ only by `.` and `_` become one: the second gets a mark, so that each has a table of its own
+    clean = clean_index_name(F.col("ix.name"))
+    ix = ix.withColumn("twin", F.row_number().over(Window.partitionBy("collection", clean).orderBy("index_pos")))
     return ix.select(
         "collection",
         "index_pos",
-        clean_index_name(F.col("ix.name")).alias("index_name"),
+        F.when(F.col("twin") > 1, F.concat(clean, F.lit("~"), F.col("twin").cast("string"))).otherwise(clean).alias("index_name"),
         F.col("ix.name").alias("source_name"),
         F.coalesce("ix.unique", F.lit(False)).alias("is_unique"),
         ttl.isNotNull().alias("is_ttl"),
         F.coalesce(F.get_json_object(ttl, "$['$numberLong']"), ttl).try_cast("bigint").alias("ttl_seconds"),
         F.col("text_at").isNotNull().alias("is_text"),
         F.exists("entries", lambda e: e["v"] == "2dsphere").alias("is_spatial"),
+        F.get(F.filter("entries", lambda e: e["v"] == "2dsphere"), F.lit(0))["k"].alias("spatial_path"),
         F.exists("entries", lambda e: e["v"] == "hashed").alias("is_hashed"),
         columns.alias("columns"),
     )
@@ -207,7 +210,7 @@ def index_plan(keys: DataFrame, guide: DataFrame, multivalue: bool = False) -> D
     plan = j.select(
         "collection", "index_name", kind.alias("kind"), status.alias("status"), "reasons",
         "is_unique", n.alias("n_fields"), F.coalesce("typed", untyped).alias("columns"),
-        "index_pos",
+        "spatial_path", "index_pos",
     )
     # All search indexes of a collection are one: the first stays, the others are merged into it.
     # Taken from the keys alone, so that the guide is not computed a second time.

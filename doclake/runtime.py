@@ -49,6 +49,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def children(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
+    """``(path, name)`` of what a folder holds, names without the escapes of partition folders; none if there is no folder."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(folder)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(at):
+        return []
+    plain = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    return [(e.getPath().toString(), plain(e.getPath().getName())) for e in files.listStatus(at)]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any file system Spark can write to."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give CPU-heavy per-row work at least one partition per core.
 

@@ -29,11 +29,16 @@ class BsonError(ValueError):
 
 
 def well_formed(buf, at: int, end: int) -> bool:
-    """Whether a complete document fills exactly ``buf[at:end]``."""
+    """Whether a complete document fills exactly ``buf[at:end]``, however deeply it is nested."""
     if end - at < MIN_RECORD or I32(buf, at)[0] != end - at or buf[end - 1] != 0:
         return False
-    pos, last = at + 4, end - 1
-    while pos < last:
+    pos, ends = at + 4, [end - 1]  # the closing byte of every open document
+    while ends:
+        last = ends[-1]
+        if pos == last:
+            ends.pop()
+            pos += 1
+            continue
         code = buf[pos]
         name_end = buf.find(b"\0", pos + 1, last)
         if name_end < 0:
@@ -55,9 +60,10 @@ def well_formed(buf, at: int, end: int) -> bool:
                 if n < 1 or pos + size > last or buf[pos + size - 1] != 0:
                     return False
             elif code in (3, 4):
-                size = n
-                if n < MIN_RECORD or pos + n > last or not well_formed(buf, pos, pos + n):
+                if n < MIN_RECORD or pos + n > last or buf[pos + n - 1] != 0:
                     return False
+                ends.append(pos + n - 1)
+                size = 4
             elif code == 5:
                 size = 5 + n
                 if n < 0:
@@ -73,9 +79,9 @@ def well_formed(buf, at: int, end: int) -> bool:
             else:
                 return False
         pos += size
-        if pos > last:
+        if pos > ends[-1]:
             return False
-    return pos == last
+    return True
 
 
 def _text(buf, pos):

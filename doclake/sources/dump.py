@@ -11,6 +11,7 @@ from the first byte, whatever the data holds.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from itertools import islice
 from urllib.parse import unquote
@@ -302,35 +303,53 @@ def _block_reader(output: str, allow_duplicate_keys: bool):
     return read
 
 
-def gz_records(path: str) -> Iterator[tuple[int, bytes | None, str | None]]:
-    """``(offset, record, error)`` streamed out of one compressed file; memory holds one record and one buffer."""
+def _inflated(path: str) -> Iterator[bytes]:
+    """Content of a gzip file in pieces of at most WINDOW bytes; of a cut or damaged file, what comes before the fault."""
     filesystem, local = open_path(path)
-    stream = filesystem.open_input_stream(local, compression="gzip", buffer_size=1 << 20)
-    offset, pending = 0, b""
-    while True:
-        need = 4
-        if len(pending) >= 4:
-            need = I32(pending, 0)[0]
-            if need < MIN_RECORD:
-                yield offset, None, f"no whole record at {offset}"
+    with filesystem.open_input_stream(local, compression=None, buffer_size=1 << 20) as stream:
+        inflater, packed = zlib.decompressobj(wbits=31), b""
+        while True:
+            packed = packed or stream.read(1 << 20)
+            if not packed:
                 return
-        if len(pending) < need:
-            chunk = stream.read(max(need - len(pending), WINDOW))
-            if not chunk:
-                if pending:
-                    yield offset, None, f"no whole record at {offset}"
+            if inflater.eof:  # another member follows
+                inflater = zlib.decompressobj(wbits=31)
+            try:
+                plain = inflater.decompress(packed, WINDOW)
+            except zlib.error:
                 return
-            pending += chunk
-            continue
+            packed = inflater.unused_data if inflater.eof else inflater.unconsumed_tail
+            if plain:
+                yield plain
+
+
+def gz_records(path: str) -> Iterator[tuple[int, bytes | None, str | None]]:
+    """``(offset, record, error)`` streamed out of one compressed file; memory holds one record and one buffer. A cut
+    file gives its whole records and one error."""
+    pieces, offset, pending = _inflated(path), 0, b""
+    for piece in pieces:
+        pending += piece
         at = 0
         while len(pending) - at >= 4:
             n = I32(pending, at)[0]
-            if n < MIN_RECORD or len(pending) - at < n:
-                break
+            if n < MIN_RECORD:
+                yield offset, None, f"no whole record at {offset}"
+                return
+            if len(pending) - at < n:
+                # A long record: gathered in a list, since joining piece by piece would copy it again and again
+                parts, size = [pending[at:]], len(pending) - at
+                while size < n and (more := next(pieces, b"")):
+                    parts.append(more)
+                    size += len(more)
+                pending, at = b"".join(parts), 0
+                if size < n:
+                    break
             yield offset, pending[at:at + n], None
             at += n
             offset += n
         pending = pending[at:]
+    if pending:
+        yield offset, None, f"no whole record at {offset}"
 
 
 def _gz_reader(output: str, allow_duplicate_keys: bool, sample: int | None):

@@ -185,3 +185,35 @@ def test_many_paths_are_handed_out_early(spark, tmp_path, monkeypatch):
     for raw in docs:
         whole.add(decoder.decode(raw)[3])
     assert sum(len(ps) for ps in handed) >= len(whole.rows)
+
+
+def test_cut_gz_gives_its_whole_records(tmp_path):
+    import gzip
+
+    from doclake.sources.dump import gz_records
+
+    records = [encode({"_id": i, "text": str(i * 7919) * 50}) for i in range(4000)]
+    packed = gzip.compress(b"".join(records[:2000])) + gzip.compress(b"".join(records[2000:]))
+    whole, cut = tmp_path / "a.bson.gz", tmp_path / "b.bson.gz"
+    whole.write_bytes(packed)
+    cut.write_bytes(packed[: len(packed) * 3 // 4])
+    assert [r for _, r, _ in gz_records(str(whole))] == records
+    *good, last = gz_records(str(cut))
+    assert [r for _, r, _ in good] == records[: len(good)] and len(good) > 2000
+    assert last[1] is None and last[0] == sum(map(len, records[: len(good)]))
+    long = [encode({"_id": 1, "text": "x" * (5 << 20)}), encode({"_id": 2})]
+    whole.write_bytes(gzip.compress(b"".join(long)))
+    assert [r for _, r, _ in gz_records(str(whole))] == long
+
+
+def test_structure_of_deep_records():
+    from doclake.sources.bson import well_formed
+
+    deep = b"\x05\0\0\0\0"
+    for _ in range(5000):
+        deep = (len(deep) + 8).to_bytes(4, "little") + b"\x03a\0" + deep + b"\0"
+    assert well_formed(deep, 0, len(deep))
+    broken = bytearray(deep)
+    broken[-2500] ^= 1
+    assert not well_formed(bytes(broken), 0, len(broken))
+    assert not well_formed(deep, 0, len(deep) - 1)

@@ -70,6 +70,63 @@ def test_life_cycle(spark, source, tmp_path):
     assert kinds["tags_1"] == "multivalue" and set(read("tags_1").columns) == {"value", "id"}
 
 
+def write_dump(folder, name, docs, indexes=()):
+    folder.mkdir(exist_ok=True)
+    (folder / f"{name}.bson").write_bytes(b"".join(encode(d) for d in docs))
+    (folder / f"{name}.metadata.json").write_text(json.dumps({"indexes": list(indexes)}))
+
+
+def test_reload_replaces_everything_even_by_nothing(spark, tmp_path):
+    folder, dest = tmp_path / "dump", str(tmp_path / "lake")
+    keys = [{"name": "_id_", "key": {"_id": 1}}, {"name": "v_1", "key": {"v": 1}}]
+    write_dump(folder, "a", [{"_id": n, "v": n} for n in range(20)], keys)
+    write_dump(folder, "b", [{"_id": 1, "v": 1}], keys)
+    (folder / "a.bson").write_bytes((folder / "a.bson").read_bytes() + b"\x0b\0\0\0\x42ab\0zz\0")
+    run(spark, str(folder), dest)
+    names = lambda: sorted(p.name for p in (tmp_path / "lake" / "indexes").iterdir())
+    assert names() == ["a$_id_", "a$v_1", "b$_id_", "b$v_1"]
+    write_dump(folder, "a", [], keys[:1])
+    run(spark, str(folder), dest, collections="a", if_exists="drop")
+    assert [r["collection"] for r in read_documents(spark, dest).collect()] == ["b"]
+    assert "a$v_1" not in names() and names()[-2:] == ["b$_id_", "b$v_1"]
+    for table in ("rejected", "guide", "key_chars"):
+        assert not (tmp_path / "lake" / table / "collection=a").exists()
+
+
+def test_index_names_that_differ_by_dot_and_underscore(spark, tmp_path):
+    folder, dest = tmp_path / "dump", str(tmp_path / "lake")
+    keys = [{"name": "a.b_1", "key": {"a.b": 1}}, {"name": "a_b_1", "key": {"a_b": -1}}]
+    write_dump(folder, "c", [{"_id": n, "a": {"b": n}, "a_b": str(n)} for n in range(9)], keys)
+    plan = {r["index_name"]: r for r in run(spark, str(folder), dest).plan.collect()}
+    assert {n: r["status"] for n, r in plan.items()} == {"a_b_1": "build", "a_b_1~2": "build"}
+    assert spark.read.parquet(f"{dest}/indexes/c$a_b_1").columns == ["id", "a.b"]
+    assert spark.read.parquet(f"{dest}/indexes/c$a_b_1~2").columns == ["id", "a_b"]
+
+
+def test_rebuilding_indexes_keeps_the_types_of_the_load(spark, tmp_path):
+    folder, dest = tmp_path / "dump", str(tmp_path / "lake")
+    keys = [{"name": "at_1", "key": {"at": 1}}, {"name": "geo", "key": {"status": 1, "loc": "2dsphere"}}]
+    point = {"type": "Point", "coordinates": [1.5, 2.5]}
+    write_dump(folder, "c", [{"_id": n, "at": datetime(2024, 1, 1 + n), "status": "x", "loc": point} for n in range(9)], keys)
+    first = run(spark, str(folder), dest)
+    before = spark.read.parquet(f"{dest}/indexes/c$at_1").dtypes
+    again = run(spark, str(folder), dest, indexes="only")
+    assert spark.read.parquet(f"{dest}/indexes/c$at_1").dtypes == before and ("at", "timestamp") in before
+    assert spark.read.parquet(f"{dest}/indexes/c$geo").filter("cell_x = 1 and cell_y = 2").count() == 9
+    assert first.collections.collect()[0]["key_chars"] == again.collections.collect()[0]["key_chars"]
+
+
+def test_key_method_and_duplicate_keys(spark, tmp_path):
+    folder, dest = tmp_path / "dump", str(tmp_path / "lake")
+    write_dump(folder, "a", [{"_id": n} for n in range(3)])
+    write_dump(folder, "b", [{"_id": n} for n in range(3)])
+    run(spark, str(folder), dest, key_methods={"a": "UUID"}, indexes="skip")
+    ids = {c: {r["id"] for r in read_documents(spark, dest, [c]).collect()} for c in "ab"}
+    assert ids["b"] == {"0", "1", "2"} and len(ids["a"]) == 3 and all(len(i) == 36 for i in ids["a"])
+    with pytest.raises(ValueError):
+        run(spark, str(folder), dest, key_methods={"a": "OTHER"})
+
+
 def test_bad_options(spark, source, tmp_path):
     for options in ({"indexes": "only", "if_exists": "drop"}, {"indexes": "x"}, {"if_exists": "x"}):
         with pytest.raises(ValueError):
