@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import Column, functions as F
 
+KEPT_AS_TEXT = r"^(NaN|-?Infinity|-?[0-9.]{39,}|-?[0-9](\.[0-9]+)?E[+-][0-9]{2,4})$"
 PLAIN_NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
 # Guide type -> Spark column type used when nothing narrower is known.
@@ -49,8 +50,12 @@ def typed(
         raise ValueError(f"{gtype!r} is not a type a key column can have")
     out = spark_type or SPARK_TYPES[gtype]
     if gtype in ("number", "double"):
-        ok = (schema == "BIGINT") | schema.startswith("DECIMAL") | schema.isin("DOUBLE", "FLOAT")
-        value = F.try_variant_get(v, "$", out)
+        # What JSON has no number for is kept as text by the decoder: no finite number, or more digits than a decimal holds
+        text = F.when(schema == "STRING", F.try_variant_get(v, "$", "string"))
+        kept = F.coalesce(text.rlike(KEPT_AS_TEXT), F.lit(False))
+        value = F.when(kept, text.try_cast(out)).otherwise(F.try_variant_get(v, "$", out))
+        number = (schema == "BIGINT") | schema.startswith("DECIMAL") | schema.isin("DOUBLE", "FLOAT")
+        ok = (number | kept) & value.isNotNull()  # a number the column type cannot hold is of a wrong type
     elif gtype == "timestamp":
         text = F.try_variant_get(v, "$", "string").try_cast("timestamp")
         ok = schema.startswith("TIMESTAMP") | (schema == "DATE") | ((schema == "STRING") & text.isNotNull())

@@ -139,6 +139,14 @@ def _ordered(text: Column, gtype: Column) -> Column:
     return F.when(text.isNotNull(), F.struct(as_double.alias("n"), exact.alias("i"), text.alias("t")))
 
 
+def _scale(text: Column, gtype: Column) -> Column:
+    """Digits behind the decimal point of a number's text."""
+    mantissa = F.substring_index(text, "E", 1)
+    behind = F.when(F.contains(mantissa, F.lit(".")), F.length(F.substring_index(mantissa, ".", -1))).otherwise(0)
+    exponent = F.when(F.contains(text, F.lit("E")), F.substring_index(text, "E", -1).try_cast("int")).otherwise(0)
+    return F.when(gtype == "number", F.greatest(F.lit(0), behind - F.coalesce(exponent, F.lit(0))))
+
+
 def guide_of(rows: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Aggregate flattened rows to one row per (path, type).
 
@@ -159,6 +167,7 @@ def guide_of(rows: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
         F.count(F.lit(1)).alias("n_values"),
         F.bitmap_count(F.bitmap_construct_agg(F.when(F.col("in_array"), F.bitmap_bit_position(doc)))).alias("marked"),
         F.min("integral").alias("integral"),
+        F.max(F.when(~F.col("integral"), _scale(text, F.col("type")))).alias("scale"),
     )
     return partial.groupBy(*by, "path", "type").agg(
         F.max("length").cast("bigint").alias("length"),
@@ -167,6 +176,7 @@ def guide_of(rows: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
         F.sum(F.when(F.col("in_array"), F.col("marked")).otherwise(F.col("n_values"))).alias("n_docs"),
         F.sum("n_values").alias("n_values"),
         F.min("integral").alias("integral"),
+        F.max("scale").alias("scale"),
     )
 
 
@@ -180,6 +190,7 @@ def merge_parts(parts: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
         F.sum("n_docs").alias("n_docs"),
         F.sum("n_values").alias("n_values"),
         F.min("integral").alias("integral"),
+        F.max("scale").alias("scale"),
     )
 
 
@@ -202,12 +213,15 @@ def data_guide(
 
 
 def cached_data_guide(df: DataFrame, folder: str, collection: str, **options) -> DataFrame:
-    """Data guide kept per (collection, row count): read when the count matches, else computed and written."""
+    """Data guide kept per (collection, row count, options): read when all match, else computed and written."""
     spark = df.sparkSession
-    path = f"{folder}/{collection}.dataguide.{df.count()}"
+    chosen = "".join(f".{name}={options[name]}" for name in sorted(options))
+    path = f"{folder}/{collection}.dataguide.{df.count()}{chosen}"
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         data_guide(df, **options).write.mode("ignore").parquet(path)
         return spark.read.parquet(path)
 
@@ -222,7 +236,14 @@ def key_volume(df: DataFrame, max_depth: int | None = None, count_positions: boo
     return nodes.agg(F.sum(names).cast("bigint").alias("key_chars"))
 
 
+def _whole_digits(text: Column) -> Column:
+    """Digits before the decimal point of a number's text, never too few."""
+    size = F.abs(text.try_cast("double"))
+    return F.when(size >= 1, F.floor(F.log10(size)).cast("int") + 1).otherwise(1)
+
+
 def _types_by_key(guide: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    number = F.col("type") == "number"
     family = F.when(F.col("type") == "double", "number").otherwise(F.col("type"))
     return (
         guide.filter(F.col("type").isNotNull() & (F.col("path") != "$"))
@@ -234,6 +255,9 @@ def _types_by_key(guide: DataFrame, by: tuple[str, ...]) -> DataFrame:
             F.max(F.when(F.col("type") == "double", "double")).alias("has_double"),
             F.min("integral").alias("integral"),
             F.max("length").alias("length"),
+            F.max("scale").alias("scale"),
+            F.max(F.when(number, F.greatest(_whole_digits(F.col("low")), _whole_digits(F.col("high"))))).alias("digits"),
+            F.min(F.when(number, F.col("low").try_cast("bigint").isNotNull() & F.col("high").try_cast("bigint").isNotNull())).alias("fits"),
         )
     )
 
@@ -241,23 +265,29 @@ def _types_by_key(guide: DataFrame, by: tuple[str, ...]) -> DataFrame:
 def key_types(guide: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Type per normalised path; ``multitype`` when types of different families meet.
 
-    ``number`` and ``double`` are one family. ``spark_type`` is the narrowest
-    column type that holds every value seen.
+    ``number`` and ``double`` are one family. ``spark_type`` is a column type that holds every value seen as it is:
+    ``bigint``, else a decimal with the digits needed on both sides of the point, else (beyond 38 digits) ``double``.
     """
-    if "integral" not in guide.columns:
-        guide = guide.withColumn("integral", F.lit(False))
+    for column, default in (("integral", F.lit(False)), ("scale", F.lit(None).cast("int"))):
+        if column not in guide.columns:
+            guide = guide.withColumn(column, default)
     t = _types_by_key(guide, by)
     kind = (
         F.when(F.col("families") > 1, "multitype")
         .when(F.col("family") == "number", F.coalesce("has_double", F.lit("number")))
         .otherwise(F.col("family"))
     )
+    # Ten fraction digits where there is room, as for numbers of which nothing is known
+    scale = F.least(F.greatest(F.coalesce("scale", F.lit(0)), F.lit(10)), 38 - F.col("digits"))
+    decimal = F.when(F.col("digits") + F.coalesce("scale", F.lit(0)) > 38, "double").otherwise(
+        F.concat(F.lit("decimal(38,"), F.when(F.col("integral"), 0).otherwise(scale).cast("string"), F.lit(")"))
+    )
     spark_type = (
-        F.when((F.col("type") == "number") & F.col("integral"), "bigint")
-        .when(F.col("type") == "number", "decimal(38,10)")
+        F.when((F.col("type") == "number") & F.col("integral") & F.col("fits"), "bigint")
+        .when(F.col("type") == "number", F.coalesce(decimal, F.lit("decimal(38,10)")))
         .when(~F.col("type").isin("object", "array", "multitype"), F.col("type"))
     )
-    return t.select(*by, "key", kind.alias("type"), "length", "integral").select(
+    return t.select(*by, "key", kind.alias("type"), "length", "integral", "scale", "digits", "fits").select(
         *by, "key", "type", spark_type.alias("spark_type"), F.col("length").alias("max_length")
     )
 

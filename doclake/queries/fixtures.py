@@ -6,6 +6,7 @@ import struct
 import uuid
 from collections.abc import Iterator
 from datetime import datetime
+from decimal import Decimal
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -34,6 +35,11 @@ def _element(name: str, value) -> bytes:
         return b"\x12" + key + struct.pack("<q", value)
     if isinstance(value, float):
         return b"\x01" + key + struct.pack("<d", value)
+    if isinstance(value, Decimal):
+        sign, digits, exponent = value.as_tuple()
+        number = int("".join(map(str, digits)))
+        high = sign << 63 | (exponent + 6176) << 49 | number >> 64
+        return b"\x13" + key + struct.pack("<QQ", number & (1 << 64) - 1, high)
     if isinstance(value, str):
         raw = value.encode() + b"\0"
         return b"\x02" + key + struct.pack("<i", len(raw)) + raw

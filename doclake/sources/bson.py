@@ -364,13 +364,15 @@ class GuideParts:
             at = path, kind
             row = self.rows.get(at)
             if row is None:
-                # length, low, high (each comparable, text), documents, values, integral, name characters
-                row = self.rows[at] = [None, None, None, 0, 0, True, 0]
+                # length, low, high (each comparable, text), documents, values, integral, name characters, fraction digits
+                row = self.rows[at] = [None, None, None, 0, 0, True, 0, 0]
             if at not in seen:
                 seen.add(at)
                 row[3] += 1
             row[4] += 1
             row[5] = row[5] and leaf["integral"]
+            if kind == "number" and not leaf["integral"]:
+                row[7] = max(row[7], fraction_digits(text))
             if name is not None:
                 row[6] += len(name)
             if text is not None:
@@ -388,7 +390,7 @@ class GuideParts:
         out = [
             {
                 "path": path, "type": kind, "length": r[0], "low": r[1] and r[1][1], "high": r[2] and r[2][1],
-                "n_docs": r[3], "n_values": r[4], "integral": r[5], "key_chars": r[6],
+                "n_docs": r[3], "n_values": r[4], "integral": r[5], "scale": r[7], "key_chars": r[6],
             }
             for (path, kind), r in self.rows.items()
         ]
@@ -396,6 +398,12 @@ class GuideParts:
         return out
 
 
+def fraction_digits(text: str) -> int:
+    """Digits behind the decimal point of a number's text; 0 for what is no finite number."""
+    exponent = Decimal(text).as_tuple().exponent
+    return max(0, -exponent) if isinstance(exponent, int) else 0
+
+
 def _comparable(text: str):
     """A number's text as something that orders like the number; not-a-number above all."""
     try:

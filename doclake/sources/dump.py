@@ -43,7 +43,8 @@ LEAF = pa.struct(
 )
 PART = pa.struct(
     [("path", pa.string()), ("type", pa.string()), ("length", pa.int64()), ("low", pa.string()), ("high", pa.string()),
-     ("n_docs", pa.int64()), ("n_values", pa.int64()), ("integral", pa.bool_()), ("key_chars", pa.int64())]
+     ("n_docs", pa.int64()), ("n_values", pa.int64()), ("integral", pa.bool_()), ("scale", pa.int32()),
+     ("key_chars", pa.int64())]
 )
 MAX_PARTS = 50_000
 RECORD_ARROW = pa.schema(
@@ -56,7 +57,7 @@ RECORD = (
     "leaves array<struct<path:string,key:string,pos:int,type:string,integral:boolean,value:string,in_array:boolean>>, "
     "error string, "
     "parts array<struct<path:string,type:string,length:bigint,low:string,high:string,n_docs:bigint,n_values:bigint,"
-    "integral:boolean,key_chars:bigint>>"
+    "integral:boolean,scale:int,key_chars:bigint>>"
 )
 
 

@@ -176,3 +176,19 @@ def test_no_folder_of_our_own_on_a_cluster():
     )
     with pytest.raises(RuntimeError):
         shared_dir(session)
+
+
+def test_numbers_are_indexed_as_they_are(spark, tmp_path):
+    from decimal import Decimal
+
+    folder, dest = tmp_path / "dump", str(tmp_path / "lake")
+    keys = [{"name": f"{k}_1", "key": {k: 1}} for k in ("wide", "fine", "odd", "plain")]
+    wide, fine = Decimal(10) ** 25, Decimal("0.123456789012")
+    write_dump(folder, "c", [{"_id": n, "wide": wide + n, "fine": fine + n, "odd": float("nan") if n else 0.5, "plain": n} for n in range(9)], keys)
+    plan = {r["index_name"]: r["status"] for r in run(spark, str(folder), dest).plan.collect()}
+    assert set(plan.values()) == {"build"}
+    read = lambda k: [r[k] for r in spark.read.parquet(f"{dest}/indexes/c${k}_1").orderBy("id").collect()]
+    assert read("wide") == [wide + n for n in range(9)]
+    assert read("fine") == [fine + n for n in range(9)]
+    assert read("odd")[0] == 0.5 and all(x != x for x in read("odd")[1:])
+    assert read("plain") == list(range(9))
