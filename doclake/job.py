@@ -17,7 +17,7 @@ from doclake.operators.select import select_collections
 from doclake.operators.shape import parse_docs, with_keys, with_system_columns
 from doclake.operators.sinks import codec, read_collection
 from doclake.plans.index_plan import index_keys, index_plan
-from doclake.runtime import children, remove, stored
+from doclake.runtime import children, remove, scratch_scope, stored
 from doclake.sources.dump import BLOCK_BYTES, dump_catalog, dump_metadata, read_bson_and_parts
 
 LOG = logging.getLogger(__name__)
@@ -90,15 +90,28 @@ def _load(
     return todo, skipped, staged
 
 
+GUIDE = (
+    "path string, type string, length bigint, low string, high string, n_docs bigint, n_values bigint, integral boolean, "
+    "scale int, collection string"
+)
+
+
+def _kept_guide(spark: SparkSession, dest: str, names: list[str]) -> tuple[DataFrame, DataFrame] | None:
+    if None in [read_collection(spark, f"{dest}/{t}") for t in ("guide", "key_chars")]:
+        return None
+    guide = spark.read.schema(GUIDE).parquet(f"{dest}/guide")
+    chars = spark.read.schema("key_chars bigint, collection string").parquet(f"{dest}/key_chars")
+    return select_collections(guide, names), select_collections(chars, names)
+
+
 def _guide(spark: SparkSession, dest: str, docs: DataFrame, names: list[str], staged: DataFrame | None) -> tuple[DataFrame, DataFrame]:
     """The data guide and the name characters per collection: from the pass that decoded the records, else from what an
     earlier run stored, else from the documents' text (which knows fewer types)."""
-    kept = [read_collection(spark, f"{dest}/{t}") for t in ("guide", "key_chars")]
-    if staged is None and None not in kept:
-        guide, chars = (select_collections(k.withColumn("collection", F.col("collection").cast("string")), names) for k in kept)
-        stored_names = {r["collection"] for r in chars.select("collection").distinct().collect()}
-        if stored_names == {r["collection"] for r in docs.select("collection").distinct().collect()}:
-            return guide, chars
+    kept = _kept_guide(spark, dest, names) if staged is None else None
+    if kept is not None:
+        of_guide, of_docs = ({r["collection"] for r in t.select("collection").distinct().collect()} for t in (kept[1], docs))
+        if of_guide == of_docs:
+            return kept
     if staged is not None:
         parts = staged.filter("parts is not null")
         guide = G.merge_parts(parts, ("collection",))
@@ -107,10 +120,10 @@ def _guide(spark: SparkSession, dest: str, docs: DataFrame, names: list[str], st
         flat = G.flatten(parse_docs(docs), None, ("collection",))
         guide = G.guide_of(flat, ("collection",))
         chars = flat.groupBy("collection").agg(F.sum(F.length(F.coalesce("key", F.lit("")))).alias("key_chars"))
-    guide, chars = stored(guide, "guide"), stored(chars, "key-chars")
+    guide = stored(guide, "guide")
     for table, rows in (("guide", guide), ("key_chars", chars)):
         rows.write.mode("overwrite").options(**DYNAMIC).partitionBy("collection").parquet(f"{dest}/{table}")
-    return guide, chars
+    return _kept_guide(spark, dest, names)
 
 
 def _reason(failure: Exception) -> str:
@@ -188,20 +201,19 @@ def run(
     result = Result()
     catalog = select_collections(dump_catalog(spark, source), collections)
     names = sorted(r["collection"] for r in catalog.select("collection").collect())
-    if indexes == "only":
-        result.loaded, staged = names, None
-    else:
-        result.loaded, result.skipped, staged = _load(
-            spark, source, dest, names, if_exists, sample, level, block_bytes, key_methods or {}, allow_duplicate_keys
-        )
-    load_ms = int((time.monotonic() - started) * 1000)
-    if not result.loaded:
-        return result
-
-    docs = read_documents(spark, dest, result.loaded)
-    if indexes == "only":
-        _clear(spark, dest, result.loaded, names, ())
-    guide, chars = _guide(spark, dest, docs, result.loaded, staged)
+    with scratch_scope(spark):  # the decoded dump goes once its documents and its guide are written
+        if indexes == "only":
+            result.loaded, staged = names, None
+            _clear(spark, dest, names, names, ())
+        else:
+            result.loaded, result.skipped, staged = _load(
+                spark, source, dest, names, if_exists, sample, level, block_bytes, key_methods or {}, allow_duplicate_keys
+            )
+        load_ms = int((time.monotonic() - started) * 1000)
+        if not result.loaded:
+            return result
+        docs = read_documents(spark, dest, result.loaded)
+        guide, chars = _guide(spark, dest, docs, result.loaded, staged)
     metadata = select_collections(dump_metadata(spark, source), result.loaded)
     plan = stored(index_plan(index_keys(metadata), guide, multivalue), "plan")
 
@@ -212,8 +224,9 @@ def run(
             table = f"{row['collection']}${row['index_name']}"
             try:
                 documents = parse_docs(read_documents(spark, dest, [row["collection"]]))
-                rows = build_index(documents, row, cell_deg)
-                rows.write.mode("overwrite").options(**codec(level)).parquet(f"{dest}/indexes/{table}")
+                with scratch_scope(spark):
+                    rows = build_index(documents, row, cell_deg)
+                    rows.write.mode("overwrite").options(**codec(level)).parquet(f"{dest}/indexes/{table}")
             except Exception as e:  # whatever happens to one index, the others are built and all are reported
                 LOG.warning("index %s failed: %s", table, e)
                 return row["collection"], row["index_name"], _reason(e)

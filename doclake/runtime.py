@@ -5,8 +5,10 @@ from __future__ import annotations
 import io
 import re
 import tempfile
+import threading
 import uuid
 import zipfile
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyarrow import fs as pafs
@@ -41,10 +43,27 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/doclake/{name}-{uuid.uuid4().hex}"
 
 
+_open_scopes = threading.local()
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """What this thread stores inside is removed at the end; results must be written elsewhere by then."""
+    scopes = _open_scopes.__dict__.setdefault("paths", [])
+    scopes.append([])
+    try:
+        yield
+    finally:
+        for path in scopes.pop():
+            remove(spark, path)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage and survives executor loss."""
     spark = df.sparkSession
     path = scratch(spark, name)
+    if _open_scopes.__dict__.get("paths"):
+        _open_scopes.paths[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from doclake.job import read_documents, run
 from doclake.operators.indexes import document_frequency
 from doclake.queries.fixtures import encode
+from doclake.runtime import children, shared_dir
 from doclake.streaming import sync
 
 
@@ -108,7 +109,10 @@ def test_rebuilding_indexes_keeps_the_types_of_the_load(spark, tmp_path):
     keys = [{"name": "at_1", "key": {"at": 1}}, {"name": "geo", "key": {"status": 1, "loc": "2dsphere"}}]
     point = {"type": "Point", "coordinates": [1.5, 2.5]}
     write_dump(folder, "c", [{"_id": n, "at": datetime(2024, 1, 1 + n), "status": "x", "loc": point} for n in range(9)], keys)
+    held = [p for p, _ in children(spark, f"{shared_dir(spark)}/doclake")]
     first = run(spark, str(folder), dest)
+    left = {n.rsplit("-", 1)[0] for p, n in children(spark, f"{shared_dir(spark)}/doclake") if p not in held}
+    assert left <= {"plan", "package"}  # nothing of the size of the data stays
     before = spark.read.parquet(f"{dest}/indexes/c$at_1").dtypes
     again = run(spark, str(folder), dest, indexes="only")
     assert spark.read.parquet(f"{dest}/indexes/c$at_1").dtypes == before and ("at", "timestamp") in before
