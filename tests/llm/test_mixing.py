@@ -23,10 +23,10 @@ def test_raking_and_probabilities_like_brute_force(spark):
     cells = {("a", "x", "p"): 50, ("a", "y", "q"): 30, ("b", "x", "q"): 15, ("b", "y", "p"): 5, ("b", "y", "q"): 100, ("c", "x", "p"): 7}
     given = {"source": {"a": 0.5, "b": 0.3, "c": 0.2}, "lang": {"x": 0.6, "y": 0.4}, "topic": {"p": 0.55, "q": 0.45}}
     table = spark.createDataFrame([(*k, w) for k, w in cells.items()], "source string, lang string, topic string, tokens long")
-    fitted = rake(table, given, sweeps=200, tolerance=1e-9)
+    fitted = rake(table, given, sweeps=100, tolerance=1e-6)
     want = brute_rake(cells, [given[d] for d in DIMS])
     got = {tuple(r[d] for d in DIMS): r for r in fitted.collect()}
-    assert {k: r.raked for k, r in got.items()} == pytest.approx(want, rel=1e-5)
+    assert {k: r.raked for k, r in got.items()} == pytest.approx(want, rel=1e-4)
     chances = {tuple(r[d] for d in DIMS): r for r in probabilities(fitted, 0.5).collect()}
     assert sum(cells[k] * r.probability for k, r in chances.items()) == pytest.approx(0.5 * sum(cells.values()))
     scales = [r.probability / r.weight for r in chances.values() if r.probability < 1]
