@@ -26,6 +26,7 @@ from doclake.sources.bson import FIXED, I32, MIN_RECORD, BsonError, Decoder, Gui
 BLOCK_BYTES = 128 << 20
 WINDOW = 1 << 20
 BATCH = 2048
+BATCH_BYTES = 32 << 20
 MAX_TASKS = 100_000
 NOT_ZERO = re.compile(rb"[^\0]")
 KNOWN = frozenset(FIXED) | {2, 3, 4, 5, 11, 12, 13, 14, 15}
@@ -254,9 +255,11 @@ class _Records:
         self.keep_leaves = output == "leaves"
         self.parts = GuideParts() if output == "parts" else None
         self.rows: list[dict] = []
+        self.size = 0
 
     def add(self, file: str, offset: int, raw: bytes) -> None:
         row = {"file": file, "offset": offset, "bson_len": len(raw)}
+        self.size += len(raw)
         try:
             row["doc"], row["id"], row["oid"], leaves = self.decoder.decode(raw)
         except BsonError as e:
@@ -279,9 +282,10 @@ class _Records:
             self.rows.append({"file": file, "parts": self.parts.take()})
 
     def batches(self, least: int) -> Iterator[pa.RecordBatch]:
-        if self.rows and len(self.rows) >= least:
+        """The rows so far, once there are enough of them or their records weigh enough."""
+        if self.rows and (len(self.rows) >= least or self.size >= BATCH_BYTES):
             yield pa.RecordBatch.from_pylist(self.rows, RECORD_ARROW)
-            self.rows = []
+            self.rows, self.size = [], 0
 
 
 def _block_reader(output: str, allow_duplicate_keys: bool):

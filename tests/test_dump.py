@@ -217,3 +217,14 @@ def test_structure_of_deep_records():
     broken[-2500] ^= 1
     assert not well_formed(bytes(broken), 0, len(broken))
     assert not well_formed(deep, 0, len(deep) - 1)
+
+
+def test_batches_are_bounded_by_bytes():
+    records = D._Records("docs", False)
+    raw = encode({"_id": 1, "text": "x" * (1 << 20)})
+    sizes = []
+    for i in range(100):
+        records.add("f", i, raw)
+        sizes += [b.num_rows for b in records.batches(D.BATCH)]
+    assert sizes and max(sizes) * len(raw) <= D.BATCH_BYTES + len(raw)
+    assert sum(sizes) + sum(b.num_rows for b in records.batches(1)) == 100
