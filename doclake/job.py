@@ -152,7 +152,10 @@ def build_index(docs: DataFrame, row: Row, cell_deg: float = 1.0) -> DataFrame:
         path, gtype = keys[0]
         return I.index_table(I.multivalue_index(docs, path, gtype, arrays, types.get(path)), [("value", order[0][1])])
     if kind == "primary_key":
-        check = I.primary_key(docs).first()
+        # 1 and "1" are two keys although their text is one
+        kind = F.schema_of_variant(F.try_variant_get("data", "$._id", "variant"))
+        keyed = docs.withColumn("_key", F.when(F.col("id").isNotNull(), F.concat(F.coalesce(kind, F.lit("")), F.lit(":"), "id")))
+        check = I.primary_key(keyed, "_key").first()
         if check["n_null"] or check["n_duplicate_keys"]:
             raise ValueError(f"primary key has {check['n_null']} nulls and {check['n_duplicate_keys']} duplicates")
         return I.index_table(docs.select("id"), [])
@@ -217,11 +220,11 @@ def run(
     metadata = select_collections(dump_metadata(spark, source), result.loaded)
     plan = stored(index_plan(index_keys(metadata), guide, multivalue), "plan")
 
-    failures = []
+    built = []
     if indexes != "skip":
 
-        def build(row: Row) -> tuple[str, str, str] | None:
-            table = f"{row['collection']}${row['index_name']}"
+        def build(row: Row) -> tuple[str, str, str | None, int]:
+            table, begun, reason = f"{row['collection']}${row['index_name']}", time.monotonic(), None
             try:
                 documents = parse_docs(read_documents(spark, dest, [row["collection"]]))
                 with scratch_scope(spark):
@@ -229,16 +232,16 @@ def run(
                     rows.write.mode("overwrite").options(**codec(level)).parquet(f"{dest}/indexes/{table}")
             except Exception as e:  # whatever happens to one index, the others are built and all are reported
                 LOG.warning("index %s failed: %s", table, e)
-                return row["collection"], row["index_name"], _reason(e)
-            return None
+                reason = _reason(e)
+            return row["collection"], row["index_name"], reason, int((time.monotonic() - begun) * 1000)
 
         # Index definitions are catalog-sized; every build is a distributed job, a few run side by side.
         with ThreadPoolExecutor(PARALLEL_BUILDS) as pool:
             outcomes = pool.map(inheritable_thread_target(spark)(build), plan.filter("status = 'build'").collect())
-            failures = [o for o in outcomes if o]
-    if failures:
-        bad = spark.createDataFrame(failures, "collection string, index_name string, reason string")
-        plan = plan.join(bad, ["collection", "index_name"], "left").withColumns(
+            built = list(outcomes)
+    if built:
+        done = spark.createDataFrame(built, "collection string, index_name string, reason string, build_ms bigint")
+        plan = plan.join(done, ["collection", "index_name"], "left").withColumns(
             {
                 "status": F.when(F.col("reason").isNotNull(), "failed").otherwise(F.col("status")),
                 "reasons": F.when(F.col("reason").isNotNull(), F.array("reason")).otherwise(F.col("reasons")),

@@ -201,8 +201,9 @@ def index_report(plan: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
     """One row per index: its table name, kind, status, fields, reasons, bytes.
 
     ``sizes(table_name, n_bytes)``. The primary key is listed under the name the
-    source gave it.
+    source gave it. A plan with ``build_ms`` hands the durations on.
     """
+    timed = ["build_ms"] if "build_ms" in plan.columns else []
     rows = plan.select(
         "collection",
         index_table_name(F.col("collection"), F.col("index_name")).alias("table_name"),
@@ -210,6 +211,7 @@ def index_report(plan: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
         F.array_join(F.transform("columns", lambda c: c["path"]), ",").alias("fields"),
         F.array_join("reasons", "; ").alias("reasons"),
         F.col("kind").isin("simple_mv", "compound_mv").alias("on_view"),
+        *timed,
     )
     if sizes is None:
         return rows.withColumn("n_bytes", F.lit(None).cast("bigint"))

@@ -182,6 +182,14 @@ def test_no_folder_of_our_own_on_a_cluster():
         shared_dir(session)
 
 
+def test_keys_of_one_text_and_build_durations(spark, tmp_path):
+    folder, dest = tmp_path / "dump", str(tmp_path / "lake")
+    write_dump(folder, "c", [{"_id": 1}, {"_id": "1"}, {"_id": 2}], [{"name": "_id_", "key": {"_id": 1}}])
+    report = run(spark, str(folder), dest).indexes.first()
+    assert report["status"] == "build" and report["build_ms"] > 0
+    assert spark.read.parquet(f"{dest}/indexes/c$_id_").count() == 3
+
+
 def test_numbers_are_indexed_as_they_are(spark, tmp_path):
     from decimal import Decimal
 
