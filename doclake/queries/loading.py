@@ -477,16 +477,21 @@ def report_csv(spark, sf):
 # --- end to end and streaming ----------------------------------------------------------
 
 
+def with_indexes(spark, folder: str, metadata: str) -> str:
+    """The folder, with the same index metadata beside every collection's dump."""
+    names = D.dump_catalog(spark, folder).select(F.concat("collection", F.lit(".metadata.json")).alias("name"))
+    write_files(names.withColumn("content", F.lit(metadata)), folder)
+    return folder
+
+
 @query("load_dump", """
 SELECT count(*) AS n_docs, sum(o_totalprice)::DECIMAL(20, 2) AS total, 'primary_key:build,simple:build,simple:failed' AS plan FROM orders
 """)
 def load_dump(spark, sf):
-    folder, dest = order_dump(spark, sf), scratch(spark, "lake")
     metadata = (
         '{"indexes":[{"name":"_id_","key":{"_id":1}},{"name":"status_1","key":{"status":1}},{"name":"no","key":{"nope":1}}]}'
     )
-    names = D.dump_catalog(spark, folder).select(F.concat("collection", F.lit(".metadata.json")).alias("name"))
-    write_files(names.withColumn("content", F.lit(metadata)), folder)
+    folder, dest = with_indexes(spark, order_dump(spark, sf), metadata), scratch(spark, "lake")
     result = run(spark, folder, dest, block_bytes=256 << 10)
     kinds = result.plan.agg(F.array_join(F.sort_array(F.collect_set(F.concat_ws(":", "kind", "status"))), ",").alias("p"))
     docs = read_documents(spark, dest).select(F.from_json("doc", "total decimal(20,2)")["total"].alias("total"))
@@ -495,6 +500,44 @@ def load_dump(spark, sf):
     )
 
 
+@query("reload_drop", """
+SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_totalprice AS DECIMAL(20, 2)) AS total FROM orders WHERE o_orderstatus = 'F'
+""")
+def reload_drop(spark, sf):
+    """All orders loaded, then dropped for some of them: documents and index hold the second load only."""
+    metadata = '{"indexes":[{"name":"total_1","key":{"total":1}}]}'
+    some = write_dump(order_rows(spark, sf).filter("status = 'F'"), "orders")
+    dest = scratch(spark, "lake")
+    run(spark, with_indexes(spark, order_dump(spark, sf), metadata), dest, block_bytes=BLOCK)
+    run(spark, with_indexes(spark, some, metadata), dest, if_exists="drop", block_bytes=BLOCK)
+    index = spark.read.parquet(f"{dest}/indexes/*").select("id", F.col("total").cast("decimal(20,2)").alias("total"))
+    return read_documents(spark, dest).select("id").join(index, "id", "full")
+
+
+@query("index_name_twins", """
+SELECT CAST(o_orderkey AS VARCHAR) AS id, o_custkey AS custkey, o_orderstatus AS status FROM orders
+""")
+def index_name_twins(spark, sf):
+    """Index names that differ only by a dot and an underscore give two tables, each with its own key."""
+    metadata = '{"indexes":[{"name":"k.1","key":{"custkey":1}},{"name":"k_1","key":{"status":1}}]}'
+    dest = scratch(spark, "lake")
+    run(spark, with_indexes(spark, order_dump(spark, sf), metadata), dest, block_bytes=BLOCK)
+    first, second = (spark.read.parquet(f"{dest}/indexes/*${name}") for name in ("k_1", "k_1~2"))
+    return first.join(second, "id", "full").select("id", "custkey", "status")
+
+
+@query("index_only_types", """
+SELECT CAST(o_orderkey AS VARCHAR) AS id, o_totalprice AS total, CAST(o_orderdate AS TIMESTAMP) AS at FROM orders
+""")
+def index_only_types(spark, sf):
+    """Indexes rebuilt from loaded documents have the types that the load found in the dump."""
+    metadata = '{"indexes":[{"name":"at_1","key":{"date":1,"total":1}}]}'
+    folder, dest = with_indexes(spark, order_dump(spark, sf), metadata), scratch(spark, "lake")
+    run(spark, folder, dest, indexes="skip", block_bytes=BLOCK)
+    run(spark, folder, dest, indexes="only")
+    return spark.read.parquet(f"{dest}/indexes/*").select("id", "total", F.col("date").alias("at"))
+
+
 @query("text_index_stream", """
 WITH t AS (SELECT doc_id AS id, unnest(string_split_regex(lower(text), '[^a-z0-9]+')) AS token FROM documents)
 SELECT token, id, count(*) AS tf FROM t WHERE token <> '' GROUP BY ALL
