@@ -79,24 +79,26 @@ def target_table(cells: DataFrame, dimension: str, given: dict[str, float] | Non
 def rake(cells: DataFrame, targets: Targets | None = None, *, alpha: float = 0.7, sweeps: int = 40, tolerance: float = 1e-6) -> DataFrame:
     """``cells`` (source, lang, topic, tokens) with ``raked``: token shares that fit the target marginals."""
     targets = targets or {}
-    wanted = {d: stored(target_table(cells, d, targets.get(d), alpha), "mix-target") for d in DIMENSIONS}
     fitted = cells.withColumn("raked", F.col("tokens").cast("double"))
+    for d in DIMENSIONS:  # the target of its name in each dimension stays with a cell
+        wanted = target_table(cells, d, targets.get(d), alpha).withColumnRenamed("share", f"share_{d}")
+        fitted = fitted.join(wanted, d, "left").fillna(0.0, [f"share_{d}"])
+    fitted = stored(fitted, "mix-cells")
     for _ in range(sweeps):
         off = []
         for d in DIMENSIONS:
-            sums = fitted.groupBy(d).agg(F.sum("raked").alias("now"))
-            factor = sums.join(wanted[d], d, "left").select(
-                d, F.when(F.col("now") > 0, F.coalesce("share", F.lit(0.0)) / F.col("now")).otherwise(0.0).alias("factor")
-            )
+            sums = fitted.groupBy(d).agg(F.sum("raked").alias("now"), F.max(f"share_{d}").alias("share"))
+            factor = sums.select(d, F.when(F.col("now") > 0, F.col("share") / F.col("now")).otherwise(0.0).alias("factor"))
             scaled = {"raked": F.col("raked") * F.col("factor"), f"off_{d}": F.abs(F.col("factor") - 1)}
-            fitted = fitted.join(factor, d).withColumns(scaled).drop("factor")
+            # Merged rather than broadcast: dozens of broadcasts in a row would pile up in the driver
+            fitted = fitted.join(factor.hint("merge"), d).withColumns(scaled).drop("factor")
             off.append(f"off_{d}")
         fitted = stored(fitted, "mix-cells")
         worst = fitted.filter("raked > 0").agg(F.max(F.greatest(*off))).first()[0]
         fitted = fitted.drop(*off)
         if worst is None or worst <= tolerance:
             break
-    return fitted
+    return fitted.drop(*(f"share_{d}" for d in DIMENSIONS))
 
 
 def probabilities(fitted: DataFrame, budget: float) -> DataFrame:
