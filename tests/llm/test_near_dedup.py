@@ -1,6 +1,7 @@
 import random
 import re
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -91,6 +92,44 @@ def test_one_large_group(spark, with_original):
     assert {r.doc_id for r in kept.collect()} == set(got.values())
 
 
+@pytest.mark.parametrize("edits", [0, 1])
+def test_documents_of_shared_passages(spark, edits):
+    """Texts put together from passages that many share, each with copies of one word changed: classes as by all pairs."""
+    rnd = random.Random(7)
+    passages = [[f"w{rnd.randrange(3000)}" for _ in range(22)] for _ in range(11)]
+    texts = []
+    for chosen in combinations(range(11), 8):
+        stock = [w for i in chosen for w in passages[i]]
+        texts += [" ".join(edited(rnd, stock, edits))] + [" ".join(edited(rnd, stock, 1)) for _ in range(2)]
+    rnd.shuffle(texts)
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], SCHEMA).repartition(5)
+    rows = sorted(docs.collect())
+    classes = brute(rows)
+    assert len(classes) > 100
+    got = {(r.doc_id, r.class_id, r.class_size) for r in near_duplicates(docs).collect()}
+    assert got == {(i, min(c), len(c)) for c in classes for i in c}
+    assert {r.doc_id for r in without_near_duplicates(docs).collect()} == {min(c) for c in classes}
+
+
+@pytest.mark.parametrize("with_original", [True, False])
+def test_one_large_group_as_by_all_pairs(spark, with_original):
+    """Class and size of every document, also where a single link at the threshold joins a class."""
+    rnd = random.Random(3)
+    first = [f"w{rnd.randrange(3000)}" for _ in range(150)]
+    texts = [" ".join(first)] if with_original else []
+    texts += [" ".join(edited(rnd, first, rnd.choice([1, 2, 4, 6, 9, 14]))) for _ in range(400)]
+    chain = first
+    for _ in range(12):
+        chain = edited(rnd, chain, 3)
+        texts.append(" ".join(chain))
+    texts += [" ".join(f"w{rnd.randrange(3000)}" for _ in range(rnd.choice([1, 4, 30]))) for _ in range(100)]
+    rnd.shuffle(texts)
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], SCHEMA).repartition(5)
+    classes = brute(sorted(docs.collect()))
+    got = {(r.doc_id, r.class_id, r.class_size) for r in near_duplicates(docs).collect()}
+    assert got == {(i, min(c), len(c)) for c in classes for i in c}
+
+
 def test_alignment_is_ordered_and_banded():
     rnd = random.Random(5)
     words = np.array([rnd.randrange(2**32) for _ in range(200)], np.uint32)
