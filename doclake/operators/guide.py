@@ -13,10 +13,16 @@ CONTAINERS = ("object", "array")
 
 
 def document_depth(df: DataFrame, data: str = "data") -> int:
-    """Deepest nesting over all documents (a flat object has depth 1).
+    """Deepest nesting over all documents (a flat object has depth 1)."""
+    return deepest(df, data).first()[0]
+
+
+def deepest(df: DataFrame, data: str = "data") -> DataFrame:
+    """One row with the deepest nesting, ``depth``.
 
     A document is reduced to its brackets; removing innermost pairs until
-    nothing is left counts the levels.
+    nothing is left counts the levels. Documents deeper than all steps can
+    peel stop the job instead of being measured too shallow.
     """
     no_text = F.regexp_replace(F.to_json(F.col(data)), r'"(?:[^"\\]++|\\.)*+"', "")
     brackets = F.translate(F.regexp_replace(no_text, r"[^\[\]{}]++", ""), "[]", "{}")
@@ -32,8 +38,10 @@ def document_depth(df: DataFrame, data: str = "data") -> int:
         return F.aggregate(F.sequence(F.lit(1), F.lit(most)), start, peel)
 
     few = df.select(levels(8, F.struct(brackets.alias("s"), F.lit(0).alias("n"))).alias("few"))
-    depth = F.when(F.col("few.s") == "", F.col("few.n")).otherwise(levels(1000, F.col("few"))["n"])
-    return few.agg(F.max(depth)).first()[0] or 0
+    all_ = few.select(F.when(F.col("few.s") == "", F.col("few")).otherwise(levels(1000, F.col("few"))).alias("all"))
+    too_deep = F.raise_error(F.lit("a document is nested deeper than 1008 levels")).cast("int")
+    depth = F.when(F.col("all.s") != "", too_deep).otherwise(F.col("all.n"))
+    return all_.agg(F.coalesce(F.max(depth), F.lit(0)).alias("depth"))
 
 
 def _step(parent: Column, key: Column) -> Column:

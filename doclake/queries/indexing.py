@@ -293,8 +293,7 @@ def key_volume(spark, sf):
 WITH {LINES} SELECT CASE WHEN max(len(charges)) > 0 THEN 3 ELSE 2 END AS depth FROM lines
 """)
 def document_depth(spark, sf):
-    depth = G.document_depth(line_docs(spark, sf))
-    return table(spark, sf, "lineitem").limit(1).select(F.lit(depth).alias("depth"))
+    return G.deepest(line_docs(spark, sf))
 
 
 @query("path_key", f"""

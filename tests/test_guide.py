@@ -56,6 +56,11 @@ def test_depth(spark):
     assert ("$.a.b", "object") in guide_rows(df)
 
 
+def test_depth_is_one_row_of_spark(spark):
+    assert [tuple(r) for r in G.deepest(docs(spark, '{"a":[{"c":[1]}]}')).collect()] == [(4,)]
+    assert [tuple(r) for r in G.deepest(docs(spark, "{}").limit(0)).collect()] == [(0,)]
+
+
 def test_empty_collection(spark):
     assert guide_rows(docs(spark, "{}")) == {}
     assert G.data_guide(docs(spark, "{}").limit(0)).count() == 0
