@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from doclake.llm import (
-    chat, decontaminate, exact_dedup, fixity, html_text, language_id, mixing, near_dedup, sharding, token_counts,
+    chat, chat_repair, decontaminate, exact_dedup, fixity, html_text, language_id, mixing, near_dedup, sharding, token_counts,
 )
 from doclake.runtime import stored
 
@@ -107,6 +107,82 @@ def op3_html_extraction(spark, sf):
     return html_text.extract(table(spark, sf, "pages"))
 
 
+#: crc32 of a short ASCII text in SQL: the table by eight shifts a byte, then a step a byte.
+_CRC = """crc_bits AS (
+  SELECT 0 AS k, i AS b, CAST(i AS BIGINT) AS c FROM range(256) t(i)
+  UNION ALL SELECT k + 1, b, xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END) FROM crc_bits WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY b) AS crc FROM crc_bits WHERE k = 8)"""
+
+
+def _crc(text: str) -> str:
+    return (
+        f"xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), "
+        f"list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT))), "
+        f"lambda c, b: xor(c >> 8, crc[xor(c & 255, b) + 1])))"
+    )
+
+
+def _finish(state: int) -> str:
+    """The best of deleting, keeping and changing one row in a state, without insertions before it."""
+    to, fill = {0: (2, "user"), 1: (2, "user"), 2: (3, "assistant"), 3: (2, "user")}[state]
+    legal = {0: "WHEN 's' THEN s1 WHEN 'u' THEN s2", 1: "WHEN 'u' THEN s2", 2: "WHEN 'a' THEN s3", 3: "WHEN 'u' THEN s2"}[state]
+    kept = f"CASE left(role, 1) {legal} END"
+    return (
+        f"list_min([{{c: s{state}.c + 3, a: 'D' || s{state}.a, t: s{state}.t}}, CASE WHEN NOT forced AND {kept} IS NOT NULL THEN "
+        f"{{c: ({kept}).c + late, a: 'K' || ({kept}).a, t: list_prepend(role || ':' || text, ({kept}).t)}} END, "
+        f"CASE WHEN NOT forced THEN {{c: s{to}.c + 2 + late, a: 'R' || s{to}.a, t: list_prepend('{fill}:' || text, s{to}.t)}} END])"
+    )
+
+
+def _insert(option: str, *fills: str) -> str:
+    lines = ", ".join(f"'{f}:'" for f in fills)
+    return f"{{c: {option}.c + {2 * len(fills)}, a: '{'I' * len(fills)}' || {option}.a, t: list_concat([{lines}], {option}.t)}}"
+
+
+_SOLID = r"[^\x20\x09-\x0D]"
+
+
+@query("op13_chat_repair", rf"""
+WITH RECURSIVE {_CRC},
+hurt AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc("concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS harm
+  FROM conversations, crc_table),
+rows_left AS (SELECT conv_id, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role,
+    CASE harm WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN harm = 3 THEN 2 ELSE 1 END)) AS copy FROM hurt WHERE harm <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+    count(*) OVER (PARTITION BY conv_id) AS n FROM rows_left),
+faulty AS (SELECT *, CASE WHEN NOT regexp_matches(text, '{_SOLID}') THEN 'blank'
+    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 'truncated' END AS fault,
+    left(lag(role) OVER (PARTITION BY conv_id ORDER BY pos), 1) || left(role, 1) AS pair FROM placed),
+coded AS (SELECT conv_id, pos, n, role, text, coalesce(fault IN ('blank', 'duplicate'), false) AS forced,
+    CASE WHEN fault = 'truncated' THEN 1 ELSE 0 END AS late FROM faulty),
+solved AS (
+  SELECT DISTINCT conv_id, n + 1 AS pos, {{c: 0, a: '', t: CAST([] AS VARCHAR[])}} AS s0,
+    {{c: 4, a: 'II', t: ['user:', 'assistant:']}} AS s1, {{c: 2, a: 'I', t: ['assistant:']}} AS s2,
+    {{c: 0, a: '', t: CAST([] AS VARCHAR[])}} AS s3 FROM coded
+  UNION ALL
+  SELECT conv_id, pos, list_min([e0, {_insert("e2", "user")}, {_insert("e3", "user", "assistant")}]),
+    list_min([e1, {_insert("e2", "user")}, {_insert("e3", "user", "assistant")}]),
+    list_min([e2, {_insert("e3", "assistant")}]), list_min([e3, {_insert("e2", "user")}])
+  FROM (SELECT s.conv_id, r.pos, {_finish(0)} AS e0, {_finish(1)} AS e1, {_finish(2)} AS e2, {_finish(3)} AS e3
+    FROM solved s JOIN coded r ON r.conv_id IS NOT DISTINCT FROM s.conv_id AND r.pos = s.pos - 1)),
+told AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faulty GROUP BY conv_id),
+every AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(s0.c, 0) AS BIGINT) AS cost,
+  coalesce(s0.a, '') AS audit, sha256(coalesce(array_to_string(s0.t, chr(10)), '')) AS repaired_sha256
+FROM every e LEFT JOIN told t ON t.conv_id IS NOT DISTINCT FROM e.conv_id
+LEFT JOIN solved s ON s.conv_id IS NOT DISTINCT FROM e.conv_id AND s.pos = 1
+""")
+def op13_chat_repair(spark, sf):
+    return chat_repair.repair_report(table(spark, sf, "conversations"))
+
+
 _RECORD = """'WARC/1.1' || nl || 'WARC-Type: resource' || nl || 'WARC-Record-ID: <urn:page:' || page_id || '>' || nl ||
   'WARC-Target-URI: ' || url || nl || 'Content-Type: text/html' || nl || 'Content-Length: ' || strlen(html) || nl || nl ||
   html || nl || nl"""
