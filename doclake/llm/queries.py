@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from doclake.llm import (
-    chat, chat_repair, decontaminate, exact_dedup, fixity, html_text, language_id, mixing, near_dedup, sharding, token_counts,
+    chat, chat_repair, decontaminate, exact_dedup, fixity, html_text, language_id, mixing, near_dedup, runs, sharding,
+    token_counts,
 )
 from doclake.runtime import stored
 
@@ -107,6 +108,11 @@ def op3_html_extraction(spark, sf):
     return html_text.extract(table(spark, sf, "pages"))
 
 
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark, sf):
+    return runs.run_report(table(spark, sf, "documents"), prepare=runs.planted)
+
+
 #: crc32 of a short ASCII text in SQL: the table by eight shifts a byte, then a step a byte.
 _CRC = """crc_bits AS (
   SELECT 0 AS k, i AS b, CAST(i AS BIGINT) AS c FROM range(256) t(i)
@@ -154,7 +160,8 @@ placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS
     count(*) OVER (PARTITION BY conv_id) AS n FROM rows_left),
 faulty AS (SELECT *, CASE WHEN NOT regexp_matches(text, '{_SOLID}') THEN 'blank'
     WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
-    WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 'truncated' END AS fault,
+    WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 'truncated' END AS fault,
     left(lag(role) OVER (PARTITION BY conv_id ORDER BY pos), 1) || left(role, 1) AS pair FROM placed),
 coded AS (SELECT conv_id, pos, n, role, text, coalesce(fault IN ('blank', 'duplicate'), false) AS forced,
     CASE WHEN fault = 'truncated' THEN 1 ELSE 0 END AS late FROM faulty),
