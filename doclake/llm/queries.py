@@ -108,11 +108,6 @@ def op3_html_extraction(spark, sf):
     return html_text.extract(table(spark, sf, "pages"))
 
 
-@query("op12_periodic_runs")
-def op12_periodic_runs(spark, sf):
-    return runs.run_report(table(spark, sf, "documents"), prepare=runs.planted)
-
-
 #: crc32 of a short ASCII text in SQL: the table by eight shifts a byte, then a step a byte.
 _CRC = """crc_bits AS (
   SELECT 0 AS k, i AS b, CAST(i AS BIGINT) AS c FROM range(256) t(i)
@@ -128,6 +123,35 @@ def _crc(text: str) -> str:
     )
 
 
+@query("op12_periodic_runs", rf"""
+WITH RECURSIVE {_CRC},
+texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+coded AS (SELECT *, len(w) AS n, {_crc("CAST(doc_id AS VARCHAR)")} AS h FROM texts, crc_table),
+ruled AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN (h // 10) % n END AS a FROM coded),
+periods AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM ruled),
+words AS (SELECT doc_id, n, CAST(i AS BIGINT) AS i, CASE WHEN i >= a THEN w[a + (i - a) % p + 1] ELSE w[i + 1] END AS word
+  FROM (SELECT *, unnest(range(n)) AS i FROM periods)),
+same AS (SELECT a.doc_id, a.i, b.i - a.i AS q FROM words a JOIN words b USING (doc_id, word)
+  WHERE b.i > a.i AND 4 * (b.i - a.i) <= a.n),
+stretches AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM same)
+  GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT * FROM stretches r WHERE NOT EXISTS (SELECT 1 FROM stretches s WHERE s.doc_id = r.doc_id
+  AND s.q < r.q AND s.start <= r.start AND s.start + s.length >= r.start + r.length)),
+best AS (SELECT doc_id, start, length, q FROM runs r QUALIFY row_number() OVER (PARTITION BY doc_id
+  ORDER BY CAST(length AS DOUBLE) / q DESC, start, q) = 1),
+lines AS (SELECT doc_id, count(*) AS n_runs,
+  sha256(string_agg(concat(start, ',', length, ',', q, chr(10)), '' ORDER BY start, q)) AS digest FROM runs GROUP BY doc_id),
+dropped AS (SELECT DISTINCT doc_id, unnest(range(start + q, start + length)) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, q AS period, CAST(1000 * length // q AS BIGINT) AS exponent_milli,
+  coalesce(digest, sha256('')) AS runs_sha256, sha256(coalesce(k.text, '')) AS collapsed_sha256
+FROM documents d LEFT JOIN best USING (doc_id) LEFT JOIN lines USING (doc_id) LEFT JOIN kept k USING (doc_id)
+""")
+def op12_periodic_runs(spark, sf):
+    return runs.run_report(table(spark, sf, "documents"), prepare=runs.planted)
+
+
 def _finish(state: int) -> str:
     """The best of deleting, keeping and changing one row in a state, without insertions before it."""
     to, fill = {0: (2, "user"), 1: (2, "user"), 2: (3, "assistant"), 3: (2, "user")}[state]
