@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from doclake.llm import (
-    chat, chat_repair, decontaminate, exact_dedup, fixity, html_text, language_id, mixing, near_dedup, runs, sharding,
-    token_counts,
+    chat, chat_repair, decontaminate, exact_dedup, fixity, html_text, jaccard_join, language_id, mixing, near_dedup, runs,
+    sharding, token_counts,
 )
 from doclake.runtime import stored
 
@@ -108,6 +108,24 @@ def op3_html_extraction(spark, sf):
     return html_text.extract(table(spark, sf, "pages"))
 
 
+@query("op11_jaccard_join", r"""
+WITH RECURSIVE texts AS (SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (SELECT DISTINCT doc_id, unnest([array_to_string(w[i:i+3], ' ') FOR i IN range(1, greatest(2, len(w) - 2))]) AS s
+  FROM texts WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+  FROM shingles a JOIN shingles b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * common >= 85 * (x.n + y.n - common)),
+reach AS (SELECT doc_id AS root, doc_id FROM texts UNION SELECT root, b FROM reach JOIN links ON a = doc_id)
+SELECT t.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(root) AS component_id
+FROM texts t LEFT JOIN sizes USING (doc_id) JOIN reach ON reach.doc_id = t.doc_id GROUP BY t.doc_id
+""")
+def op11_jaccard_join(spark, sf):
+    return jaccard_join.jaccard_components(table(spark, sf, "documents"))
+
+
 #: crc32 of a short ASCII text in SQL: the table by eight shifts a byte, then a step a byte.
 _CRC = """crc_bits AS (
   SELECT 0 AS k, i AS b, CAST(i AS BIGINT) AS c FROM range(256) t(i)
