@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
+from doclake.operators import geometry as Geo
 from doclake.operators import guide as G
 from doclake.operators import indexes as I
 from doclake.operators import report as R
@@ -57,7 +58,7 @@ def _clear(spark: SparkSession, dest: str, names: list[str], known: list[str], t
         for folder, name in children(spark, f"{dest}/{table}"):
             if name.removeprefix("collection=") in names and name.startswith("collection="):
                 remove(spark, folder)
-    for folder, name in children(spark, f"{dest}/indexes"):
+    for folder, name in children(spark, f"{dest}/indexes") + children(spark, f"{dest}/shapes"):
         # Of collections `a` and `a$b`, the longest that fits owns `a$b$c`
         owners = [c for c in {*names, *known} if name.startswith(f"{c}$")]
         if owners and max(owners, key=len) in names:
@@ -228,7 +229,13 @@ def run(
             try:
                 documents = parse_docs(read_documents(spark, dest, [row["collection"]]))
                 with scratch_scope(spark):
-                    rows = build_index(documents, row, cell_deg)
+                    if row["kind"] == "geo_json" and not I.only_points(documents, row["spatial_path"]):
+                        # Lines and areas: the index tells candidates, the shapes beside it decide
+                        shapes = f"{dest}/shapes/{table}"
+                        Geo.shapes(documents, row["spatial_path"]).write.mode("overwrite").options(**codec(level)).parquet(shapes)
+                        rows = Geo.spatial_shape_index(spark.read.parquet(shapes))
+                    else:
+                        rows = build_index(documents, row, cell_deg)
                     rows.write.mode("overwrite").options(**codec(level)).parquet(f"{dest}/indexes/{table}")
             except Exception as e:  # whatever happens to one index, the others are built and all are reported
                 LOG.warning("index %s failed: %s", table, e)

@@ -211,6 +211,12 @@ def points_only(df: DataFrame, dotted: str, n: int = 100) -> DataFrame:
     return df.filter(kind == "Point").limit(n).agg((F.count(F.lit(1)) == n).alias("points_only"))
 
 
+def only_points(df: DataFrame, dotted: str) -> bool:
+    """Whether no document has another geometry than a point; the scan stops at the first that has."""
+    kind = F.try_variant_get(F.col("data"), variant_path(dotted + ".type"), "string")
+    return df.filter(kind != "Point").isEmpty()
+
+
 def index_stats(rows: DataFrame, cols: list[str], exact: bool = True) -> DataFrame:
     """Rows, non-nulls, distinct values, low and high of each column, as one row per column.
 

@@ -101,6 +101,27 @@ def event_docs(spark: SparkSession, sf: str) -> DataFrame:
     return parse_docs(e.select(F.col("event_id").alias("id"), F.to_json(doc).alias("doc")))
 
 
+def shape_docs(spark: SparkSession, sf: str) -> DataFrame:
+    """{"_id", "path": LineString, "area": Polygon}, one per event, some across the date line.
+
+    Every fifth has no path, every seventh of the others one without coordinates.
+    """
+    e = spread(table(spark, sf, "events"))
+    n = F.col("event_id")
+    x, y = (F.pmod("user_id", F.lit(360)) - 180).cast("double"), F.greatest(F.lit(-90.0), F.least(F.lit(90.0), F.col("value")))
+
+    def at(dx: Column, dy: Column) -> Column:
+        return F.array((x + dx + 540) % 360 - 180, F.greatest(F.lit(-90.0), F.least(F.lit(90.0), y + dy)))
+
+    none = F.lit(0)
+    line = F.array(at(none, none), at(n % 37 - 18, n % 23 - 11), at(n % 61 - 30, -(n % 19)))
+    path = F.struct(F.lit("LineString").alias("type"), F.when(n % 7 == 0, F.array().cast("array<array<double>>")).otherwise(line).alias("coordinates"))
+    ring = F.array(at(none, none), at(2 + n % 11, none), at(2 + n % 11, 3 + n % 5), at(none, 3 + n % 5), at(none, none))
+    area = F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates"))
+    doc = F.struct(n.alias("_id"), F.when(n % 5 != 0, path).alias("path"), area.alias("area"))
+    return parse_docs(e.select(n.alias("id"), F.to_json(doc).alias("doc")))
+
+
 def text_docs(spark: SparkSession, sf: str) -> DataFrame:
     """{"_id", "lang", "source", "text"}, one per document of the text table."""
     d = spread(table(spark, sf, "documents"))

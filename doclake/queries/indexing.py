@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, functions as F
 
 from doclake.functions.ids import index_table_name, path_key, path_prefixes
 from doclake.functions.variants import field, only
+from doclake.operators import geometry as Geo
 from doclake.operators import guide as G
 from doclake.operators import indexes as I
 from doclake.operators import shape as S
 from doclake.plans import index_plan as P
 from doclake.queries.documents import (
-    event_docs, line_docs, order_docs, order_json, part_metadata, table, text_docs,
+    event_docs, line_docs, order_docs, order_json, part_metadata, shape_docs, table, text_docs,
 )
-from doclake.queries.oracle_parts import LINE_NODES, LINES, PART_INDEXES, PART_PLAN
+from doclake.queries.oracle_parts import LINE_NODES, LINES, PART_INDEXES, PART_PLAN, PATH_CELLS, SHAPES
 from doclake.queries.registry import query
 from doclake.runtime import scratch, stored
 
@@ -162,6 +165,54 @@ def spatial_box(spark, sf):
     return I.in_box(index, -175.0, 5.0, -100.0, 42.0, 10.0).select("id")
 
 
+@query("spatial_index_lines", f"""
+WITH {PATH_CELLS}
+SELECT code << (2 * (20 - k)) AS lo, ((code + 1) << (2 * (20 - k))) - 1 AS hi, id, 0 AS part FROM covered
+""")
+def spatial_index_lines(spark, sf):
+    return Geo.spatial_shape_index(stored(Geo.shapes(shape_docs(spark, sf), "path"), "shapes"))
+
+
+def shape_index(spark, sf, field: str) -> tuple[DataFrame, DataFrame]:
+    parts = stored(Geo.shapes(shape_docs(spark, sf), field), "shapes")
+    return stored(Geo.spatial_shape_index(parts), "shape-index"), parts
+
+
+@query("spatial_lines_box", f"""
+WITH {SHAPES}, moved AS (SELECT id, x1 + s AS x1, y1, x2 + s AS x2, y2 FROM edges, (SELECT unnest([-360, 0, 360]) AS s) WHERE shape = 'path'),
+sides AS (SELECT *, [sign((x2 - x1) * (c.y - y1) - (y2 - y1) * (c.x - x1)) FOR c IN
+    [{{x: 170.0, y: -10.0}}, {{x: 200.0, y: -10.0}}, {{x: 170.0, y: 35.0}}, {{x: 200.0, y: 35.0}}]] AS s
+  FROM moved)
+SELECT DISTINCT id FROM sides WHERE least(x1, x2) <= 200 AND greatest(x1, x2) >= 170 AND least(y1, y2) <= 35 AND greatest(y1, y2) >= -10
+  AND list_min(s) <= 0 AND list_max(s) >= 0
+""")
+def spatial_lines_box(spark, sf):
+    index, parts = shape_index(spark, sf, "path")
+    return Geo.intersecting(index, parts, Geo.box_query(spark, 170.0, -10.0, -160.0, 35.0))
+
+
+ROUTE = [(-120.5, 10.25), (-60.0, 40.0), (15.5, 22.0), (30.0, -35.5), (170.0, 12.5), (-170.0, 20.0)]
+
+
+@query("spatial_polygons_line", f"""
+WITH {SHAPES}, route AS (SELECT x1, y1, CASE WHEN x2 - x1 > 180 THEN x2 - 360 WHEN x2 - x1 < -180 THEN x2 + 360 ELSE x2 END AS x2, y2
+  FROM (VALUES {", ".join(f"({a[0]}, {a[1]}, {b[0]}, {b[1]})" for a, b in zip(ROUTE, ROUTE[1:]))}) t(x1, y1, x2, y2)),
+moved AS (SELECT x1 + s AS qx1, y1 AS qy1, x2 + s AS qx2, y2 AS qy2 FROM route, (SELECT unnest([-360, 0, 360]) AS s)),
+crossing AS (SELECT id FROM edges, moved WHERE shape = 'area'
+  AND greatest(x1, x2) >= least(qx1, qx2) AND greatest(qx1, qx2) >= least(x1, x2)
+  AND greatest(y1, y2) >= least(qy1, qy2) AND greatest(qy1, qy2) >= least(y1, y2)
+  AND sign((x2 - x1) * (qy1 - y1) - (y2 - y1) * (qx1 - x1)) * sign((x2 - x1) * (qy2 - y1) - (y2 - y1) * (qx2 - x1)) <= 0
+  AND sign((qx2 - qx1) * (y1 - qy1) - (qy2 - qy1) * (x1 - qx1)) * sign((qx2 - qx1) * (y2 - qy1) - (qy2 - qy1) * (x2 - qx1)) <= 0),
+holding AS (SELECT id FROM edges, (SELECT unnest([{ROUTE[0][0]} - 360, {ROUTE[0][0]}, {ROUTE[0][0]} + 360]) AS px) WHERE shape = 'area'
+  AND (x1 <= px) <> (x2 <= px) AND y1 + (px - x1) * (y2 - y1) / (x2 - x1) > {ROUTE[0][1]} GROUP BY id HAVING count(*) % 2 = 1)
+SELECT id FROM crossing UNION SELECT id FROM holding
+""")
+def spatial_polygons_line(spark, sf):
+    index, parts = shape_index(spark, sf, "area")
+    route = json.dumps({"type": "LineString", "coordinates": ROUTE})
+    return Geo.intersecting(index, parts, Geo.geometry_query(spark, route))
+
+
 @query("points_probe", "SELECT count(*) FILTER (event_id % 5 <> 0) >= 100 AS points_only FROM events")
 def points_probe(spark, sf):
     return I.points_only(event_docs(spark, sf), "loc", 100)

@@ -86,3 +86,48 @@ ORDER_BYTES = """
    + (9 + CASE WHEN o_custkey < 2147483648 THEN 4 ELSE 8 END)
    + (13 + strlen(o_orderstatus)) + 15 + 14 + (15 + strlen(o_orderpriority)))
 """
+
+
+def _at(dx: str, dy: str) -> str:
+    return f"{{x: (x + {dx} + 540) % 360 - 180, y: greatest(-90.0, least(90.0, y + {dy}))}}"
+
+
+# (id, part, k, x1, y1, x2, y2): edges of the derived paths and areas, the second end moved across the date line.
+SHAPES = f"""
+spots AS (SELECT event_id AS id, event_id AS n, (user_id % 360 - 180)::DOUBLE AS x, greatest(-90.0, least(90.0, value)) AS y FROM events),
+corners AS (
+  SELECT id, 'path' AS shape, [{_at("0", "0")}, {_at("n % 37 - 18", "n % 23 - 11")}, {_at("n % 61 - 30", "-(n % 19)")}] AS c
+  FROM spots WHERE n % 5 <> 0 AND n % 7 <> 0
+  UNION ALL SELECT id, 'area', [{_at("0", "0")}, {_at("2 + n % 11", "0")}, {_at("2 + n % 11", "3 + n % 5")}, {_at("0", "3 + n % 5")}, {_at("0", "0")}]
+  FROM spots),
+steps AS (SELECT id, shape, unnest(list_zip(c[:-2], c[2:])) AS e FROM corners),
+edges AS (SELECT id, shape, e[1].x AS x1, e[1].y AS y1, e[2].y AS y2, CASE WHEN e[2].x - e[1].x > 180 THEN e[2].x - 360
+  WHEN e[2].x - e[1].x < -180 THEN e[2].x + 360 ELSE e[2].x END AS x2 FROM steps)"""
+
+
+def _merged(step: int) -> str:
+    """Cells of one level up: those whose four children are there."""
+    return f"""
+up{step} AS (SELECT id, k - 1 AS k, code >> 2 AS code FROM cells{step} WHERE k > 0 GROUP BY ALL HAVING count(*) = 4),
+cells{step + 1} AS (SELECT * FROM up{step}),
+left{step} AS (SELECT * FROM cells{step} c WHERE NOT EXISTS (
+  SELECT 1 FROM up{step} u WHERE u.id = c.id AND u.code = c.code >> 2))"""
+
+
+# (id, lo, hi): the covering of every path.
+PATH_CELLS = f"""{SHAPES},
+boxes AS (SELECT id, least(max(greatest(x1, x2)) - min(least(x1, x2)),
+    max(greatest(x1, x2) + CASE WHEN x1 < 0 THEN 360 ELSE 0 END) - min(least(x1, x2) + CASE WHEN x1 < 0 THEN 360 ELSE 0 END)) AS width,
+  max(greatest(y1, y2)) - min(least(y1, y2)) AS height FROM edges WHERE shape = 'path' GROUP BY id),
+leveled AS (SELECT id, len([k FOR k IN range(1, 21) IF greatest(width / 360, height / 180) * pow(2, k) <= 8]) AS k FROM boxes),
+sized AS (SELECT e.*, k, (1::BIGINT << k) AS n FROM edges e JOIN leveled USING (id) WHERE shape = 'path'),
+columns_of AS (SELECT *, unnest(range(floor((least(x1, x2) + 180) / 360 * n)::BIGINT, floor((greatest(x1, x2) + 180) / 360 * n)::BIGINT + 1)) AS c FROM sized),
+clipped AS (SELECT *, greatest(least(x1, x2), c * 360 / n - 180) AS a, least(greatest(x1, x2), (c + 1) * 360 / n - 180) AS b FROM columns_of),
+heights AS (SELECT *, CASE WHEN x1 = x2 THEN y1 ELSE y1 + (a - x1) * (y2 - y1) / (x2 - x1) END AS ya,
+  CASE WHEN x1 = x2 THEN y2 ELSE y1 + (b - x1) * (y2 - y1) / (x2 - x1) END AS yb FROM clipped),
+rows_of AS (SELECT id, k, ((c % n) + n) % n AS c, unnest(range(
+    least(greatest(floor((least(ya, yb) - 1e-9 + 90) / 180 * n), 0), n - 1)::BIGINT,
+    least(greatest(floor((greatest(ya, yb) + 1e-9 + 90) / 180 * n), 0), n - 1)::BIGINT + 1)) AS r FROM heights),
+cells0 AS (SELECT DISTINCT id, k, list_sum([(((c >> b) & 1) << (2 * b)) + (((r >> b) & 1) << (2 * b + 1)) FOR b IN range(20)])::BIGINT AS code
+  FROM rows_of),{",".join(_merged(s) for s in range(4))},
+covered AS ({" UNION ALL ".join(f"SELECT * FROM left{s}" for s in range(4))} UNION ALL SELECT * FROM cells4)"""

@@ -365,14 +365,14 @@ class GuideParts:
             row = self.rows.get(at)
             if row is None:
                 # length, low, high (each comparable, text), documents, values, integral, name characters, fraction digits
-                row = self.rows[at] = [None, None, None, 0, 0, True, 0, 0]
+                row = self.rows[at] = [None, None, None, 0, 0, True, 0, None]
             if at not in seen:
                 seen.add(at)
                 row[3] += 1
             row[4] += 1
             row[5] = row[5] and leaf["integral"]
             if kind == "number" and not leaf["integral"]:
-                row[7] = max(row[7], fraction_digits(text))
+                row[7] = max(row[7] or 0, fraction_digits(text))
             if name is not None:
                 row[6] += len(name)
             if text is not None:
