@@ -15,18 +15,23 @@ from doclake.operators import guide as G
 from doclake.operators import indexes as I
 from doclake.operators import report as R
 from doclake.operators.select import select_collections
-from doclake.operators.shape import parse_docs, with_keys, with_system_columns
+from doclake.operators.shape import with_keys, with_system_columns
 from doclake.operators.sinks import codec, read_collection
 from doclake.plans.index_plan import index_keys, index_plan
 from doclake.runtime import children, remove, scratch_scope, stored
-from doclake.sources.dump import BLOCK_BYTES, dump_catalog, dump_metadata, read_bson_and_parts
+from doclake.sources.dump import (
+    BLOCK_BYTES, BLOCK_FACTS, PARTS, dump_catalog, dump_metadata, misread, read_bson_and_parts, read_once,
+    without_blocks,
+)
 
 LOG = logging.getLogger(__name__)
 # The schema is stated so that a collection named `007` stays text.
 DOCUMENTS = (
-    "id string, version string, doc string, bson_len bigint, last_modified timestamp, created_on timestamp, "
-    "collection string"
+    "id string, version string, data variant, doc string, bson_len bigint, json_len bigint, last_modified timestamp, "
+    "created_on timestamp, file string, offset bigint, collection string, part string"
 )
+#: What a load writes in one go, by ``part``: documents stay, the rest is taken out and removed.
+STAGED = DOCUMENTS.replace(", collection", ", error string, parts " + PARTS + ", block " + BLOCK_FACTS + ", collection")
 PARALLEL_BUILDS = 4
 DYNAMIC = {"partitionOverwriteMode": "dynamic"}
 
@@ -45,8 +50,14 @@ def documents_path(dest: str) -> str:
 
 
 def read_documents(spark: SparkSession, dest: str, collections: list[str] | None = None) -> DataFrame:
-    """Stored documents; only the folders of the named collections are read."""
-    return select_collections(spark.read.schema(DOCUMENTS).parquet(documents_path(dest)), collections)
+    """Stored documents; only the folders of the named collections are read.
+
+    ``data`` is the document as VARIANT. Parquet holds it shredded: Spark finds the common paths of a file when it writes
+    it, and a query of a path reads that path's column only. ``doc`` is the text of a document that is no valid VARIANT,
+    else null; ``json_len`` the bytes of the text.
+    """
+    stored_docs = spark.read.schema(DOCUMENTS).parquet(documents_path(dest)).filter("part = 'documents'").drop("part")
+    return select_collections(stored_docs, collections)
 
 
 def _clear(spark: SparkSession, dest: str, names: list[str], known: list[str], tables: tuple[str, ...]) -> None:
@@ -79,16 +90,69 @@ def _load(
     todo = [n for n in names if n not in skipped]
     if not todo:
         return [], skipped, None
-    read = read_bson_and_parts(spark, source, todo, allow_duplicate_keys=allow_duplicate_keys, block_bytes=block_bytes, sample=sample)
-    staged = stored(read, "staged")
     _clear(spark, dest, todo, names, ("documents", "rejected", "guide", "key_chars"))
-    good = with_keys(with_system_columns(staged.filter("doc is not null")), key_methods).select(
-        "collection", "id", "version", "doc", "bson_len", "last_modified", "created_on"
-    )
-    good.write.mode("overwrite").options(**codec(level)).options(**DYNAMIC).partitionBy("collection").parquet(documents_path(dest))
-    bad = staged.filter("error is not null").select("collection", "file", "offset", "bson_len", "error")
+    options = {"allow_duplicate_keys": allow_duplicate_keys, "block_bytes": block_bytes}
+    if sample is None:
+        _write_staged(read_once(spark, source, todo, **options), dest, level, key_methods)
+        amended = misread(_staged(spark, dest, todo, "blocks").select("block.*"), block_bytes, allow_duplicate_keys)
+        if amended is not None:
+            _replace_blocks(spark, dest, todo, level, key_methods, block_bytes, *amended)
+    else:
+        rows = read_bson_and_parts(spark, source, todo, sample=sample, **options)
+        _write_staged(rows.withColumn("block", F.lit(None).cast(BLOCK_FACTS)), dest, level, key_methods)
+    bad = _staged(spark, dest, todo, "rejected").select("collection", "file", "offset", "bson_len", "error")
     bad.write.mode("overwrite").options(**DYNAMIC).partitionBy("collection").parquet(f"{dest}/rejected")
-    return todo, skipped, staged
+    return todo, skipped, _staged(spark, dest, todo, "schema").select("collection", "parts")
+
+
+def _write_staged(rows: DataFrame, dest: str, level: int, key_methods: dict[str, str], mode: str = "overwrite") -> None:
+    """Documents, rejected records and what was learned of schema and blocks, decoded and written in one pass."""
+    part = (
+        F.when(F.col("doc").isNotNull(), "documents").when(F.col("block").isNotNull(), "blocks")
+        .when(F.col("parts").isNotNull(), "schema").otherwise("rejected")
+    )
+    parsed = rows.withColumns({"part": part, "data": F.try_parse_json("doc")})
+    keyed = with_keys(with_system_columns(parsed), key_methods)
+    json_len, doc = F.octet_length("doc").cast("bigint"), F.when(F.col("data").isNull(), F.col("doc"))
+    columns = [c.split()[0] for c in DOCUMENTS.split(", ")]
+    shaped = keyed.withColumn("json_len", json_len).withColumn("doc", doc).select(*columns, "error", "parts", "block")
+    shaped.write.mode(mode).options(**codec(level)).options(**DYNAMIC).partitionBy("collection", "part").parquet(documents_path(dest))
+
+
+def _staged(spark: SparkSession, dest: str, names: list[str], part: str) -> DataFrame:
+    rows = spark.read.schema(STAGED).parquet(documents_path(dest))
+    return rows.filter(F.col("collection").isin(names) & (F.col("part") == part))
+
+
+def _replace_blocks(
+    spark: SparkSession, dest: str, names: list[str], level: int, key_methods: dict[str, str], block_bytes: int,
+    gone: DataFrame, redone: DataFrame,
+) -> None:
+    """Put rows read again in the place of those of misread blocks; collections without such a block are left alone."""
+    rows = spark.read.schema(STAGED).parquet(documents_path(dest)).filter(F.col("collection").isin(names))
+    files = {r["path"] for r in gone.select("path").distinct().collect()}  # files, not blocks: catalog-sized
+    touched = [r["collection"] for r in rows.filter(F.col("file").isin(sorted(files))).select("collection").distinct().collect()]
+    kept = stored(without_blocks(rows.filter(F.col("collection").isin(touched)), gone, block_bytes), "kept")
+    kept.write.mode("overwrite").options(**codec(level)).options(**DYNAMIC).partitionBy("collection", "part").parquet(documents_path(dest))
+    # A folder of which nothing is kept gets no rows and would stay
+    left = {(r["collection"], r["part"]) for r in kept.select("collection", "part").distinct().collect()}
+    for folder, name in children(spark, documents_path(dest)):
+        for inner, part in children(spark, folder):
+            at = (name.removeprefix("collection="), part.removeprefix("part="))
+            if at[0] in touched and at not in left:
+                remove(spark, inner)
+    _write_staged(redone, dest, level, key_methods, "append")
+
+
+def _drop_staged(spark: SparkSession, dest: str, names: list[str]) -> None:
+    """What a load kept beside the documents until everything was made of it."""
+    for folder, name in children(spark, documents_path(dest)):
+        if name.removeprefix("collection=") in names:
+            for inner, part in children(spark, folder):
+                if part.startswith("part=") and part != "part=documents":
+                    remove(spark, inner)
+            if not children(spark, folder):
+                remove(spark, folder)
 
 
 GUIDE = (
@@ -114,11 +178,10 @@ def _guide(spark: SparkSession, dest: str, docs: DataFrame, names: list[str], st
         if of_guide == of_docs:
             return kept
     if staged is not None:
-        parts = staged.filter("parts is not null")
-        guide = G.merge_parts(parts, ("collection",))
-        chars = parts.select("collection", F.inline("parts")).groupBy("collection").agg(F.sum("key_chars").alias("key_chars"))
+        guide = G.merge_parts(staged, ("collection",))
+        chars = staged.select("collection", F.inline("parts")).groupBy("collection").agg(F.sum("key_chars").alias("key_chars"))
     else:
-        flat = G.flatten(parse_docs(docs), None, ("collection",))
+        flat = G.flatten(docs, None, ("collection",))
         guide = G.guide_of(flat, ("collection",))
         chars = flat.groupBy("collection").agg(F.sum(F.length(F.coalesce("key", F.lit("")))).alias("key_chars"))
     guide = stored(guide, "guide")
@@ -218,6 +281,8 @@ def run(
             return result
         docs = read_documents(spark, dest, result.loaded)
         guide, chars = _guide(spark, dest, docs, result.loaded, staged)
+        if staged is not None:
+            _drop_staged(spark, dest, result.loaded)
     metadata = select_collections(dump_metadata(spark, source), result.loaded)
     plan = stored(index_plan(index_keys(metadata), guide, multivalue), "plan")
 
@@ -227,7 +292,7 @@ def run(
         def build(row: Row) -> tuple[str, str, str | None, int]:
             table, begun, reason = f"{row['collection']}${row['index_name']}", time.monotonic(), None
             try:
-                documents = parse_docs(read_documents(spark, dest, [row["collection"]]))
+                documents = read_documents(spark, dest, [row["collection"]])
                 with scratch_scope(spark):
                     if row["kind"] == "geo_json" and not I.only_points(documents, row["spatial_path"]):
                         # Lines and areas: the index tells candidates, the shapes beside it decide
@@ -259,7 +324,7 @@ def run(
     total_ms = int((time.monotonic() - started) * 1000)
     per = docs.groupBy("collection").agg(
         F.count(F.lit(1)).alias("n_docs"), F.sum("bson_len").alias("n_bytes"),
-        F.sum(F.octet_length("doc")).alias("target_bytes"),
+        F.sum("json_len").alias("target_bytes"),
     )
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
     listed = files.load(documents_path(dest)).select("path", "length")

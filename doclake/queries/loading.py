@@ -494,7 +494,7 @@ def load_dump(spark, sf):
     folder, dest = with_indexes(spark, order_dump(spark, sf), metadata), scratch(spark, "lake")
     result = run(spark, folder, dest, block_bytes=256 << 10)
     kinds = result.plan.agg(F.array_join(F.sort_array(F.collect_set(F.concat_ws(":", "kind", "status"))), ",").alias("p"))
-    docs = read_documents(spark, dest).select(F.from_json("doc", "total decimal(20,2)")["total"].alias("total"))
+    docs = read_documents(spark, dest).select(F.try_variant_get("data", "$.total", "decimal(20,2)").alias("total"))
     return docs.agg(F.count(F.lit(1)).alias("n_docs"), F.sum("total").cast("decimal(20,2)").alias("total")).withColumn(
         "plan", kinds.select("p").scalar()
     )

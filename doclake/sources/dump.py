@@ -53,12 +53,14 @@ RECORD_ARROW = pa.schema(
      ("oid", pa.string()), ("doc", pa.string()), ("leaves", pa.list_(LEAF)), ("error", pa.string()),
      ("parts", pa.list_(PART))]
 )
+PARTS = (
+    "array<struct<path:string,type:string,length:bigint,low:string,high:string,n_docs:bigint,n_values:bigint,"
+    "integral:boolean,scale:int,key_chars:bigint>>"
+)
 RECORD = (
     "file string, offset bigint, bson_len bigint, id string, oid string, doc string, "
     "leaves array<struct<path:string,key:string,pos:int,type:string,integral:boolean,value:string,in_array:boolean>>, "
-    "error string, "
-    "parts array<struct<path:string,type:string,length:bigint,low:string,high:string,n_docs:bigint,n_values:bigint,"
-    "integral:boolean,scale:int,key_chars:bigint>>"
+    "error string, parts " + PARTS
 )
 
 
@@ -108,16 +110,20 @@ def dump_metadata(spark: SparkSession, folder: str) -> DataFrame:
 class _Reader:
     """Ranged reads over one file with a sliding buffer."""
 
-    def __init__(self, path: str, size: int):
+    def __init__(self, path: str, size: int, until: int | None = None):
+        """``until``: where reading ahead is to stop; what is needed beyond is read bit by bit."""
         filesystem, local = open_path(path)
         self.file = filesystem.open_input_file(local)
-        self.size, self.at, self.buf = size, 0, b""
+        self.size, self.until, self.at, self.buf, self.n_read = size, size if until is None else until, 0, b"", 0
 
     def window(self, pos: int, n: int) -> tuple[bytes, int]:
         """A buffer holding ``[pos, pos + n)`` as far as the file goes, and the index of ``pos`` in it."""
         if pos < self.at or pos + n > self.at + len(self.buf):
-            self.at = pos
-            self.buf = self.file.read_at(max(0, min(max(n, 4 * WINDOW), self.size - pos)), pos)
+            # What the buffer still holds from here on is not read again
+            kept = self.buf[pos - self.at:] if self.at <= pos < self.at + len(self.buf) else b""
+            ahead = max(WINDOW // 16, min(4 * WINDOW, self.until - pos))
+            more = self.file.read_at(max(0, min(max(n, ahead), self.size - pos) - len(kept)), pos + len(kept))
+            self.at, self.buf, self.n_read = pos, kept + more, self.n_read + len(more)
         return self.buf, pos - self.at
 
     def record_length(self, pos: int) -> int | None:
@@ -157,7 +163,7 @@ class _Reader:
         """
         pos = lo
         while pos < hi and pos + MIN_RECORD <= self.size:
-            buf, i = self.window(pos, min(WINDOW, self.size - pos))
+            buf, i = self.window(pos, min(WINDOW, self.size - pos, max(WINDOW // 16, self.until - pos)))
             zero = buf.find(b"\0", i + 3)
             if zero < 0:
                 pos += len(buf) - i - 2
@@ -206,13 +212,8 @@ def _block_tasks(spark: SparkSession, blocks: DataFrame) -> int:
     return _tasks(spark, n, total)
 
 
-def bson_blocks(spark: SparkSession, files: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Exact split plan of plain files: per block the first record, the end, the record count.
-
-    ``files`` has ``path`` and ``length``. The plan is written to the shared
-    folder, so it is computed once.
-    """
-    ship_package(spark)
+def _unread_blocks(spark: SparkSession, files: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
+    """The blocks of plain files, nothing known of them but their place; and how many tasks should read them."""
     sized = files.filter("length > 0").select("path", F.col("length").alias("size"))
     n_blocks, n_bytes = sized.agg(F.sum(F.ceil(F.col("size") / block_bytes)), F.sum("size")).first()
     starts = F.sequence(F.lit(0).cast("bigint"), F.col("size") - 1, F.lit(block_bytes).cast("bigint"))
@@ -222,23 +223,20 @@ def bson_blocks(spark: SparkSession, files: DataFrame, block_bytes: int = BLOCK_
         *[F.lit(None).cast("bigint").alias(c) for c in ("start", "stop", "n_docs")],
         F.lit(None).cast("string").alias("error"),
     )
-    tasks = _tasks(spark, int(n_blocks or 0), int(n_bytes or 0))
+    return blocks, _tasks(spark, int(n_blocks or 0), int(n_bytes or 0))
+
+
+def bson_blocks(spark: SparkSession, files: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Exact split plan of plain files: per block the first record, the end, the record count.
+
+    ``files`` has ``path`` and ``length``. The plan is written to the shared
+    folder, so it is computed once.
+    """
+    ship_package(spark)
+    blocks, tasks = _unread_blocks(spark, files, block_bytes)
     plan = stored(blocks.repartition(tasks).mapInArrow(_walk_blocks, BLOCK), "bson-blocks")
     while True:
-        before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-        checked = plan.withColumn("due", F.coalesce(F.max("stop").over(before), F.lit(0)))
-        skip = F.col("due") >= F.col("hi")
-        wrong = ~skip & ~F.col("start").eqNullSafe(F.col("due"))
-        # A block that lies wholly inside a longer record has no record of its own.
-        none = F.lit(None).cast("bigint")
-        settled = checked.select(
-            "path", "block", "lo", "hi", "size",
-            F.when(skip, none).otherwise(F.col("start")).alias("start"),
-            F.when(skip, none).otherwise(F.col("stop")).alias("stop"),
-            F.when(skip, F.lit(0)).otherwise(F.col("n_docs")).cast("bigint").alias("n_docs"),
-            F.when(~skip, F.col("error")).alias("error"),
-            wrong.alias("wrong"), "due",
-        )
+        settled = _settled(plan)
         n_wrong = settled.filter("wrong").count()
         if n_wrong == 0:
             return settled.drop("wrong", "due")
@@ -247,10 +245,29 @@ def bson_blocks(spark: SparkSession, files: DataFrame, block_bytes: int = BLOCK_
         plan = stored(settled.filter("not wrong").drop("wrong", "due").unionByName(again), "bson-blocks")
 
 
+def _settled(plan: DataFrame) -> DataFrame:
+    """Every block's guess checked against where the blocks before it ended: ``wrong`` ones must begin at ``due``."""
+    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    checked = plan.withColumn("due", F.coalesce(F.max("stop").over(before), F.lit(0)))
+    skip = F.col("due") >= F.col("hi")
+    wrong = ~skip & ~F.col("start").eqNullSafe(F.col("due"))
+    # A block that lies wholly inside a longer record has no record of its own.
+    none = F.lit(None).cast("bigint")
+    return checked.select(
+        "path", "block", "lo", "hi", "size",
+        F.when(skip, none).otherwise(F.col("start")).alias("start"),
+        F.when(skip, none).otherwise(F.col("stop")).alias("stop"),
+        F.when(skip, F.lit(0)).otherwise(F.col("n_docs")).cast("bigint").alias("n_docs"),
+        F.when(~skip, F.col("error")).alias("error"),
+        wrong.alias("wrong"), "due",
+    )
+
+
 class _Records:
     """Decodes raw records of one task into Arrow batches."""
 
-    def __init__(self, output: str, allow_duplicate_keys: bool):
+    def __init__(self, output: str, allow_duplicate_keys: bool, schema: pa.Schema = RECORD_ARROW):
+        self.schema, self.at = schema, None
         self.decoder = Decoder(output != "docs", allow_duplicate_keys)
         self.keep_leaves = output == "leaves"
         self.parts = GuideParts() if output == "parts" else None
@@ -279,15 +296,145 @@ class _Records:
     def end(self, file: str) -> None:
         """After a block or file: what was learned about its schema becomes one row."""
         if self.parts is not None and self.parts.rows:
-            self.rows.append({"file": file, "parts": self.parts.take()})
+            self.rows.append({"file": file, "offset": self.at, "parts": self.parts.take()})
 
     def batches(self, least: int) -> Iterator[pa.RecordBatch]:
         """The rows so far, once there are enough of them or their records weigh enough."""
         if self.rows and (len(self.rows) >= least or self.size >= BATCH_BYTES):
-            yield pa.RecordBatch.from_pylist(self.rows, RECORD_ARROW)
+            yield pa.RecordBatch.from_pylist(self.rows, self.schema)
             self.rows, self.size = [], 0
 
 
+BLOCK_FACTS = (
+    "struct<path:string,block:bigint,lo:bigint,hi:bigint,size:bigint,start:bigint,stop:bigint,n_docs:bigint,error:string,"
+    "n_read:bigint>"
+)
+ONCE = RECORD + ", block " + BLOCK_FACTS
+_BLOCK_FACTS = pa.struct(
+    [("path", pa.string())] + [(n, pa.int64()) for n in ("block", "lo", "hi", "size", "start", "stop", "n_docs")]
+    + [("error", pa.string()), ("n_read", pa.int64())]
+)
+ONCE_ARROW = RECORD_ARROW.append(pa.field("block", _BLOCK_FACTS))
+
+
+def _once_reader(allow_duplicate_keys: bool):
+    """Decodes blocks, and tells where each began and ended.
+
+    A block without ``start`` is decoded from where its first record seems to start. One with it, and with the facts of
+    the file's blocks (``around``), is decoded from there, and so are those behind it until a block is met that was begun
+    right, or at ``until``, which another row takes over.
+    """
+
+    def one(records: _Records, reader: _Reader, path: str, size: int, block: dict, pos: int | None) -> Iterator[pa.RecordBatch]:
+        records.at = block["lo"]
+        fact = {"path": path, "size": size} | {k: block[k] for k in ("block", "lo", "hi")} | {"n_docs": 0, "error": None}
+        fact["start"] = pos if pos is not None and pos < block["hi"] else None
+        while pos is not None and pos < block["hi"]:
+            n = reader.record_length(pos)
+            if n is None:
+                fact["error"] = f"no whole record at {pos}"
+                records.fail(path, pos, size - pos, fact["error"])
+                break
+            buf, i = reader.window(pos, n)
+            records.add(path, pos, buf[i:i + n])
+            pos += n
+            fact["n_docs"] += 1
+            yield from records.batches(BATCH)
+        records.end(path)
+        fact["stop"] = size if fact["error"] else pos if fact["start"] is not None else None
+        fact["n_read"], reader.n_read = reader.n_read, 0
+        records.rows.append({"file": path, "offset": block["lo"], "block": fact})
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        records = _Records("parts", allow_duplicate_keys, ONCE_ARROW)
+        for batch in batches:
+            for block in batch.to_pylist():
+                path, size, pos = block["path"], block["size"], block["start"]
+                reader = _Reader(path, size, block["hi"])
+                if pos is None:
+                    pos = 0 if block["lo"] == 0 else reader.guess(block["lo"], block["hi"])
+                yield from one(records, reader, path, size, block, pos)
+                for later in block.get("around") or []:
+                    if later["block"] <= block["block"]:
+                        continue
+                    fact = records.rows[-1]["block"]
+                    pos = pos if fact["stop"] is None else fact["stop"]
+                    if fact["error"] or later["start"] == pos or later["lo"] >= (block["until"] or size):
+                        break
+                    reader.until = later["hi"]
+                    yield from one(records, reader, path, size, later, pos)
+        yield from records.batches(1)
+
+    return read
+
+
+def read_once(
+    spark: SparkSession, folder: str, collections: list[str] | None = None, allow_duplicate_keys: bool = False,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """Records, schema facts (``parts``) and facts of the blocks (``block``) of a dump, every byte read once.
+
+    Blocks are decoded from where their first record seems to start. Whether that was right shows when the facts of the
+    blocks before are there: see ``misread``. Rows of a plain file belong to the block that their ``offset`` lies in.
+    """
+    ship_package(spark)
+    files = dump_catalog(spark, folder)
+    if collections:
+        files = files.filter(F.col("collection").isin(list(collections)))
+    blocks, tasks = _unread_blocks(spark, files.filter("not is_gz"), block_bytes)
+    rows = blocks.repartition(tasks).mapInArrow(_once_reader(allow_duplicate_keys), ONCE)
+    packed = files.filter("is_gz").select("path")
+    n_packed = packed.count()
+    if n_packed:
+        from_gz = packed.repartition(min(n_packed, MAX_TASKS)).mapInArrow(_gz_reader("parts", allow_duplicate_keys, None), RECORD)
+        rows = rows.unionByName(from_gz, allowMissingColumns=True)
+    return _with_collection(rows, [*RECORD_ARROW.names, "block"])
+
+
+def _with_collection(rows: DataFrame, names: list[str]) -> DataFrame:
+    name = F.element_at(F.split("file", "/"), -1)
+    return rows.select(F.regexp_extract(name, NAME, 1).alias("collection"), *names)
+
+
+def without_blocks(rows: DataFrame, blocks: DataFrame, block_bytes: int) -> DataFrame:
+    """Rows that do not lie in one of the blocks ``path, block``."""
+    place = (F.col("file") == F.col("path")) & (F.floor(F.col("offset") / block_bytes) == F.col("block_no"))
+    return rows.join(blocks.select("path", F.col("block").alias("block_no")), place, "left_anti")
+
+
+def misread(facts: DataFrame, block_bytes: int, allow_duplicate_keys: bool = False) -> tuple[DataFrame, DataFrame] | None:
+    """Of the facts of blocks (``path, block, lo, hi, size, start, stop, n_docs, error``): the blocks whose rows do not
+    count (``path, block``), and rows to take in their place as ``read_once`` gives them. None if all are right."""
+    spark, names = facts.sparkSession, [c.split()[0] for c in BLOCK.split(", ")]
+    plan, redone = facts.select(*names), None
+    gone = None
+    while True:
+        settled = stored(_settled(plan), "bson-checked")
+        was = plan.select("path", "block", F.col("n_docs").alias("was"), F.col("error").alias("was_error"))
+        # Blocks that lie within a record after all give no rows
+        none = settled.join(was, ["path", "block"]).filter("n_docs <> was OR (error IS NULL AND was_error IS NOT NULL)")
+        # Where a block is due before its own place, the one before is not settled yet: it waits, or is read from there on
+        wrong = settled.filter("wrong AND due >= lo")
+        n_wrong = wrong.count()
+        if n_wrong == 0 and none.isEmpty():
+            return None if gone is None else (gone, redone)
+        until = F.lead("lo").over(Window.partitionBy("path").orderBy("block"))
+        around = settled.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("block", "lo", "hi", "start"))).alias("around"))
+        work = wrong.withColumn("start", F.col("due")).withColumn("until", until).drop("wrong", "due").join(around, "path")
+        fresh = stored(
+            work.repartition(_tasks(spark, max(1, n_wrong), n_wrong * block_bytes)).mapInArrow(_once_reader(allow_duplicate_keys), ONCE),
+            "bson-redone",
+        )
+        read_again = fresh.filter("block IS NOT NULL").select("block.*").select(*names)
+        off = stored(none.select("path", "block").unionByName(read_again.select("path", "block")).distinct(), "bson-misread")
+        gone = off if gone is None else gone.unionByName(off).distinct()
+        rows = _with_collection(fresh, [*RECORD_ARROW.names, "block"])
+        # What was read again before may have been wrong again
+        redone = rows if redone is None else without_blocks(redone, off, block_bytes).unionByName(rows)
+        left = settled.drop("wrong", "due").join(read_again.select("path", "block"), ["path", "block"], "left_anti")
+        plan = stored(left.unionByName(read_again), "bson-blocks")
+
+
 def _block_reader(output: str, allow_duplicate_keys: bool):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         records = _Records(output, allow_duplicate_keys)
@@ -439,8 +586,7 @@ def _read(
         if output != "parts":
             from_gz = from_gz.repartition(max(spark.sparkContext.defaultParallelism, n_packed))
         rows = rows.unionByName(from_gz)
-    name = F.element_at(F.split("file", "/"), -1)
-    return rows.select(F.regexp_extract(name, NAME, 1).alias("collection"), *RECORD_ARROW.names)
+    return _with_collection(rows, RECORD_ARROW.names)
 
 
 def _offset_reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
