@@ -65,14 +65,23 @@ def _good(part: Column) -> Column:
     return F.coalesce(F.forall(rings, lambda r: F.forall(r, on_globe)) & shaped, F.lit(False))
 
 
-def geometry_parts(v: Column, dotted: str, strict: bool = True) -> Column:
-    """The parts of a GeoJSON value; none for null, empty geometries and, unless ``strict``, for what is no geometry."""
+def _parts(v: Column) -> Column:
+    """Parts with coordinates of any geometry; null for what is none."""
     members = F.try_variant_get(v, "$.geometries", "array<variant>")
     several = F.transform(members, _simple_parts)
     collected = F.when(F.forall(several, lambda p: p.isNotNull()), F.flatten(several))
     parts = F.when(F.try_variant_get(v, "$.type", "string") == "GeometryCollection", collected).otherwise(_simple_parts(v))
-    filled = F.filter(parts, lambda p: (F.size(p["rings"]) > 0) & (F.size(p["rings"][0]) > 0))
-    none = F.array().cast(PARTS)
+    return F.filter(parts, lambda p: (F.size(p["rings"]) > 0) & (F.size(p["rings"][0]) > 0))
+
+
+def is_geometry(v: Column) -> Column:
+    """Whether a value is a GeoJSON geometry, an empty one included."""
+    return F.coalesce(F.forall(_parts(v), _good), F.lit(False))
+
+
+def geometry_parts(v: Column, dotted: str, strict: bool = True) -> Column:
+    """The parts of a GeoJSON value; none for null, empty geometries and, unless ``strict``, for what is no geometry."""
+    filled, none = _parts(v), F.array().cast(PARTS)
     wrong = F.raise_error(F.lit(f"value at '{dotted}' is not a GeoJSON geometry")).cast(PARTS) if strict else none
     return (
         F.when(v.isNull() | F.is_variant_null(v), none)

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.utils import AnalysisException
 
 from doclake.functions.ids import path_key, path_prefixes
+from doclake.operators.geometry import is_geometry
 
 NODE = "array<struct<path:string,key:string,pos:int,type:string,integral:boolean,value:string,in_array:boolean>>"
 CONTAINERS = ("object", "array")
@@ -50,14 +51,17 @@ def _step(parent: Column, key: Column) -> Column:
     return F.concat(parent, F.lit("."), F.when(odd, F.concat(F.lit('"'), key, F.lit('"'))).otherwise(key))
 
 
-def walk(df: DataFrame, max_depth: int, keep: tuple[str, ...] = ("id",), data: str = "data") -> DataFrame:
+def walk(
+    df: DataFrame, max_depth: int, keep: tuple[str, ...] = ("id",), data: str = "data", geojson: bool = False
+) -> DataFrame:
     """Every node of every document in one pass over the input.
 
     Level by level the containers are exploded laterally, so the input is
     scanned and parsed once whatever the depth. A container's own node rides
     along on its first child only, and a value is dropped as soon as its
     children are out, which keeps the rows linear in the document. Documents
-    nested deeper than ``max_depth`` stop the job instead of being cut.
+    nested deeper than ``max_depth`` stop the job instead of being cut. With ``geojson``
+    an object that is a geometry is a node of that type, and nothing below it is looked at.
     """
     frame = df.select(
         *keep,
@@ -77,15 +81,17 @@ def walk(df: DataFrame, max_depth: int, keep: tuple[str, ...] = ("id",), data: s
             *carried, "_nodes", "pos", "key", "value",
             F.when(F.col("key").isNull(), F.col("_path")).otherwise(_step(F.col("_path"), F.col("key"))).alias("_path"),
             (F.col("_in") | (F.col("pos").isNotNull() & F.col("key").isNull())).alias("_in"),
-            F.substring(s, 1, 7).alias("_kind"),
+            # A step of its own, so that it is worked out once
+            F.when(s.startswith("OBJECT<") & is_geometry(F.col("value")), "GEOJSON").otherwise(F.substring(s, 1, 7)).alias("_kind")
+            if geojson else F.substring(s, 1, 7).alias("_kind"),
         )
         kind = F.col("_kind")
         is_object, is_array = kind == "OBJECT<", kind.startswith("ARRAY<")
-        scalar = ~(is_object | is_array)
+        scalar = ~(is_object | is_array | (kind == "GEOJSON"))
         gtype = (
             F.when(kind == "STRING", "string")
             .when((kind == "BIGINT") | (kind == "DECIMAL"), "number")
-            .when(is_object, "object").when(is_array, "array")
+            .when(is_object, "object").when(is_array, "array").when(kind == "GEOJSON", "geojson")
             .when(kind == "BOOLEAN", "boolean")
             .when((kind == "DOUBLE") | (kind == "FLOAT"), "double")
             .when((kind == "TIMESTA") | (kind == "DATE"), "timestamp")
@@ -109,7 +115,7 @@ def walk(df: DataFrame, max_depth: int, keep: tuple[str, ...] = ("id",), data: s
                 F.when(F.col("pos").isNotNull(), F.array(node).cast(NODE)).otherwise(none),
             ).alias("_nodes"),
             "_path", "_in",
-            F.when(~scalar, F.col("value")).alias("_v"),
+            F.when(is_object | is_array, F.col("value")).alias("_v"),
         )
     # A non-empty container left over after the last level means the depth was too small.
     deeper = F.col("_v").isNotNull() & ~F.schema_of_variant("_v").isin("OBJECT<>", "ARRAY<VOID>")
@@ -120,14 +126,14 @@ def walk(df: DataFrame, max_depth: int, keep: tuple[str, ...] = ("id",), data: s
 
 
 def flatten(
-    df: DataFrame, max_depth: int | None = None, keep: tuple[str, ...] = ("id",), data: str = "data"
+    df: DataFrame, max_depth: int | None = None, keep: tuple[str, ...] = ("id",), data: str = "data", geojson: bool = False
 ) -> DataFrame:
     """``(keep…, path, type, value)`` rows: fields anywhere, and scalar array elements as ``path[*]``.
 
     Without ``max_depth`` the depth is measured first by one extra pass.
     """
     depth = document_depth(df, data) if max_depth is None else max_depth
-    nodes = walk(df, depth, keep, data)
+    nodes = walk(df, depth, keep, data, geojson)
     return nodes.filter(F.col("key").isNotNull() | F.col("path").endswith("[*]"))
 
 
@@ -209,15 +215,17 @@ def data_guide(
     by: tuple[str, ...] = (),
     order_by: str = "id",
     data: str = "data",
+    geojson: bool = False,
 ) -> DataFrame:
     """Per (path, type): text length, low, high, documents, values.
 
     ``limit`` samples the first rows by ``order_by`` (a distributed top-n, not a
-    sort). Rows with a null type stand for JSON nulls.
+    sort). Rows with a null type stand for JSON nulls. With ``geojson`` objects
+    that are geometries have the type ``geojson`` and no rows below them.
     """
     if limit is not None:
         df = df.orderBy(order_by).limit(limit)
-    return guide_of(flatten(df, max_depth, by, data), by)
+    return guide_of(flatten(df, max_depth, by, data, geojson), by)
 
 
 def cached_data_guide(df: DataFrame, folder: str, collection: str, **options) -> DataFrame:
@@ -293,7 +301,7 @@ def key_types(guide: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     spark_type = (
         F.when((F.col("type") == "number") & F.col("integral") & F.col("fits"), "bigint")
         .when(F.col("type") == "number", F.coalesce(decimal, F.lit("decimal(38,10)")))
-        .when(~F.col("type").isin("object", "array", "multitype"), F.col("type"))
+        .when(~F.col("type").isin("object", "array", "geojson", "multitype"), F.col("type"))
     )
     return t.select(*by, "key", kind.alias("type"), "length", "integral", "scale", "digits", "fits").select(
         *by, "key", "type", spark_type.alias("spark_type"), F.col("length").alias("max_length")

@@ -140,7 +140,7 @@ def _facts(keys: DataFrame, types: DataFrame) -> DataFrame:
         F.array_distinct(F.flatten(F.collect_list("arrays"))).alias("arrays"),
         F.max(F.col("own_type").isNull()).alias("has_unknown"),
         F.max(F.coalesce((F.col("own_type") == "multitype") | (F.col("elem_type") == "multitype"), F.lit(False))).alias("has_multi"),
-        F.max(F.coalesce(F.col("own_type") == "object", F.lit(False))).alias("has_object"),
+        F.max(F.coalesce(F.col("own_type").isin("object", "geojson"), F.lit(False))).alias("has_object"),
         F.max(F.coalesce(is_array & F.col("elem_type").isNull(), F.lit(False))).alias("has_orphan"),
     )
 

@@ -316,6 +316,25 @@ def data_guide_sampled(spark, sf):
     return _comparable(G.data_guide(event_docs(spark, sf), limit=1000, max_depth=DEPTH))
 
 
+GEO_NODES = EVENT_NODES.replace("'$.loc', 'object', NULL, NULL FROM e WHERE doc % 5 <> 0", """'$.loc',
+    CASE WHEN doc % 3 = 0 THEN 'object' ELSE 'geojson' END, NULL, NULL FROM e WHERE doc % 5 <> 0""").replace(
+    "'Point' FROM e WHERE doc % 5 <> 0", "'Spot' FROM e WHERE doc % 5 <> 0 AND doc % 3 = 0"
+).replace("'array', NULL, NULL FROM e WHERE doc % 5 <> 0", "'array', NULL, NULL FROM e WHERE doc % 5 <> 0 AND doc % 3 = 0").replace(
+    "NULL FROM e WHERE doc % 5 <> 0)", "NULL FROM e WHERE doc % 5 <> 0 AND doc % 3 = 0)"
+)
+
+
+@query("data_guide_geo", f"""
+WITH e AS (SELECT event_id AS doc, * FROM events), {GEO_NODES} {GUIDE_SQL.format(by='')}
+""")
+def data_guide_geo(spark, sf):
+    """Points are recognised as geometries; objects of their shape but of another type are objects with all that is in them."""
+    docs = event_docs(spark, sf)
+    spot = F.replace(F.col("doc"), F.lit('"type":"Point"'), F.lit('"type":"Spot"'))
+    docs = S.parse_docs(docs.withColumn("doc", F.when(F.col("id") % 3 == 0, spot).otherwise(F.col("doc"))))
+    return _comparable(G.data_guide(docs, max_depth=DEPTH, geojson=True))
+
+
 @query("data_guide_cache", f"""
 WITH e AS (SELECT event_id AS doc, * FROM events), {EVENT_NODES} {GUIDE_SQL.format(by='')}
 """)

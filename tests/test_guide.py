@@ -94,3 +94,21 @@ def test_cache_follows_row_count(spark, tmp_path):
     other = G.cached_data_guide(docs(spark, '{"a":1}', '{"b":1}'), str(tmp_path), "c")
     assert [r["path"] for r in first.collect()] == [r["path"] for r in again.collect()] == ["$.a"]
     assert other.count() == 2
+
+
+def test_geometries_are_recognised(spark):
+    line = '{"type":"LineString","coordinates":[[1,2],[3,4]]}'
+    texts = [
+        '{"a":%s,"l":[%s,{"type":"Point","coordinates":[1,2]}]}' % (line, line),
+        '{"a":{"type":"Point","coordinates":[1]},"b":{"type":"GeometryCollection","geometries":[%s]}}' % line,
+        '{"a":null,"b":{"type":"Polygon","coordinates":[]}}',
+    ]
+    docs = parse_docs(spark.createDataFrame(list(enumerate(texts)), "id bigint, doc string"))
+    rows = {(r["path"], r["type"]): (r["n_docs"], r["n_values"]) for r in G.data_guide(docs, geojson=True).collect()}
+    assert rows == {
+        ("$.a", "geojson"): (1, 1), ("$.a", "object"): (1, 1), ("$.a", None): (1, 1), ("$.a.type", "string"): (1, 1),
+        ("$.a.coordinates", "array"): (1, 1), ("$.a.coordinates[*]", "number"): (1, 1), ("$.b", "geojson"): (2, 2),
+        ("$.l", "array"): (1, 1),
+    }
+    plain = {(r["path"], r["type"]) for r in G.data_guide(docs).collect()}
+    assert ("$.a.type", "string") in plain and ("$.a", "geojson") not in plain
