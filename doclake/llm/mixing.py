@@ -25,7 +25,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -33,6 +33,7 @@ from doclake.llm.common import WordIds, map_arrow, whole_row
 from doclake.runtime import stored
 
 TOPICS = 8
+CELLS_A_TASK = 100_000
 DIMENSIONS = ("source", "lang", "topic")
 Targets = dict[str, dict[str, float]]
 
@@ -79,19 +80,25 @@ def target_table(cells: DataFrame, dimension: str, given: dict[str, float] | Non
 def rake(cells: DataFrame, targets: Targets | None = None, *, alpha: float = 0.7, sweeps: int = 40, tolerance: float = 1e-6) -> DataFrame:
     """``cells`` (source, lang, topic, tokens) with ``raked``: token shares that fit the target marginals."""
     targets = targets or {}
+    # As many partitions as the cells need, not as documents would: a round over a few cells is one task without shuffles
+    parts = 1 + cells.count() // CELLS_A_TASK
+
+    def gathered(rows: DataFrame) -> DataFrame:
+        return rows.coalesce(1) if parts == 1 else rows
+
+    cells = gathered(cells)
     fitted = cells.withColumn("raked", F.col("tokens").cast("double"))
     for d in DIMENSIONS:  # the target of its name in each dimension stays with a cell
         wanted = target_table(cells, d, targets.get(d), alpha).withColumnRenamed("share", f"share_{d}")
         fitted = fitted.join(wanted, d, "left").fillna(0.0, [f"share_{d}"])
     fitted = stored(fitted, "mix-cells")
     for _ in range(sweeps):
-        off = []
+        fitted, off = gathered(fitted), []
         for d in DIMENSIONS:
-            sums = fitted.groupBy(d).agg(F.sum("raked").alias("now"), F.max(f"share_{d}").alias("share"))
-            factor = sums.select(d, F.when(F.col("now") > 0, F.col("share") / F.col("now")).otherwise(0.0).alias("factor"))
+            now = F.sum("raked").over(Window.partitionBy(d))
+            fitted = fitted.withColumn("factor", F.when(now > 0, F.col(f"share_{d}") / now).otherwise(0.0))
             scaled = {"raked": F.col("raked") * F.col("factor"), f"off_{d}": F.abs(F.col("factor") - 1)}
-            # Merged rather than broadcast: dozens of broadcasts in a row would pile up in the driver
-            fitted = fitted.join(factor.hint("merge"), d).withColumns(scaled).drop("factor")
+            fitted = fitted.withColumns(scaled).drop("factor")
             off.append(f"off_{d}")
         fitted = stored(fitted, "mix-cells")
         worst = fitted.filter("raked > 0").agg(F.max(F.greatest(*off))).first()[0]
