@@ -7,9 +7,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from doclake.operators.indexes import array_view, text_postings
 from doclake.operators.shape import parse_docs
 from doclake.queries.documents import order_json, table
+from doclake.queries.loading import COUNTER, _counter
 from doclake.queries.registry import query
-from doclake.runtime import scratch
+from doclake.runtime import scratch, ship_package, stored
 from doclake.streaming import changes as C
+from doclake.streaming.counters import stream_counter_rate
 
 CHANGES = "id bigint, version bigint, deleted boolean, doc string"
 
@@ -71,3 +73,38 @@ def array_view_changes(spark, sf):
         change(first.filter(F.col("id") % 4 == 0), 3, F.lit(None).cast("string"), F.lit(True)),
     ]
     return streamed(spark, "view", orders, derive, steps, 1).withColumnRenamed("tags", "tag")
+
+
+PERIODS = ["2024-01-09", "2024-01-17", "2024-01-25", "2030-01-01"]
+
+
+@query("counter_rate_stream", f"""
+WITH {COUNTER}, p AS (SELECT *, CASE {" ".join(f"WHEN ts < '{d}' THEN {i}" for i, d in enumerate(PERIODS))} END AS period FROM c),
+held AS (SELECT *, event_id % 97 = 0 AND period < 3 AND EXISTS (SELECT 1 FROM p o WHERE o.event_type = p.event_type AND o.period < 3
+  AND o.event_id % 97 <> 0 AND (o.ts, o.event_id) > (p.ts, p.event_id)) AS late FROM p),
+l AS (SELECT *, row_number() OVER w AS turn, total - lag(total) OVER w AS delta,
+    (epoch_us(ts) - lag(epoch_us(ts)) OVER w) / 1000000.0 AS secs
+  FROM held WHERE NOT late WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)),
+r AS (SELECT *, CASE WHEN turn > 2 AND secs > 0 THEN delta / 1048576.0 / secs END AS rate FROM l)
+SELECT event_type, event_id, round(rate, 6) AS rate,
+  round(max(CASE WHEN rate >= 0 THEN rate END) OVER (PARTITION BY event_type ORDER BY ts, event_id), 6) AS max_rate, false AS late FROM r
+UNION ALL SELECT event_type, event_id, NULL, NULL, true FROM held WHERE late
+""")
+def counter_rate_stream(spark, sf):
+    """Samples that arrive in four steps, every 97th of the first three only with the last: too late, mostly."""
+    ship_package(spark)
+    samples = stored(_counter(spark, sf).select("event_type", "ts", "total", "event_id"), "samples")
+    inbox, out, checkpoint = scratch(spark, "samples-in"), scratch(spark, "rates"), scratch(spark, "rates-checkpoint")
+    withheld, before = (F.col("event_id") % 97 == 0) & (F.col("ts") < PERIODS[2]), "1970-01-01"
+    for day in PERIODS:
+        step = samples.filter((F.col("ts") >= before) & (F.col("ts") < day) & ~withheld)
+        if day == PERIODS[-1]:
+            step = step.unionByName(samples.filter(withheld))
+        step.write.mode("append").parquet(inbox)
+        arriving = spark.readStream.schema(samples.schema).parquet(inbox)
+        rates = stream_counter_rate(arriving, "event_type", "ts", "total", "event_id")
+        writer = rates.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+        writer.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+        before = day
+    back = spark.read.parquet(out)
+    return back.withColumns({"rate": F.round("rate", 6), "max_rate": F.round("max_rate", 6)})
