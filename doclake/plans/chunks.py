@@ -4,8 +4,10 @@ A chunk starting at record ``i`` ends before the first later record that pushes
 it over the byte limit, or after ``max_docs`` records; so the next start is a
 function ``f(i)``. A file is cut into segments. Each segment tabulates, for every
 start that can still be open where it begins, the start that is open where it
-ends. Composing these small tables along a file gives the true start in each
-segment, and all segments then list their chunks at the same time.
+ends. Composing these small tables gives the true start in each segment, and all
+segments then list their chunks at the same time. Tables are composed two by two,
+level by level (so a file of n segments takes log n equal steps, and no task holds
+more than two tables), and the true starts go down the same levels.
 """
 
 from __future__ import annotations
@@ -19,7 +21,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 from doclake.runtime import ship_package, stored
 
 MB = 1 << 20
-SEGMENTS_PER_FILE = 2000
 
 
 def clamp_buffer_mb(megabytes: int) -> int:
@@ -81,14 +82,51 @@ def _tabulator(max_bytes: int, max_docs: int):
     return tabulate
 
 
+def _through(entering: np.ndarray, leaving: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """What is open behind a segment, for what is open before it."""
+    return leaving[np.searchsorted(entering, at, side="right") - 1]
+
+
 def _compose(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("seg")
-    start, starts = 0, []
+    """Two neighbouring tables as one; a last one without neighbour stays."""
+    pdf = pdf.sort_values("at")
+    entering, leaving = _array(pdf["entering"].iloc[0]), _array(pdf["leaving"].iloc[0])
+    for row in pdf.iloc[1:].itertuples():
+        leaving = _through(_array(row.entering), _array(row.leaving), leaving)
+        keep = np.r_[True, leaving[1:] != leaving[:-1]]
+        entering, leaving = entering[keep], leaving[keep]
+    return pd.DataFrame(
+        {"path": [pdf["path"].iloc[0]], "at": [int(pdf["at"].iloc[0]) // 2], "entering": [entering.tobytes()], "leaving": [leaving.tobytes()]}
+    )
+
+
+def _open_below(pdf: pd.DataFrame) -> pd.DataFrame:
+    """What is open before each of two neighbours, from what is open before the first."""
+    pdf = pdf.sort_values("at")
+    start, starts = int(pdf["open_at"].iloc[0]), []
     for row in pdf.itertuples():
         starts.append(start)
-        entering, leaving = _array(row.entering), _array(row.leaving)
-        start = int(leaving[np.searchsorted(entering, start, side="right") - 1])
-    return pd.DataFrame({"path": pdf["path"], "seg": pdf["seg"], "open_at": starts})
+        start = int(_through(_array(row.entering), _array(row.leaving), np.array([start]))[0])
+    return pd.DataFrame({"path": pdf["path"], "at": pdf["at"], "open_at": starts})
+
+
+def _opened(tables: DataFrame) -> DataFrame:
+    """``path, seg, open_at``: the chunk start that is open where each segment begins."""
+    place = F.row_number().over(Window.partitionBy("path").orderBy("seg")) - 1
+    placed = stored(tables.select("path", "seg").withColumn("at", place.cast("bigint")), "segment-places")
+    table = "path string, at bigint, entering binary, leaving binary"
+    levels = [stored(tables.join(placed, ["path", "seg"]).select("path", "at", "entering", "leaving"), "segment-tables")]
+    while (levels[-1].agg(F.max("at")).first()[0] or 0) > 0:
+        pair = F.floor(F.col("at") / 2).alias("pair")
+        levels.append(stored(levels[-1].groupBy("path", pair).applyInPandas(_compose, table), "segment-tables"))
+    opened = levels[-1].select("path", "at", F.lit(0).cast("bigint").alias("open_at"))
+    for level in reversed(levels[:-1]):
+        upper = opened.withColumnRenamed("at", "pair")
+        below = level.withColumn("pair", F.floor(F.col("at") / 2)).join(upper, ["path", "pair"])
+        opened = stored(
+            below.groupBy("path", "pair").applyInPandas(_open_below, "path string, at bigint, open_at bigint"), "segment-starts"
+        )
+    return opened.join(placed, ["path", "at"]).select("path", "seg", "open_at")
 
 
 def _lister(max_bytes: int, max_docs: int, sampled: bool):
@@ -144,11 +182,9 @@ def chunk_plan(
     ship_package(offsets.sparkSession)
     if sample is not None:
         offsets = first_records(offsets, sample)
-    if segment_bytes is None:
-        longest = offsets.agg(F.max(F.col("offset") + F.col("length"))).first()[0] or 0
-        segment_bytes = max(16 * max_bytes, longest // SEGMENTS_PER_FILE)
-    # No shorter than a chunk: then what is open at a segment's end began inside it.
-    segment_bytes = max(segment_bytes, max_bytes)
+    # As long as a chunk, whatever the file's length: what is open at a segment's end began inside it, and a segment, which
+    # is one task's array, has no more records than a chunk's bytes can hold.
+    segment_bytes = max(segment_bytes or 0, max_bytes)
     seg = F.floor(F.col("offset") / segment_bytes).cast("bigint")
     packed = stored(
         offsets.select("path", "offset", "length", seg.alias("seg")).groupBy("path", "seg").applyInPandas(
@@ -166,8 +202,7 @@ def chunk_plan(
     tables = work.mapInPandas(
         _tabulator(max_bytes, max_docs), "path string, seg bigint, entering binary, leaving binary"
     )
-    opened = tables.groupBy("path").applyInPandas(_compose, "path string, seg bigint, open_at bigint")
-    plan = work.join(opened, ["path", "seg"]).mapInPandas(
+    plan = work.join(_opened(tables), ["path", "seg"]).mapInPandas(
         _lister(max_bytes, max_docs, sample is not None),
         "path string, start_offset bigint, n_docs bigint, n_bytes bigint",
     )

@@ -104,6 +104,26 @@ def chunk_plan_query(spark, sf):
     )
 
 
+@query("chunk_rows", """
+WITH RECURSIVE r AS (SELECT source AS path, strlen(text) + 5 AS length,
+  row_number() OVER w - 1 AS i, sum(strlen(text) + 5) OVER w AS stop FROM documents WINDOW w AS (PARTITION BY source ORDER BY doc_id)),
+n AS (SELECT a.path, a.i, a.stop - a.length AS start, least(a.i + 40, greatest(a.i, b.i) + 1) AS nxt
+  FROM r a ASOF LEFT JOIN r b ON a.path = b.path AND b.stop <= a.stop - a.length + 60000),
+c AS (SELECT path, 0 AS chunk_no, i, start, nxt FROM n WHERE i = 0
+  UNION ALL SELECT n.path, chunk_no + 1, n.i, n.start, n.nxt FROM c JOIN n ON n.path = c.path AND n.i = c.nxt)
+SELECT c.path, chunk_no::BIGINT AS chunk_no, start::BIGINT AS start_offset, count(*) AS n_docs, sum(length)::BIGINT AS n_bytes,
+  (chunk_no % 256)::INTEGER AS slot
+FROM c JOIN r ON r.path = c.path AND r.i >= c.i AND r.i < c.nxt GROUP BY ALL
+""")
+def chunk_rows(spark, sf):
+    """Every chunk of the texts of each source, taken as files of records in the order of their numbers."""
+    rows = table(spark, sf, "documents").select(
+        F.col("source").alias("path"), "doc_id", (F.octet_length("text") + 5).cast("bigint").alias("length")
+    )
+    placed = R.running_sum(rows, ["path"], ["doc_id"], F.col("length"), "stop")
+    return chunk_plan(placed.select("path", (F.col("stop") - F.col("length")).alias("offset"), "length"), max_bytes=60_000, max_docs=40)
+
+
 ORDERS_BACK = """
 SELECT o_orderkey AS id, o_custkey AS custkey, o_orderstatus AS status, o_totalprice AS total, o_orderdate AS day,
        o_orderpriority AS priority, {size}::BIGINT AS bson_len FROM orders
