@@ -17,7 +17,7 @@ from doclake.operators import report as R
 from doclake.operators.select import select_collections
 from doclake.operators.shape import with_keys, with_system_columns
 from doclake.operators.sinks import codec, read_collection
-from doclake.plans.index_plan import index_keys, index_plan
+from doclake.plans.index_plan import expected_indexes, index_keys, index_plan, index_spec
 from doclake.runtime import children, remove, scratch_scope, stored
 from doclake.sources.dump import (
     BLOCK_BYTES, BLOCK_FACTS, PARTS, dump_catalog, dump_metadata, misread, read_bson_and_parts, read_once,
@@ -43,6 +43,8 @@ class Result:
     collections: DataFrame | None = None
     indexes: DataFrame | None = None
     plan: DataFrame | None = None
+    specs: DataFrame | None = None  # JSON description of every index that was built on paths
+    expected: DataFrame | None = None  # how many indexes each collection should have
 
 
 def documents_path(dest: str) -> str:
@@ -284,7 +286,9 @@ def run(
         if staged is not None:
             _drop_staged(spark, dest, result.loaded)
     metadata = select_collections(dump_metadata(spark, source), result.loaded)
-    plan = stored(index_plan(index_keys(metadata), guide, multivalue), "plan")
+    keys = index_keys(metadata)
+    result.expected = expected_indexes(keys)
+    plan = stored(index_plan(keys, guide, multivalue), "plan")
 
     built = []
     if indexes != "skip":
@@ -319,7 +323,7 @@ def run(
                 "reasons": F.when(F.col("reason").isNotNull(), F.array("reason")).otherwise(F.col("reasons")),
             }
         ).drop("reason")
-    result.plan = plan
+    result.plan, result.specs = plan, index_spec(plan)
 
     total_ms = int((time.monotonic() - started) * 1000)
     per = docs.groupBy("collection").agg(

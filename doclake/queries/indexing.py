@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -12,6 +13,7 @@ from doclake.operators import geometry as Geo
 from doclake.operators import guide as G
 from doclake.operators import indexes as I
 from doclake.operators import shape as S
+from doclake.operators import uniqueness as U
 from doclake.plans import index_plan as P
 from doclake.queries.documents import (
     event_docs, line_docs, order_docs, order_json, part_metadata, shape_docs, table, text_docs,
@@ -114,6 +116,29 @@ def unique_violations(spark, sf):
     return I.unique_violations(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+@query("append_violations", """
+WITH k AS (SELECT l_partkey, l_suppkey, count(*) FILTER (l_orderkey % 2 = 0) AS n_stored, count(*) FILTER (l_orderkey % 2 <> 0) AS n_new
+           FROM lineitem GROUP BY ALL)
+SELECT * FROM k WHERE n_new > 0 AND n_stored + n_new > 1
+""")
+def append_violations(spark, sf):
+    """The lines of odd orders, appended to those of even ones, against a key of part and supplier."""
+    lines, cols = table(spark, sf, "lineitem"), ["l_partkey", "l_suppkey"]
+    name = "keys_" + uuid.uuid4().hex
+    U.store_keys(lines.filter("l_orderkey % 2 = 0"), cols, name, buckets=8)
+    return U.append_violations(spark, lines.filter("l_orderkey % 2 <> 0"), cols, name)
+
+
+@query("path_index_stored", """
+SELECT event_id AS id, event_type AS kind, json_extract(props, '$.k')::BIGINT AS k FROM events
+""")
+def path_index_stored(spark, sf):
+    """The same index from documents stored once as VARIANT: only the columns of its two paths are read."""
+    docs = stored(event_docs(spark, sf).select("id", "data"), "variants")
+    rows = I.path_index(docs, [("kind", "string"), ("props.k", "number")], spark_types={"props.k": "bigint"})
+    return I.index_table(rows, [("kind", True), ("props.k", False)]).withColumnRenamed("props.k", "k")
+
+
 @query("primary_key_check", """
 SELECT count(*) AS n_rows, 0::BIGINT AS n_null, count(*) - count(DISTINCT event_id) AS n_duplicate_keys FROM events
 """)
