@@ -6,10 +6,11 @@ partition as one entry, however large it is. In the second, the entries are deal
 meet in the tries of their partition, whose terminals hold the owner among all rows. Rows find their owner through the
 number of the entry they went into. Equality is that of the bytes; hashes only deal out.
 
-Memory: a trie that outgrows its byte budget spills its largest subtree (the strings behind one edge of the root). In
-the first round the subtree's entries are simply handed on, since the second round merges them. In the second they go
-to a file of the task, later strings with that first byte follow them, and the file is loaded as a trie of its own
-(spilling by its next byte, if need be) when the rest is done.
+Memory: a trie that outgrows its byte budget spills subtrees, as rows to whoever comes next, never to a file. In the first
+round the largest one goes (the strings behind one edge of the root): its entries are handed on, since the second round
+merges them. In the second the entries come sorted by length and hash, by Spark's own sort, which spills by itself; the
+subtrees of the pairs of length and hash already passed are complete, so their groups are handed on. What stays is the
+texts of one length and one hash: one text, as good as always, however long it is.
 
 Texts are equal when identical after lower-casing A-Z only; null counts as the empty text. The owner is the largest
 identifier (``keep="smallest"``: the smallest); a null identifier loses to any other, and owns only groups without one.
@@ -20,9 +21,6 @@ further columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import os
-import pickle
-import tempfile
 from collections.abc import Iterator
 from functools import partial
 
@@ -177,55 +175,48 @@ def _local(batches: Iterator[pa.RecordBatch], owners: Owners, budget: int) -> It
     yield from _entries(trie.items())
 
 
-class SpillingTrie:
-    """Gathers (string, owner, count, entry) and gives each entry's group back, with spill by subtree."""
+class SortedTries:
+    """Gathers (length and hash, string, owner, count, entry), sorted by the first, and gives each entry's group back."""
 
-    def __init__(self, owners: Owners, budget: int, depth: int = 0):
-        self.owners, self.budget, self.depth = owners, budget, depth
-        self.trie = PatriciaTrie()
-        self.files: dict[int, object] = {}
+    def __init__(self, owners: Owners, budget: int):
+        self.owners, self.budget = owners, budget
+        self.weight, self.subtrees = 0, {}
 
-    def add(self, key: bytes, owner: int | None, n: int, entries: list[int]) -> None:
-        rest = key[self.depth:]
-        if rest and rest[0] in self.files:
-            pickle.dump((key, owner, n, entries), self.files[rest[0]])
-            return
-        end = self.trie.insert(rest, [None, 0, []])
+    def add(self, place: tuple, key: bytes, owner: int | None, n: int, entry: int) -> Iterator[tuple[int | None, int, list[int]]]:
+        """Takes a string in; the groups of complete subtrees, if there is too much at hand."""
+        trie = self.subtrees.get(place)
+        if trie is None:
+            if self.weight > self.budget:
+                yield from self.groups()
+            trie = self.subtrees[place] = PatriciaTrie()
+        before = trie.weight
+        end = trie.insert(key, [None, 0, []])
+        self.weight += trie.weight - before
         end[0], end[1] = self.owners.merge(end[0], owner), end[1] + n
-        end[2].extend(entries)
-        while self.trie.weight > self.budget and (len(self.trie.by_edge) > 1 or len(self.trie.root.children)):
-            self._spill(key[: self.depth])
-
-    def _spill(self, head: bytes) -> None:
-        first = self.trie.cut()
-        out = self.files[first] = tempfile.TemporaryFile(prefix="trie-")
-        for rest, (owner, n, entries) in self.trie.items(first):
-            pickle.dump((head + rest, owner, n, entries), out)
-        self.trie.drop(first)
+        end[2].append(entry)
 
     def groups(self) -> Iterator[tuple[int | None, int, list[int]]]:
-        for _, (owner, n, entries) in self.trie.items():
-            yield owner, n, entries
-        self.trie = PatriciaTrie()
-        for first in list(self.files):
-            spilled = self.files.pop(first)
-            spilled.seek(0)
-            below = SpillingTrie(self.owners, self.budget, self.depth + 1)
-            with spilled:
-                while spilled.tell() < os.fstat(spilled.fileno()).st_size:
-                    below.add(*pickle.load(spilled))
-            yield from below.groups()
+        """The groups of all subtrees, which are then forgotten."""
+        for trie in self.subtrees.values():
+            for _, (owner, n, entries) in trie.items():
+                yield owner, n, entries
+        self.weight, self.subtrees = 0, {}
 
 
 def _global(batches: Iterator[pa.RecordBatch], owners: Owners, budget: int) -> Iterator[pa.RecordBatch]:
     """Round two: the group of every entry."""
-    trie = SpillingTrie(owners, budget)
-    for batch in batches:
-        for entry, text, owner, n in zip(*(batch.column(c).to_pylist() for c in ("entry", "text", "owner", "n"))):
-            trie.add(text, owner, n, [entry])
+    tries = SortedTries(owners, budget)
     rows: list[tuple] = []
-    for owner, n, entries in trie.groups():
-        rows.extend((e, owner, n) for e in entries)
+    for batch in batches:
+        columns = (batch.column(c).to_pylist() for c in ("length", "hash", "text", "owner", "n", "entry"))
+        for length, content, text, owner, n, entry in zip(*columns):
+            for keep, size, entries in tries.add((length, content), text, owner, n, entry):
+                rows.extend((e, keep, size) for e in entries)
+        if len(rows) >= 50_000:
+            yield _found(rows)
+            rows = []
+    for keep, size, entries in tries.groups():
+        rows.extend((e, keep, size) for e in entries)
         if len(rows) >= 50_000:
             yield _found(rows)
             rows = []
@@ -246,9 +237,10 @@ def exact_duplicates(
     owners = Owners(keep)
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     local = stored(map_arrow(narrow, partial(_local, owners=owners, budget=budget), ENTRY), "trie-entries")
-    dealt = local.filter("text IS NOT NULL").select("entry", "text", "owner", "n").repartition(
-        _partitions(docs.sparkSession), F.length("text"), F.xxhash64("text")
-    )
+    named = {"length": F.octet_length("text"), "hash": F.xxhash64("text")}
+    dealt = local.filter("text IS NOT NULL").select("entry", "text", "owner", "n").withColumns(named).repartition(
+        _partitions(docs.sparkSession), "length", "hash"
+    ).sortWithinPartitions("length", "hash")
     found = map_arrow(dealt, partial(_global, owners=owners, budget=budget), FOUND)
     rows = local.filter("text_sha256 IS NOT NULL").select("doc_id", "entry", "text_sha256")
     return rows.join(found, "entry").select(

@@ -4,7 +4,7 @@ from collections import defaultdict
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from doclake.llm.exact_dedup import Owners, PatriciaTrie, SpillingTrie, exact_duplicates, shared_prefix
+from doclake.llm.exact_dedup import Owners, PatriciaTrie, SortedTries, exact_duplicates, shared_prefix
 
 
 @given(st.binary(max_size=30), st.binary(max_size=30))
@@ -27,15 +27,25 @@ def test_spill_by_subtree_changes_nothing():
     rnd = random.Random(1)
     keys = [bytes(rnd.choice(b"abc") for _ in range(rnd.randrange(12))) for _ in range(3000)]
     want = defaultdict(lambda: [None, 0])
-    tight = SpillingTrie(Owners("largest"), budget=2000)
     for i, k in enumerate(keys):
-        tight.add(k, i, 1, [i])
         want[k] = [i, want[k][1] + 1]
-    groups = list(tight.groups())
+    tries, groups = SortedTries(Owners("largest"), budget=2000), []
+    for i, k in sorted(enumerate(keys), key=lambda x: (len(x[1]), hash(x[1]) % 7)):
+        groups += tries.add((len(k), hash(k) % 7), k, i, 1, i)  # few hashes, so that different strings meet
+    assert groups
+    groups += tries.groups()
     assert sorted((o, n) for o, n, _ in groups) == sorted(map(tuple, want.values()))
     assert sorted(e for _, _, es in groups for e in es) == list(range(len(keys)))
 
 
+def test_texts_beyond_the_budget_and_long_common_prefixes(spark):
+    head = "x" * 3500
+    texts = [head + str(i % 300) for i in range(400)] + ["y" * 30_000, "Y" * 30_000, "y" * 29_999] + ["z" * 2_000_000] * 2
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = exact_duplicates(docs, budget=20_000).collect()
+    assert sorted(((r.doc_id, r.keep_id, r.group_size, r.kept) for r in got), key=repr) == brute(docs.collect())
+
+
 def brute(rows, better=max):
     groups = defaultdict(list)
     low = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
