@@ -28,7 +28,7 @@ hashes, of texts (to read copies once) that of md5.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache, partial
 
 import numpy as np
@@ -38,8 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from doclake.llm.common import map_arrow, mix, shingles, signed
-from doclake.llm.near_dedup import components
+from doclake.llm.common import components, map_arrow, mix, shingles, signed
 from doclake.runtime import stored
 
 K = 4
@@ -245,7 +244,7 @@ def _needed(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
             )
 
 
-def _settled(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def _settled(batches: Iterator[pa.RecordBatch], percent: int, same: Callable[[np.ndarray, np.ndarray], bool]) -> Iterator[pa.RecordBatch]:
     """Links that join the classes in a unit as far as they are linked at all."""
     for batch in batches:
         out = []
@@ -254,14 +253,14 @@ def _settled(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
             label = np.array([m["root"] for m in members])
             for i, others in _across(_Group(members, percent), members):
                 for j in others.tolist():
-                    if label[i] != label[j] and linked(sets[i], sets[j], percent):
+                    if label[i] != label[j] and same(sets[i], sets[j]):
                         out.append((members[i]["vid"], members[j]["vid"]))
                         label[label == label[j]] = label[i]
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
 
 
-def _groups(hashed: DataFrame, tile: int, percent: int) -> DataFrame:
+def block_groups(hashed: DataFrame, tile: int) -> DataFrame:
     """``key, vid, place, size, tile`` of the groups of at least two, each set of members once."""
     every = hashed.select(F.explode("keys").alias("key"), "vid", "n")
     along = Window.partitionBy("key").orderBy("vid")
@@ -299,10 +298,10 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_arrow(two.select("a", "b", "shingles", "other"), partial(_verified, percent=percent), "a long, b long, linked boolean")
 
 
-def _units(groups: DataFrame, open_keys: DataFrame, links: DataFrame) -> DataFrame:
+def _units(groups: DataFrame, links: DataFrame) -> DataFrame:
     """``unit, vid, root, part``: the pairs of tiles of open groups that hold more than one class."""
     rooted = stored(
-        groups.join(open_keys, "key", "left_semi").join(components(links), F.col("vid") == F.col("v"), "left")
+        groups.join(components(links), F.col("vid") == F.col("v"), "left")
         .select("key", "vid", "tile", F.coalesce("root", "vid").alias("root")),
         "join-rooted",
     )
@@ -322,7 +321,7 @@ def _units(groups: DataFrame, open_keys: DataFrame, links: DataFrame) -> DataFra
 
 def links(docs: DataFrame, hashed: DataFrame, *, percent: int = PERCENT, tile: int = TILE) -> DataFrame:
     """Links ``a, b`` that connect the vertices ``vid, name, n, keys`` of ``name, text`` rows as far as they are linked."""
-    groups = _groups(hashed, tile, percent)
+    groups = block_groups(hashed, tile)
     needed = hashed.select("vid", "name").join(groups.select("vid").distinct(), "vid", "left_semi")
     texts = docs.select("name", "text").join(needed, "name")
     # The same text comes from every copy of it: sets are made before the shuffle, and one of them is kept
@@ -334,7 +333,16 @@ def links(docs: DataFrame, hashed: DataFrame, *, percent: int = PERCENT, tile: i
     found = checked.filter("linked").select("a", "b")
     failed = candidates.join(checked.filter("NOT linked"), ["a", "b"]).select("key")
     open_keys = failed.unionByName(groups.filter("size > tile").select("key")).distinct()
-    units = stored(_units(groups, open_keys, found), "join-units")
+    settled = settle_classes(groups.join(open_keys, "key", "left_semi"), sets, found, percent, partial(linked, percent=percent))
+    return found.unionByName(settled)
+
+
+def settle_classes(
+    groups: DataFrame, sets: DataFrame, found: DataFrame, percent: int, same: Callable[[np.ndarray, np.ndarray], bool]
+) -> DataFrame:
+    """Links ``a, b`` that join the classes, by the links ``found``, of members of ``groups`` as far as they are linked at
+    all: those that ``same`` tells of two rows' ``shingles`` and that imply a Jaccard similarity of ``percent``."""
+    units = stored(_units(groups, found), "join-units")
     sketched = units.join(sets.select("vid", "n", "sketch"), "vid")
     again = stored(
         map_arrow(
@@ -344,7 +352,7 @@ def links(docs: DataFrame, hashed: DataFrame, *, percent: int = PERCENT, tile: i
         "join-again",
     )
     full = _listed(again.join(sets, "vid"), "unit", "vid", "root", "part", "n", "sketch", "shingles")
-    return found.unionByName(stored(map_arrow(full.select("members"), partial(_settled, percent=percent), "a long, b long"), "join-more"))
+    return stored(map_arrow(full.select("members"), partial(_settled, percent=percent, same=same), "a long, b long"), "join-more")
 
 
 def text_name(text: Column) -> Column:

@@ -10,12 +10,12 @@ classes are the connected components of these links.
    its links are complete. A larger one elects the member whose groups are largest as leader, and only (member, leader)
    pairs are aligned, so a group of n costs n alignments.
 3. Where the links so far leave the members of such a group in several classes, links among them could be missing. All
-   members of all these groups are open. They are paired across classes by their rare labelled shingles: of a text's
-   ``n``, the rarest ``n - ceil(0.8 n) + SHARED`` are keys, and two linked texts have ``SHARED`` keys in common (or, if
-   shorter, all that must match). Pairs that do are aligned. This step is exact: no link between open texts is missed.
+   members of all these groups are open. Their labelled shingles are cut into blocks by hash, so many that two linked
+   texts must agree in a block (see ``jaccard_join``); texts that do meet in bounded tiles, where the Hamming distance of
+   parity sketches tells which may be linked across classes, and only those are fetched and aligned. This step is
+   exact: no link between open texts is missed, and no pair leaves a task but links that join two classes.
 
-So a link is found if its two texts agree in one of the bands. The price of 3 is that open texts of different classes
-whose rare shingles are common to many are paired one by one.
+So a link is found if its two texts agree in one of the bands.
 
 Equal texts are one vertex, told apart by 64-bit hashes
 of the texts (the chance of one collision among n texts is n^2 / 2^65).
@@ -37,14 +37,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from doclake.llm.common import WordIds, map_arrow, mix, shingles, signed, whole_row
+from doclake.llm.common import WordIds, components, map_arrow, mix, shingles, signed, whole_row
+from doclake.llm.jaccard_join import all_keys, block_groups, parity_sketch, settle_classes
 from doclake.runtime import stored
 
 K = 5
 THRESHOLD = 0.8
 BANDS, SAMPLE = 16, 3
-SHARED = 8  # rare shingles that two texts must share to be aligned
-BUCKET_BITS = 18  # shingles are counted by buckets, to tell the rare ones
+TILE = 1024  # open texts that meet in a task
 SMALL = 16  # members of a group that one task settles
 WIDE = 1 << 20  # hashes scrambled at once
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -157,38 +157,26 @@ def _verified(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[p
         yield pa.RecordBatch.from_arrays([batch.column("v"), batch.column("leader"), pa.array(out)], names=["v", "leader", "linked"])
 
 
-def _weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many shingles of a task's texts fall into each bucket."""
-    counts = np.zeros(1 << BUCKET_BITS, np.int64)
+def _blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Keys, sketch and labelled shingles (in text order) of open texts."""
     for batch in batches:
-        for words in batch.column("words").to_pylist():
-            np.add.at(counts, _bucket(_of(words)), 1)
-    some = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], names=["bucket", "n"])
-
-
-def _bucket(labels: np.ndarray) -> np.ndarray:
-    return (labels >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
-
-
-def _prefixes(batches: Iterator[pa.RecordBatch], weights, threshold: float) -> Iterator[pa.RecordBatch]:
-    """The rarest labelled shingles of each text: so many that two linked texts have ``SHARED`` of them in common."""
-    counts = weights.value
-    for batch in batches:
-        sizes, keys = [], []
-        for words in batch.column("words").to_pylist():
-            own = _of(words)
-            order = np.lexsort((own, counts[_bucket(own)]))
-            sizes.append(len(own))
-            keys.append(signed(own[order[: len(own) - int(np.ceil(threshold * len(own) - 1e-6)) + SHARED]]))
+        own = [_of(w) for w in batch.column("words").to_pylist()]
+        keys = [signed(all_keys(np.sort(labels), percent)) for labels in own]
         ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
         flat = pa.array(np.concatenate(keys) if keys else np.empty(0, np.int64), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("v"), batch.column("root"), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(ends, flat)],
-            names=["v", "root", "size", "keys"],
+            [
+                batch.column("vid"), pa.array([len(x) for x in own], pa.int64()), pa.ListArray.from_arrays(ends, flat),
+                pa.array([parity_sketch(x).tobytes() for x in own], pa.binary()), pa.array([x.tobytes() for x in own], pa.binary()),
+            ],
+            names=["vid", "n", "keys", "sketch", "shingles"],
         )
 
 
+def _aligned(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
+    return linked(a, b, np.argsort(b, kind="stable"), threshold)
+
+
 def vertex(text: Column) -> Column:
     """A 64-bit name for a text; null for a text without words."""
     return F.when(F.coalesce(text, F.lit("")).rlike(r"(?U)\w"), F.xxhash64(F.lit(K), text))
@@ -254,52 +242,17 @@ def _open(verified: DataFrame, links: DataFrame) -> DataFrame:
     return stored(rooted.join(several, "leader", "left_semi").select("v", "root").distinct(), "near-open")
 
 
-def _candidates(still_open: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
-    """(v, leader) pairs of all members that may be linked across two classes, by their rare shingles."""
-    spark = still_open.sparkSession
-    own = stored(still_open.join(words, "v"), "near-open-words")
-    counted = map_arrow(own.select("words"), _weights, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    weights = np.zeros(1 << BUCKET_BITS, np.int64)
-    weights[counted.column("bucket").to_numpy()] = counted.column("n").to_numpy()
-    prefixes = partial(_prefixes, weights=spark.sparkContext.broadcast(weights), threshold=threshold)
-    keyed = map_arrow(own, prefixes, "v long, root long, size long, keys array<long>").select(
-        F.explode("keys").alias("key"), "v", "root", "size"
+def _settle_open(still_open: DataFrame, words: DataFrame, links: DataFrame, threshold: float) -> DataFrame:
+    """Links that join the classes of open texts as far as they are linked at all."""
+    percent = int(100 * threshold)  # what is aligned to the threshold has at least this Jaccard similarity
+    own = still_open.select(F.col("v").alias("vid")).distinct().join(words.withColumnRenamed("v", "vid"), "vid")
+    blocks = partial(_blocks, percent=percent)
+    sets = stored(
+        map_arrow(own.select("vid", "words"), blocks, "vid long, n long, keys array<long>, sketch binary, shingles binary"), "near-blocks"
+    )
+    return settle_classes(
+        block_groups(sets.select("vid", "n", "keys"), TILE), sets.drop("keys"), links, percent, partial(_aligned, threshold=threshold)
     )
-    keyed = stored(keyed, "near-keyed")
-    across = keyed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
-    keyed = stored(keyed.join(across, "key", "left_semi"), "near-across")
-    other = keyed.select("key", *(F.col(c).alias(f"{c}2") for c in ("v", "root", "size")))
-    small, large = F.least("size", "size2"), F.greatest("size", "size2")
-    fits = (F.col("v") < F.col("v2")) & (F.col("root") != F.col("root2")) & (small >= threshold * large - 1e-6)
-    shared = keyed.join(other, "key").filter(fits).groupBy("v", "v2").agg(F.count("*").alias("n"), F.first(large).alias("large"))
-    enough = F.least(F.lit(SHARED), F.ceil(threshold * F.col("large") - 1e-6))
-    return shared.filter(F.col("n") >= enough).select("v", F.col("v2").alias("leader"))
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """``v, root`` of the vertices of ``a, b`` edges, the root being the smallest vertex of the component: every vertex
-    hands the smallest neighbour it knows to the larger and then to the smaller ones, until nothing changes."""
-    edges = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "near-edges")
-    while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        large = large.filter("a <> b").distinct()  # every edge now leads to a smaller vertex
-        low = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = large.join(low, "a").select(
-            F.explode(F.array(F.struct("a", F.col("low").alias("b")), F.struct(F.col("b").alias("a"), F.col("low").alias("b")))).alias("e")
-        )
-        after = stored(small.select("e.*").filter("a <> b").distinct(), "near-edges")
-        if not _changed(edges, after):
-            return after.select(F.col("a").alias("v"), F.col("b").alias("root"))
-        edges = after
-
-
-def _changed(before: DataFrame, after: DataFrame) -> bool:
-    """Whether a vertex has two edges or is both an end and a root: else the edges are stars and final."""
-    twice = after.groupBy("a").agg(F.count("*").alias("n")).filter("n > 1")
-    roots = after.select(F.col("b").alias("a")).distinct()
-    return not twice.isEmpty() or not after.join(roots, "a", "left_semi").isEmpty()
 
 
 def near_links(vertices: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -317,7 +270,7 @@ def near_links(vertices: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     still_open = _open(verified, links)
     if still_open.isEmpty():
         return links
-    return links.unionByName(_linked(_verify(_candidates(still_open, words, threshold), words, threshold)))
+    return links.unionByName(_settle_open(still_open, words, links, threshold))
 
 
 def _linked(verified: DataFrame) -> DataFrame:
