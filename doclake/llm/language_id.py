@@ -17,13 +17,15 @@ symbols (the logarithm of the alphabet), so that texts in two languages stay; so
 Defined cases: null text or no letter gives ``und``, score 0, rejected; rows with a null language or identifier are not
 learnt from; ties go to the language that sorts first; with nothing to learn from, every text is ``und`` with score 0,
 and only those without a letter are rejected. Repeated rows are scored each. Further columns are ignored. Texts over
-``PIECE`` characters are read in pieces of that length, each starting without context; their sums are added.
+``PIECE`` characters are read in pieces of that length, each with the last symbols before it as context; their n-grams are
+those of the whole text.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache, partial
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -55,29 +57,56 @@ def fold_table() -> np.ndarray:
     return table
 
 
-def blocks(texts: list[str | None]) -> Iterator[tuple[list[int], list[str]]]:
+class Cut(NamedTuple):
+    """Pieces of texts: how many characters in front are only context, and whether the text goes on after the piece."""
+
+    pieces: list[str]
+    leads: list[int]
+    goes_on: list[bool]
+
+
+def _context(before: str) -> str:
+    """The last characters of a text that make up ORDER symbols."""
+    out = ""
+    for char in reversed(before):
+        if char.isalpha():
+            out += char
+        elif not out.endswith(" "):
+            out += " "
+        if len(out) == ORDER:
+            break
+    return out[::-1]
+
+
+def blocks(texts: list[str | None]) -> Iterator[tuple[list[int], Cut]]:
     """Texts by groups of about PIECE characters, as (numbers, pieces)."""
-    numbers, pieces, size = [], [], 0
+    numbers, cut, size = [], Cut([], [], []), 0
     for i, text in enumerate(texts):
+        lead = ""
         for at in range(0, len(text or ""), PIECE):
+            piece = lead + text[at : at + PIECE]
             numbers.append(i)
-            pieces.append(text[at : at + PIECE])
-            size += len(pieces[-1])
+            cut.pieces.append(piece)
+            cut.leads.append(len(lead))
+            cut.goes_on.append(at + PIECE < len(text))
+            lead = _context(piece) if cut.goes_on[-1] else ""
+            size += len(piece)
             if size >= PIECE:
-                yield numbers, pieces
-                numbers, pieces, size = [], [], 0
-    if pieces:
-        yield numbers, pieces
+                yield numbers, cut
+                numbers, cut, size = [], Cut([], [], []), 0
+    if numbers:
+        yield numbers, cut
 
 
-def grams(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def grams(pieces: list[str], leads: list[int] | None = None, goes_on: list[bool] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The n-gram of order ORDER that ends at each symbol (the symbol itself in the low bits), and the piece it is of."""
     codes = np.frombuffer((" ".join(pieces) + " ").encode("utf-32-le", "surrogatepass"), np.uint32)
     symbols = fold_table()[codes]
     gap = symbols == SPACE
     keep = np.ones(len(gap), bool)
     keep[0], keep[1:] = not gap[0], ~(gap[1:] & gap[:-1])
-    piece = np.repeat(np.arange(len(pieces)), [len(p) + 1 for p in pieces])[keep]
+    lengths = np.array([len(p) + 1 for p in pieces])
+    piece = np.repeat(np.arange(len(pieces)), lengths)[keep]
     symbols = symbols[keep].astype(np.uint64)
     if not len(symbols):
         return symbols, piece
@@ -91,7 +120,12 @@ def grams(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         earlier[back:] = symbols[:-back]
         earlier[place < back] = 0
         out |= earlier << np.uint64(16 * back)
-    return out, piece
+    if leads is None or not (any(leads) or any(goes_on)):
+        return out, piece
+    offset = np.flatnonzero(keep) - (np.cumsum(lengths) - lengths)[piece]
+    # A text ends with a space, a piece of it does not
+    own = (offset >= np.array(leads)[piece]) & ~(np.array(goes_on)[piece] & (offset == lengths[piece] - 1))
+    return out[own], piece[own]
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,8 +143,8 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         langs = np.array(batch.column("lang").to_pylist(), object)
-        for numbers, pieces in blocks(batch.column("text").to_pylist()):
-            found, piece = grams(pieces)
+        for numbers, cut in blocks(batch.column("text").to_pylist()):
+            found, piece = grams(*cut)
             of = langs[numbers]
             for lang in sorted(set(of)):
                 own = found[(of == lang)[piece]]
@@ -206,8 +240,8 @@ class LanguageModels:
     def sums(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Cost per language (rows) and text, and the number of symbols of each text."""
         cost, n = np.zeros((len(self.langs), len(texts))), np.zeros(len(texts), np.int64)
-        for numbers, pieces in blocks(texts):
-            found, piece = grams(pieces)
+        for numbers, cut in blocks(texts):
+            found, piece = grams(*cut)
             if not len(found):
                 continue
             of = np.asarray(numbers)[piece]

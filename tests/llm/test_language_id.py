@@ -110,3 +110,26 @@ def test_held_out_rule(spark):
 
     rows = spark.range(50).select("id", held_out(F.col("id")).alias("h")).collect()
     assert all(r.h == (crc32(str(r.id).encode()) % 3 == 1) for r in rows)
+
+
+def test_pieces_have_the_grams_of_the_whole_text(monkeypatch):
+    from hypothesis import example, given, settings
+    from hypothesis import strategies as st
+
+    from doclake.llm import language_id
+
+    def found(texts, piece):
+        monkeypatch.setattr(language_id, "PIECE", piece)
+        out = [[] for _ in texts]
+        for numbers, cut in blocks(texts):
+            for gram, of in zip(*(x.tolist() for x in grams(*cut))):
+                out[numbers[of]].append(gram)
+        return out
+
+    @settings(max_examples=300, deadline=None)
+    @given(st.lists(st.text(" ab\u00c9.1", max_size=40), max_size=4), st.integers(1, 9))
+    @example(["a" + " " * 30 + "b", " . ", "ab" * 9], 3)
+    def check(texts, piece):
+        assert found(texts, piece) == found(texts, 1 << 20)
+
+    check()
