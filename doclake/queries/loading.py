@@ -568,7 +568,8 @@ SELECT token, id, count(*) AS tf FROM t WHERE token <> '' GROUP BY ALL
 """)
 def text_index_stream(spark, sf):
     out, checkpoint = scratch(spark, "stream"), scratch(spark, "stream-checkpoint")
-    docs = sync.stream_documents(spark, sf, "doc_id bigint, text string", "documents.parquet")
+    # Braces make the path a pattern, which a stream takes for a single file as well as for a folder of files
+    docs = sync.stream_documents(spark, f"{sf}/{{documents.parquet}}", "doc_id bigint, text string")
     docs = docs.withColumnRenamed("doc_id", "id")
     sync.start_text_sync(docs, out, checkpoint, "text", every=None).awaitTermination()
     return sync.synced_postings(spark, out)
