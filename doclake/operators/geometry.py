@@ -17,14 +17,20 @@ a polygon around a pole must be drawn along it. Everything is one projection per
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from doclake.functions.variants import field
+from doclake.runtime import ship_package
 
 LEVELS = 20  # of the finest cells
 WIDE = 8  # a part is at most so many cells wide
 MERGES = 4  # 2^4 cells are more than a part is wide
+PORTION = 1 << 15  # edges that are worked on at a time
 SLACK = 1e-9  # degrees by which a clipped edge is lengthened, against rounding
 
 RINGS = "array<array<array<double>>>"
@@ -138,41 +144,48 @@ def _boxed(parts: DataFrame) -> DataFrame:
     }).drop(*bounds)
 
 
-def _spread(x: Column) -> Column:
-    """The bits of a number of up to 32 bits, with a gap behind each."""
+def _spread(x: np.ndarray) -> np.ndarray:
+    """The bits of numbers of up to 32 bits, with a gap behind each."""
     for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
-        x = x.bitwiseOR(F.shiftleft(x, shift)).bitwiseAND(F.lit(mask))
+        x = (x | (x << shift)) & mask
     return x
 
 
-def z_code(column: Column, row: Column) -> Column:
-    """Place of a cell along the Z curve of its level."""
-    return _spread(column.cast("long")).bitwiseOR(F.shiftleft(_spread(row.cast("long")), 1))
+def z_code(column: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Places of cells along the Z curve of their level."""
+    return _spread(column) | (_spread(row) << 1)
 
 
-def _row(y: Column, n: Column) -> Column:
-    return F.least(F.greatest(F.floor((y + 90) / 180 * n), F.lit(0)), n - 1).cast("long")
+def _row(y: np.ndarray, n: np.ndarray) -> np.ndarray:
+    return np.minimum(np.maximum(np.floor((y + 90) / 180 * n), 0), n - 1).astype(np.int64)
 
 
-def _column(x: Column, n: Column) -> Column:
-    return F.floor((x + 180) / 360 * n).cast("long")
+def _column(x: np.ndarray, n: np.ndarray) -> np.ndarray:
+    return np.floor((x + 180) / 360 * n).astype(np.int64)
 
 
-def _touched(edge: Column, n: Column) -> Column:
-    """Codes of the cells of an ``n`` by ``n`` grid that an edge touches."""
-    left, right = F.least(edge["x1"], edge["x2"]), F.greatest(edge["x1"], edge["x2"])
+def _runs(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(i, x)`` for every number ``x`` from ``first[i]`` to ``last[i]``."""
+    counts = last - first + 1
+    i = np.repeat(np.arange(len(first)), counts)
+    return i, np.arange(len(i)) - np.repeat(np.cumsum(counts) - counts, counts) + first[i]
 
-    def height(x: Column) -> Column:
-        return edge["y1"] + (x - edge["x1"]) * (edge["y2"] - edge["y1"]) / (edge["x2"] - edge["x1"])
 
-    def in_column(c: Column) -> Column:
-        a, b = F.greatest(left, c * 360 / n - 180), F.least(right, (c + 1) * 360 / n - 180)
-        upright = edge["x1"] == edge["x2"]
-        ya, yb = F.when(upright, edge["y1"]).otherwise(height(a)), F.when(upright, edge["y2"]).otherwise(height(b))
-        rows = F.sequence(_row(F.least(ya, yb) - SLACK, n), _row(F.greatest(ya, yb) + SLACK, n))
-        return F.transform(rows, lambda r: z_code(F.pmod(c, n), r))
+def _height(e: dict, i: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Where edges ``i``, none of them upright, are at ``x``."""
+    return e["y1"][i] + (x - e["x1"][i]) * (e["y2"][i] - e["y1"][i]) / (e["x2"][i] - e["x1"][i])
 
-    return F.flatten(F.transform(F.sequence(_column(left, n), _column(right, n)), in_column))
+
+def _touched(e: dict, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(edge, code)`` of the cells that edges touch, each on the ``n`` by ``n`` grid of its part."""
+    left, right = np.minimum(e["x1"], e["x2"]), np.maximum(e["x1"], e["x2"])
+    i, c = _runs(_column(left, n), _column(right, n))
+    upright = e["x1"][i] == e["x2"][i]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        ya = np.where(upright, e["y1"][i], _height(e, i, np.maximum(left[i], c * 360 / n[i] - 180)))
+        yb = np.where(upright, e["y2"][i], _height(e, i, np.minimum(right[i], (c + 1) * 360 / n[i] - 180)))
+    j, r = _runs(_row(np.minimum(ya, yb) - SLACK, n[i]), _row(np.maximum(ya, yb) + SLACK, n[i]))
+    return i[j], z_code(c[j] % n[i][j], r)
 
 
 def contains(edges: Column, x: Column, y: Column) -> Column:
@@ -186,46 +199,100 @@ def contains(edges: Column, x: Column, y: Column) -> Column:
     return F.size(crossed) % 2 == 1
 
 
-def _inside(n: Column) -> Column:
-    """Codes of the cells whose middle a polygon contains, within its box."""
+class _Boxes:
+    """The cells of the boxes of polygons, counted through in one series; which of them have their middle inside.
 
-    def in_column(c: Column) -> Column:
-        middle = (c + 0.5) * 360 / n - 180
-        rows = F.sequence(_row(F.col("south"), n), _row(F.col("north"), n))
-        inner = F.filter(rows, lambda r: contains(F.col("edges"), F.pmod(middle + 180, F.lit(360.0)) - 180, (r + 0.5) * 180 / n - 90))
-        return F.transform(inner, lambda r: z_code(F.pmod(c, n), r))
+    A middle is inside if an odd number of edges crosses the meridian above it, so edges may come in any portions.
+    """
 
-    return F.flatten(F.transform(F.sequence(_column(F.col("west"), n), _column(F.col("east"), n)), in_column))
+    def __init__(self, boxes: dict, n: np.ndarray):
+        self.n, self.west, self.south = n, _column(boxes["west"], n), _row(boxes["south"], n)
+        self.east, self.wide = _column(boxes["east"], n), _row(boxes["north"], n) - self.south + 1
+        counts = (self.east - self.west + 1) * self.wide
+        self.first = np.cumsum(counts) - counts
+        self.above = np.zeros(counts.sum(), bool)
+
+    def cross(self, e: dict, polygon: np.ndarray) -> None:
+        i, c = _runs(self.west[polygon], self.east[polygon])
+        p = polygon[i]
+        x = np.fmod((c + 0.5) * 360 / self.n[p], 360.0)
+        x = np.where(x < 0, np.fmod(x + 360.0, 360.0), x) - 180
+        crossed = []
+        for at in (x, x - 360, x + 360):
+            x1, x2 = e["x1"][i], e["x2"][i]
+            hit = np.flatnonzero(((x1 <= at) & (at < x2)) | ((x2 <= at) & (at < x1)))
+            q, h = p[hit], _height(e, i[hit], at[hit])
+            j, r = _runs(self.south[q], self.south[q] + self.wide[q] - 1)
+            over = h[j] > (r + 0.5) * 180 / self.n[q][j] - 90
+            k, r = q[j][over], r[over]
+            crossed.append(self.first[k] + (c[hit][j][over] - self.west[k]) * self.wide[k] + r - self.south[k])
+        self.above ^= np.bincount(np.concatenate(crossed), minlength=len(self.above)) % 2 == 1
+
+    def inside(self) -> tuple[np.ndarray, np.ndarray]:
+        """``(polygon, code)`` of the cells that are inside."""
+        cell = np.flatnonzero(self.above)
+        p = np.searchsorted(self.first, cell, "right") - 1
+        at = cell - self.first[p]
+        return p, z_code((self.west[p] + at // self.wide[p]) % self.n[p], self.south[p] + at % self.wide[p])
+
+
+def _ranges(offsets: np.ndarray, edges: dict, dim: np.ndarray, boxes: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(part, lo, hi)``: the ranges of finest cells that cover parts, given one after the other."""
+    extent = np.maximum((boxes["east"] - boxes["west"]) / 360, (boxes["north"] - boxes["south"]) / 180)
+    level = sum((extent * 2.0**k <= WIDE).astype(np.int64) for k in range(1, LEVELS + 1))
+    n = np.int64(1) << level
+    areas = np.flatnonzero(dim == 2)
+    within = _Boxes({side: x[areas] for side, x in boxes.items()}, n[areas])
+    part_of = np.repeat(np.arange(len(dim)), np.diff(offsets))
+    cells = []
+    for start in range(0, len(part_of), PORTION):
+        part, e = part_of[start:start + PORTION], {name: x[start:start + PORTION] for name, x in edges.items()}
+        i, code = _touched(e, n[part])
+        cells.append(np.unique(part[i] << 2 * LEVELS | code))
+        area = np.flatnonzero(dim[part] == 2)
+        within.cross({name: x[area] for name, x in e.items()}, np.searchsorted(areas, part[area]))
+    p, code = within.inside()
+    cells = np.unique(np.concatenate([*cells, areas[p] << 2 * LEVELS | code]))
+    lo, hi = cells, cells
+    for k in range(1, MERGES + 1):
+        first = cells >> 2 * k << 2 * k
+        at = np.searchsorted(cells, first)  # of the first itself, or of a later one of its block
+        end = at + 4**k - 1
+        last = cells[np.minimum(end, len(cells) - 1)]
+        # Cells are sorted and distinct: with the first and, as many places on, the last one there, all are
+        whole = (cells[at] == first) & (end < len(cells)) & (last == first + 4**k - 1)
+        lo, hi = np.where(whole, first, lo), np.where(whole, last, hi)
+    block = lo == cells
+    part, mask = cells[block] >> 2 * LEVELS, (1 << 2 * LEVELS) - 1
+    up = 2 * (LEVELS - level[part])
+    return part, (lo[block] & mask) << up, (((hi[block] & mask) + 1) << up) - 1
+
+
+def _cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        column = dict(zip(batch.schema.names, batch.columns))
+        every = column["edges"].offsets.to_numpy().astype(np.int64)
+        start = 0
+        while start < len(batch):
+            # So many parts that they have about as many edges as one portion, or one with more
+            stop = max(start + 1, int(np.searchsorted(every, every[start] + PORTION, "right")) - 1)
+            flat = column["edges"].values.slice(every[start], every[stop] - every[start])
+            edges = {name: flat.field(name).to_numpy(zero_copy_only=False) for name in ("x1", "y1", "x2", "y2")}
+            boxes = {side: column[side].slice(start, stop - start).to_numpy(zero_copy_only=False) for side in ("west", "east", "south", "north")}
+            dim = column["dim"].slice(start, stop - start).to_numpy(zero_copy_only=False)
+            part, lo, hi = _ranges(every[start:stop + 1] - every[start], edges, dim, boxes)
+            rows = pa.array(part + start)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(lo), pa.array(hi), column["id"].take(rows), column["part"].take(rows)], ["lo", "hi", "id", "part"]
+            )
+            start = stop
 
 
 def covering(parts: DataFrame) -> DataFrame:
     """``lo, hi, id, part``: the ranges of finest cells that cover the parts, ``hi`` included."""
-    extent = F.greatest((F.col("east") - F.col("west")) / 360, (F.col("north") - F.col("south")) / 180)
-    fits = F.filter(F.sequence(F.lit(1), F.lit(LEVELS)), lambda k: F.col("extent") * F.pow(F.lit(2.0), k) <= WIDE)
-    leveled = parts.withColumn("extent", extent).withColumn("level", F.size(fits))
-    sized = leveled.withColumn("n", F.pow(F.lit(2.0), "level").cast("long"))
-    n = F.col("n")
-    touched = F.flatten(F.transform("edges", lambda e: _touched(e, n)))
-    within = F.when(F.col("dim") == 2, _inside(n)).otherwise(F.array().cast("array<long>"))
-    cells = F.array_sort(F.array_distinct(F.concat(touched, within)))
-    done = sized.select("id", "part", "level", cells.alias("cells"))
-    up = 2 * (LEVELS - F.col("level"))
-
-    def block(c: Column) -> Column:
-        """The largest block of siblings that a cell is in and that is there whole, as first and last finest cell."""
-        best = F.struct(c.alias("lo"), c.alias("hi"))
-        for k in range(1, MERGES + 1):
-            first = F.shiftleft(F.shiftright(c, 2 * k), 2 * k)
-            at = F.array_position("cells", first).cast("int")
-            # Cells are sorted and distinct: with the first and, as many places on, the last one there, all are
-            last = F.get("cells", at + (4**k - 2))
-            best = F.when((at > 0) & (last == first + (4**k - 1)), F.struct(first.alias("lo"), last.alias("hi"))).otherwise(best)
-        return best
-
-    ranges = F.transform(F.array_distinct(F.transform("cells", block)), lambda b: F.struct(
-        F.call_function("shiftleft", b["lo"], up).alias("lo"), (F.call_function("shiftleft", b["hi"] + 1, up) - 1).alias("hi")
-    ))
-    return done.select(F.inline(ranges), "id", "part")
+    ship_package(parts.sparkSession)
+    schema = StructType([StructField("lo", LongType()), StructField("hi", LongType()), parts.schema["id"], parts.schema["part"]])
+    return parts.select("id", "part", "dim", "edges", "west", "east", "south", "north").mapInArrow(_cover, schema)
 
 
 def spatial_shape_index(parts: DataFrame) -> DataFrame:

@@ -174,3 +174,37 @@ def test_candidates_are_read_by_code_range(spark):
     plan = near._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "GreaterThanOrEqual(lo," in plan
     assert near.count() < 30
+
+
+def test_a_block_without_one_of_its_cells_stays_apart(spark):
+    # The line touches three of the four cells of its last block
+    cells = Geo.covering(shapes_of(spark, [geo("LineString", [[75.0, 14.75], [66.0, 4.75], [80.0, -1.25]])])).collect()
+    assert {(854698491904, 854966927359), (854966927360, 855235362815), (855503798272, 855772233727)} <= {(r.lo, r.hi) for r in cells}
+
+
+def test_portions_do_not_change_a_covering(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    rnd = np.random.default_rng(5)
+    edge = pa.struct([(name, pa.float64()) for name in ("x1", "y1", "x2", "y2")])
+    rows = []
+    for i in range(60):
+        x, y, wide = rnd.uniform(-170, 160), rnd.uniform(-80, 70), rnd.uniform(0.01, 9)
+        corners = [(x, y), (x + wide, y + wide / 3), (x + wide / 2, y + wide), (x, y)]
+        rows.append([dict(zip(("x1", "y1", "x2", "y2"), (*a, *b))) for a, b in zip(corners, corners[1:])])
+    ends = [[e[name] for e in r for name in pair] for pair in (("x1", "x2"), ("y1", "y2")) for r in rows]
+    boxes = {"west": map(min, ends[:60]), "east": map(max, ends[:60]), "south": map(min, ends[60:]), "north": map(max, ends[60:])}
+    batch = pa.RecordBatch.from_pydict({
+        "id": [f"d{i}" for i in range(60)], "part": pa.array([0] * 60, pa.int32()), "dim": pa.array([1 + i % 2 for i in range(60)], pa.int32()),
+        "edges": pa.array(rows, pa.list_(edge)), **{side: pa.array(list(x)) for side, x in boxes.items()},
+    })
+
+    def covered(portion, given):
+        monkeypatch.setattr(Geo, "PORTION", portion)
+        return sorted(tuple(r.values()) for b in Geo._cover(iter(given)) for r in b.to_pylist())
+
+    whole = covered(1 << 15, [batch])
+    assert len({r[2] for r in whole}) == 60
+    assert covered(2, [batch]) == covered(7, [batch]) == whole
+    assert covered(1 << 15, [batch.slice(0, 23), batch.slice(23)]) == whole
