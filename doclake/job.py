@@ -186,7 +186,8 @@ def _guide(spark: SparkSession, dest: str, docs: DataFrame, names: list[str], st
         flat = G.flatten(docs, None, ("collection",))
         guide = G.guide_of(flat, ("collection",))
         chars = flat.groupBy("collection").agg(F.sum(F.length(F.coalesce("key", F.lit("")))).alias("key_chars"))
-    guide = stored(guide, "guide")
+    with G.hashed(spark):
+        guide = stored(guide, "guide")
     for table, rows in (("guide", guide), ("key_chars", chars)):
         rows.write.mode("overwrite").options(**DYNAMIC).partitionBy("collection").parquet(f"{dest}/{table}")
     return _kept_guide(spark, dest, names)

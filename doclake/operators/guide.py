@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
 from doclake.functions.ids import path_key, path_prefixes
@@ -11,6 +12,7 @@ from doclake.operators.geometry import is_geometry
 
 NODE = "array<struct<path:string,key:string,pos:int,type:string,integral:boolean,value:string,in_array:boolean>>"
 CONTAINERS = ("object", "array")
+GROUPS = 1 << 16  # of a task, with a bitmap of 4 KiB each at most
 
 
 def document_depth(df: DataFrame, data: str = "data") -> int:
@@ -161,13 +163,29 @@ def _scale(text: Column, gtype: Column) -> Column:
     return F.when(gtype == "number", F.greatest(F.lit(0), behind - F.coalesce(exponent, F.lit(0))))
 
 
-def guide_of(rows: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+@contextmanager
+def hashed(spark: SparkSession):
+    """Guides that are written inside keep up to ``GROUPS`` groups a task in a hash map, and sort nodes only beyond them.
+
+    Elsewhere Spark does so for 128 groups. The setting is the session's, and is put back at the end.
+    """
+    name = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(GROUPS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def guide_of(rows: DataFrame, by: tuple[str, ...] = (), names: bool = False) -> DataFrame:
     """Aggregate flattened rows to one row per (path, type).
 
     ``n_docs`` is exact without moving the rows of a document: a document
     number is unique within its partition, so documents are counted in bitmaps
     of 32768 that are complete after the map-side aggregate. Only paths below
     an array need them; any other path occurs once per document.
+    With ``names`` the guide has ``key_chars``, the characters of the field names of all nodes, as well.
     """
     text, doc = F.col("value"), F.col("_doc")
     comparable = _ordered(text, F.col("type"))
@@ -180,8 +198,10 @@ def guide_of(rows: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
         F.max(comparable).alias("high"),
         F.count(F.lit(1)).alias("n_values"),
         F.bitmap_count(F.bitmap_construct_agg(F.when(F.col("in_array"), F.bitmap_bit_position(doc)))).alias("marked"),
-        F.min("integral").alias("integral"),
+        # A set of at most two: with it Spark aggregates objects, which hash maps can hold; extremes of texts alone are sorted
+        F.array_min(F.collect_set("integral")).alias("integral"),
         F.max(F.when(~F.col("integral"), _scale(text, F.col("type")))).alias("scale"),
+        *([F.sum(F.length(F.coalesce("key", F.lit("")))).alias("key_chars")] if names else []),
     )
     return partial.groupBy(*by, "path", "type").agg(
         F.max("length").cast("bigint").alias("length"),
@@ -191,6 +211,7 @@ def guide_of(rows: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
         F.sum("n_values").alias("n_values"),
         F.min("integral").alias("integral"),
         F.max("scale").alias("scale"),
+        *([F.sum("key_chars").alias("key_chars")] if names else []),
     )
 
 
@@ -238,7 +259,8 @@ def cached_data_guide(df: DataFrame, folder: str, collection: str, **options) ->
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        data_guide(df, **options).write.mode("ignore").parquet(path)
+        with hashed(spark):
+            data_guide(df, **options).write.mode("ignore").parquet(path)
         return spark.read.parquet(path)
 
 

@@ -28,7 +28,8 @@ DEPTH = 3  # nesting of every derived collection
 
 def line_guide(spark, sf) -> DataFrame:
     """Guide of the line collections, written once as a load would leave it."""
-    return stored(G.data_guide(line_docs(spark, sf), max_depth=DEPTH, by=("collection",)), "guide")
+    with G.hashed(spark):
+        return stored(G.data_guide(line_docs(spark, sf), max_depth=DEPTH, by=("collection",)), "guide")
 
 
 def part_keys(spark, sf) -> DataFrame:
@@ -357,7 +358,8 @@ def data_guide_geo(spark, sf):
     docs = event_docs(spark, sf)
     spot = F.replace(F.col("doc"), F.lit('"type":"Point"'), F.lit('"type":"Spot"'))
     docs = S.parse_docs(docs.withColumn("doc", F.when(F.col("id") % 3 == 0, spot).otherwise(F.col("doc"))))
-    return _comparable(G.data_guide(docs, max_depth=DEPTH, geojson=True))
+    with G.hashed(spark):
+        return _comparable(stored(G.data_guide(docs, max_depth=DEPTH, geojson=True), "guide"))
 
 
 @query("data_guide_cache", f"""

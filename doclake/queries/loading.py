@@ -444,8 +444,10 @@ def collection_report(spark, sf):
         F.sum("l_linenumber").alias("target_bytes"), F.sum("l_suppkey").alias("table_bytes")
     )
     nodes = G.flatten(line_docs(spark, sf), 3, ("collection",))
-    chars = nodes.groupBy("collection").agg(F.sum(F.length(F.coalesce("key", F.lit("")))).alias("key_chars"))
-    plan = P.index_plan(part_keys(spark, sf), line_guide(spark, sf))
+    with G.hashed(spark):  # one walk over the documents for both
+        guide = stored(G.guide_of(nodes, ("collection",), names=True), "guide")
+    chars = guide.groupBy("collection").agg(F.sum("key_chars").alias("key_chars"))
+    plan = P.index_plan(part_keys(spark, sf), guide)
     return R.collection_report(volumes, chars, sizes, plan)
 
 

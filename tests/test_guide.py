@@ -112,3 +112,20 @@ def test_geometries_are_recognised(spark):
     }
     plain = {(r["path"], r["type"]) for r in G.data_guide(docs).collect()}
     assert ("$.a.type", "string") in plain and ("$.a", "geojson") not in plain
+
+
+def test_nodes_are_not_sorted_to_be_aggregated(spark):
+    rows = G.flatten(docs(spark, '{"a":1,"l":["x"]}', '{"bcd":{"ef":2}}'), 2, ())
+    guide = G.guide_of(rows, (), names=True)
+    plan = guide._jdf.queryExecution().sparkPlan().toString()
+    assert "ObjectHashAggregate" in plan and "bitmap_construct_agg" not in "".join(p for p in plan.splitlines() if "SortAggregate" in p)
+    assert guide.agg(F.sum("key_chars")).first()[0] == 1 + 1 + 3 + 2
+
+
+def test_hashed_puts_the_setting_back(spark):
+    name = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    before = spark.conf.get(name)
+    with pytest.raises(ValueError), G.hashed(spark):
+        assert int(spark.conf.get(name)) == G.GROUPS
+        raise ValueError
+    assert spark.conf.get(name) == before
