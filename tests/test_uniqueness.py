@@ -30,3 +30,16 @@ def test_stored_keys_are_not_moved(spark):
     above = [line for line in lines[:scan] if len(re.match(r"[ :|+-]*", line).group()) < depth]
     join = max(i for i, line in enumerate(above) if "Join" in line)
     assert not any("Exchange" in line or "ShuffleQueryStage" in line for line in above[join:])
+
+
+def test_more_rows_get_more_buckets(spark, monkeypatch):
+    from doclake.operators import uniqueness as U
+
+    monkeypatch.setattr(U, "BUCKET_ROWS", 100)
+    schema, name = "a bigint, b string, other string", "keys_" + uuid.uuid4().hex
+    store_keys(spark.createDataFrame([(n, "k", "") for n in range(1500)], schema), ["a", "b"], name, buckets=4)
+    said = spark.sql(f"DESCRIBE EXTENDED {name}").filter("col_name = 'Num Buckets'").first()["data_type"]
+    assert said == "16"
+    new = spark.createDataFrame([(n // 2, "k", "") for n in range(6000)], schema)
+    got = {r.a: (r.n_stored, r.n_new) for r in append_violations(spark, new, ["a", "b"], name).collect()}
+    assert got == {n: (int(n < 1500), 2) for n in range(3000)}
