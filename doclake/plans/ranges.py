@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -51,6 +53,30 @@ def bucket_counts(df: DataFrame, key: Column | str, cap: int = 100_000, start: i
     return counted.select("bucket", lo.cast("bigint").alias("lo"), hi.cast("bigint").alias("hi"), "n")
 
 
+def key_at_share(df: DataFrame, key: str, share: float, cap: int = 4096) -> int | None:
+    """The smallest whole-number key that ``share`` of the rows with a key do not exceed; None when no row has one.
+
+    Buckets are counted, then those within the one that holds the place, until they are one key wide: a few passes
+    over the key, none of which holds more than ``cap`` counts.
+    """
+    b = key_bounds(df, key).first()
+    if b["n"] == 0:
+        return None
+    lo, hi, place = b["lo"], b["hi"], max(1, math.ceil(share * b["n"]))
+    while True:
+        inside = df.filter(F.col(key).between(lo, hi))
+        width = df.sparkSession.range(1).select(bucket_size(F.lit(lo).cast("bigint"), F.lit(hi).cast("bigint"), cap, 1)).first()[0]
+        counted = with_bucket(inside, key, (lo, hi, width)).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+        for r in sorted(counted.collect()):
+            if place <= r["n"]:
+                break
+            place -= r["n"]
+        lo += r["bucket"] * width
+        if width == 1:
+            return lo
+        hi = min(hi, lo + width - 1)
+
+
 def range_predicates(column: str, plan: tuple[int, int, int] | None, reads: int) -> list[str]:
     """SQL conditions that tile a collection into about ``reads`` ranges of whole buckets.
 

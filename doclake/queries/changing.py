@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from doclake.operators.indexes import array_view, text_postings
 from doclake.operators.shape import parse_docs
+from doclake.plans.ranges import key_at_share
 from doclake.queries.documents import order_json, table
 from doclake.queries.loading import COUNTER, _counter
 from doclake.queries.registry import query
@@ -60,8 +61,8 @@ SELECT id, status, unnest(string_split(o_orderpriority, '-')) AS tag FROM last
 def array_view_changes(spark, sf):
     """Changes in the first quarter of the orders only, as they come: twice there, compacted each time."""
     orders = order_json(spark, sf)
-    low = orders.select(F.expr("percentile_disc(0.25) WITHIN GROUP (ORDER BY id)").cast("bigint").alias("low"))
-    first = orders.filter(F.col("id") <= low.select("low").scalar())
+    low = key_at_share(orders.select("id"), "id", 0.25)
+    first = orders.filter(F.col("id") <= F.lit(low).cast("bigint"))
     changed = F.regexp_replace("doc", '"status":"[^"]*"', '"status":"X"')
 
     def derive(docs: DataFrame) -> DataFrame:

@@ -28,6 +28,7 @@ from doclake.runtime import children, remove, scratch_scope, stored
 
 Derive = Callable[[DataFrame], DataFrame]
 RANGES = 32
+FEW = 100_000  # identifiers that may be broadcast
 
 
 # --- manifest --------------------------------------------------------------------------
@@ -110,10 +111,24 @@ def _ids_schema(state: dict) -> StructType:
     return StructType.fromDDL(f"id {state['type']}, version bigint, deleted boolean")
 
 
+def _changed(state: dict, ranges: set[int] | None) -> int:
+    """How many markers the live log has, at most; of batches that were written without their number, too many to tell."""
+    return sum(state["batches"][str(b)].get("n", FEW + 1) for b in {b for b, _ in _live(state, ranges, "ids")})
+
+
+def _joinable(few: DataFrame, n: int) -> DataFrame:
+    """Rows to join by: sent to every task only if they are few by their number, else both sides are sorted.
+
+    Spark would go by the size of the files, where sorted identifiers are a fraction of what they take in the driver.
+    """
+    return few if n <= FEW else few.hint("merge")
+
+
 def _rows(spark: SparkSession, path: str, state: dict, ranges: set[int] | None) -> DataFrame:
     """Merged rows, with their range: base rows of unchanged documents, log rows of each changed document's last batch."""
     schema = StructType.fromJson(state["rows"])
-    last = _log(spark, path, state, "ids", _ids_schema(state), ranges).groupBy("id").agg(F.max("batch").alias("batch"))
+    ids = _log(spark, path, state, "ids", _ids_schema(state), ranges)
+    last = _joinable(ids.groupBy("id").agg(F.max("batch").alias("batch")), _changed(state, ranges))
     base = _base(spark, path, state, "rows", schema, ranges).join(last.select("id"), "id", "left_anti").drop("generation")
     log = _log(spark, path, state, "rows", schema, ranges).join(last, ["id", "batch"], "left_semi").drop("batch")
     return base.unionByName(log)
@@ -168,8 +183,12 @@ def apply_changes(changes: DataFrame, path: str, derive: Derive, source: tuple[s
         )
         newest = named.groupBy("id").agg(F.max(F.struct("version", "deleted", "doc")).alias("c")).select("id", "c.*")
         newest = stored(newest.withColumn("range", range_of(F.col("id"), state["type"], state["bounds"])), "changes")
-        touched = {r["range"] for r in newest.select("range").distinct().collect()}
-        known = _markers(spark, path, state, touched).select("id", F.col("version").alias("stored"))
+        counts = {r["range"]: r["count"] for r in newest.groupBy("range").count().collect()}
+        n = sum(counts.values())
+        known = _markers(spark, path, state, set(counts)).select("id", F.col("version").alias("stored"))
+        if n <= FEW:
+            known = known.join(F.broadcast(newest.select("id")), "id", "left_semi")
+        known = known.hint("merge")
         later = F.col("stored").isNull() | (F.col("version") > F.col("stored"))
         fresh = stored(newest.join(known, "id", "left").filter(later).drop("stored"), "changes")
         batch = state["next"]
@@ -180,7 +199,7 @@ def apply_changes(changes: DataFrame, path: str, derive: Derive, source: tuple[s
         schema = StructType([f for f in made.schema if f.name != "range"])
         state["rows"] = state["rows"] or json.loads(schema.json())
         if ids:
-            state["batches"][str(batch)] = {"ids": ids, "rows": rows}
+            state["batches"][str(batch)] = {"ids": ids, "rows": rows, "n": n}
             state["next"] = batch + 1
         if source is not None:
             state["sources"][source[0]] = source[1]

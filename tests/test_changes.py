@@ -129,3 +129,18 @@ def test_small_changes_do_not_move_the_base(spark):
     rows.collect()
     plan = rows._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_many_changes_are_not_broadcast(spark, monkeypatch):
+    path = made(spark, n=1000, ranges=2)
+    C.apply_changes(batch(spark, *((i, 1, False, f"w{i}") for i in range(1000))), path, postings)
+    assert next(iter(C.manifest(spark, path)["batches"].values()))["n"] == 1000
+    monkeypatch.setattr(C, "FEW", 999)
+    rows = C.current(spark, path)
+    assert rows.count() == 1000
+    plan = rows._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    C.apply_changes(batch(spark, (5, 2, False, "x"), *((i, 1, False, "old") for i in range(6, 1000))), path, postings)
+    assert C.compact(spark, path, 1) == [0, 1]
+    got = texts(spark, path)
+    assert got[5] == "x" and got[6] == "w6" and len(got) == 1000

@@ -77,3 +77,15 @@ def test_small_inputs_are_spread_and_large_ones_are_not(spark):
 def test_running_values_never_window_a_whole_counter(spark):
     plan = plan_of(_counter(spark, SF))
     assert "event_type" in plan and "_b" in plan
+
+
+@pytest.mark.parametrize("keys", [[7], [3, 3, 3, 9], [None, None], [-(10**12), 0, None, 5, 10**15, 10**15 + 1], list(range(0, 30000, 3)) + [1] * 20000])
+def test_key_at_share(spark, keys):
+    from math import ceil
+
+    from doclake.plans.ranges import key_at_share
+
+    df, there = spark.createDataFrame([(k,) for k in keys], "id bigint"), sorted(k for k in keys if k is not None)
+    for share in (0.0, 0.25, 0.5, 1.0):
+        want = there[max(0, ceil(share * len(there)) - 1)] if there else None
+        assert key_at_share(df, "id", share, cap=16) == want
