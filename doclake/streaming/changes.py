@@ -20,7 +20,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType, LongType, StructType
 
@@ -29,6 +29,8 @@ from doclake.runtime import children, remove, scratch_scope, stored
 Derive = Callable[[DataFrame], DataFrame]
 RANGES = 32
 FEW = 100_000  # identifiers that may be broadcast
+CELL = 8192  # documents, about, whose rows are folded together
+PORTION = 1 << 24  # bytes of documents, about, that a task makes rows of
 
 
 # --- manifest --------------------------------------------------------------------------
@@ -158,9 +160,27 @@ def _markers(spark: SparkSession, path: str, state: dict, ranges: set[int] | Non
 # --- writing ---------------------------------------------------------------------------
 
 
-def _write(rows: DataFrame, folder: str, spark: SparkSession) -> list[int]:
-    """Write by range, sorted by identifier; the ranges that got files."""
-    placed = rows.repartitionByRange("id").sortWithinPartitions("range", "id")
+def _folded(spark: SparkSession, path: str, state: dict, ranges: set[int], n: int) -> DataFrame:
+    """What ``_rows`` gives for ``n`` documents, dealt by range and, within it, into cells of ``CELL`` documents.
+
+    Rows move once. If too many documents changed to be broadcast, their markers lie among the rows of the same document,
+    which the sort that writing needs puts together.
+    """
+    cell = F.pmod(F.xxhash64("id"), F.lit(max(1, -(-n // (CELL * len(ranges))))))
+    if _changed(state, ranges) <= FEW:
+        return _rows(spark, path, state, ranges).withColumn("_cell", cell).repartition("range", "_cell").drop("_cell")
+    schema = StructType.fromJson(state["rows"])
+    base = _base(spark, path, state, "rows", schema, ranges).drop("generation").withColumn("batch", F.lit(-1).cast("long"))
+    rows = base.unionByName(_log(spark, path, state, "rows", schema, ranges)).withColumn("_row", F.lit(True))
+    marks = _log(spark, path, state, "ids", _ids_schema(state), ranges).select("id", "batch", "range", F.lit(False).alias("_row"))
+    dealt = rows.unionByName(marks, allowMissingColumns=True).withColumn("_cell", cell).repartition("range", "_cell")
+    last = F.max("batch").over(Window.partitionBy("range", "id", "_cell"))
+    return dealt.withColumn("_last", last).filter("_row AND batch = _last").drop("batch", "_row", "_cell", "_last")
+
+
+def _write(rows: DataFrame, folder: str, spark: SparkSession, placed: bool = False) -> list[int]:
+    """Write by range, sorted by identifier; the ranges that got files. Rows that are ``placed`` stay in their tasks."""
+    placed = (rows if placed else rows.repartitionByRange("id")).sortWithinPartitions("range", "id")
     placed.write.mode("overwrite").option("compression", "zstd").partitionBy("range").parquet(folder)
     return sorted(int(name.removeprefix("range=")) for _, name in children(spark, folder) if name.startswith("range="))
 
@@ -183,19 +203,24 @@ def apply_changes(changes: DataFrame, path: str, derive: Derive, source: tuple[s
         )
         newest = named.groupBy("id").agg(F.max(F.struct("version", "deleted", "doc")).alias("c")).select("id", "c.*")
         newest = stored(newest.withColumn("range", range_of(F.col("id"), state["type"], state["bounds"])), "changes")
-        counts = {r["range"]: r["count"] for r in newest.groupBy("range").count().collect()}
-        n = sum(counts.values())
-        known = _markers(spark, path, state, set(counts)).select("id", F.col("version").alias("stored"))
-        if n <= FEW:
-            known = known.join(F.broadcast(newest.select("id")), "id", "left_semi")
-        known = known.hint("merge")
-        later = F.col("stored").isNull() | (F.col("version") > F.col("stored"))
-        fresh = stored(newest.join(known, "id", "left").filter(later).drop("stored"), "changes")
+        size = F.sum(F.octet_length("doc")).alias("size")
+        counts = {r["range"]: (r["n"], r["size"] or 0) for r in newest.groupBy("range").agg(F.count("id").alias("n"), size).collect()}
+        n, bytes_ = (sum(c[i] for c in counts.values()) for i in (0, 1))
+        fresh = newest
+        if _live(state, set(counts), "ids") or any(str(r) in state["base"] for r in counts):
+            known = _markers(spark, path, state, set(counts)).select("id", F.col("version").alias("stored"))
+            if n <= FEW:
+                known = known.join(F.broadcast(newest.select("id")), "id", "left_semi")
+            known = known.hint("merge")
+            later = F.col("stored").isNull() | (F.col("version") > F.col("stored"))
+            fresh = stored(newest.join(known, "id", "left").filter(later).drop("stored"), "changes")
         batch = state["next"]
         ids = _write(fresh.select("id", "version", "deleted", "range"), f"{path}/log_ids/batch={batch}", spark)
-        made = derive(fresh.filter("NOT deleted").select("id", "doc"))
+        # Dealt by identifier before rows are made, which are many: rows of a document need no other task then
+        tasks = max(spark.sparkContext.defaultParallelism, -(-bytes_ // PORTION))
+        made = derive(fresh.filter("NOT deleted").select("id", "doc").repartitionByRange(tasks, "id"))
         made = made.withColumn("range", range_of(F.col("id"), state["type"], state["bounds"]))
-        rows = _write(made, f"{path}/log_rows/batch={batch}", spark)
+        rows = _write(made, f"{path}/log_rows/batch={batch}", spark, placed=True)
         schema = StructType([f for f in made.schema if f.name != "range"])
         state["rows"] = state["rows"] or json.loads(schema.json())
         if ids:
@@ -217,8 +242,9 @@ def compact(spark: SparkSession, path: str, min_batches: int = 2) -> list[int]:
     if not chosen:
         return []
     generation = state["generation"] + 1
-    rows = _write(_rows(spark, path, state, chosen), f"{path}/base_rows/generation={generation}", spark)
     ids = _write(_markers(spark, path, state, chosen), f"{path}/base_ids/generation={generation}", spark)
+    n = spark.read.schema(_ids_schema(state)).parquet(f"{path}/base_ids/generation={generation}").count()
+    rows = _write(_folded(spark, path, state, chosen, n), f"{path}/base_rows/generation={generation}", spark, placed=True)
     for r in chosen:
         state["base"][str(r)] = {"generation": generation, "after": state["next"] - 1, "rows": r in rows, "ids": r in ids}
     state["generation"] = generation

@@ -144,3 +144,39 @@ def test_many_changes_are_not_broadcast(spark, monkeypatch):
     assert C.compact(spark, path, 1) == [0, 1]
     got = texts(spark, path)
     assert got[5] == "x" and got[6] == "w6" and len(got) == 1000
+
+
+def shuffles(spark, monkeypatch, step):
+    """Exchanges and joins of the plan by which ``step`` writes rows."""
+    seen, write = [], C._write
+
+    def watched(rows, folder, *rest, **more):
+        if "_rows/" in folder:
+            seen.append(rows._jdf.queryExecution().executedPlan().toString())
+        return write(rows, folder, *rest, **more)
+
+    monkeypatch.setattr(C, "_write", watched)
+    step()
+    monkeypatch.setattr(C, "_write", write)
+    return [(plan.count("Exchange "), plan.count("SortMergeJoin"), plan.count("rangepartitioning")) for plan in seen]
+
+
+def test_rows_move_once(spark, monkeypatch):
+    path = made(spark, n=1000, ranges=3)
+    monkeypatch.setattr(C, "FEW", 5)
+    monkeypatch.setattr(C, "CELL", 50)
+    monkeypatch.setattr(C, "PORTION", 1000)
+    first = batch(spark, *((i, 1, False, f"w{i} w w{i % 7}") for i in range(1000)))
+    # Documents are dealt, their postings are not
+    assert shuffles(spark, monkeypatch, lambda: C.apply_changes(first, path, postings)) == [(1, 0, 1)]
+    C.apply_changes(batch(spark, *((i, 2, i % 4 == 0, f"x{i} x") for i in range(0, 1000, 2))), path, postings)
+    before = texts(spark, path)
+    assert shuffles(spark, monkeypatch, lambda: C.compact(spark, path, 2)) == [(1, 0, 0)]
+    assert texts(spark, path) == before and len(before) == 750 and before[2] == "x x2" and before[9] == "w w2 w9"
+    assert C._live(C.manifest(spark, path), None, "rows") == []
+    # Base rows meet newer batches, some of which say nothing of a document
+    C.apply_changes(batch(spark, *((i, 3, False, "y") for i in range(0, 1000, 5))), path, postings)
+    C.apply_changes(batch(spark, *((i, 4, True, None) for i in range(0, 1000, 10))), path, postings)
+    before = texts(spark, path)
+    assert C.compact(spark, path, 2) and texts(spark, path) == before
+    assert before[5] == "y" and 10 not in before and before[9] == "w w2 w9" and before[2] == "x x2" and 4 not in before
