@@ -10,7 +10,6 @@ from pyspark.sql.utils import AnalysisException
 from doclake.functions.ids import path_key, path_prefixes
 from doclake.operators.geometry import is_geometry
 
-NODE = "array<struct<path:string,key:string,pos:int,type:string,integral:boolean,value:string,in_array:boolean>>"
 CONTAINERS = ("object", "array")
 GROUPS = 1 << 16  # of a task, with a bitmap of 4 KiB each at most
 
@@ -53,78 +52,91 @@ def _step(parent: Column, key: Column) -> Column:
     return F.concat(parent, F.lit("."), F.when(odd, F.concat(F.lit('"'), key, F.lit('"'))).otherwise(key))
 
 
+def _scalar_text(v: Column, kind: Column) -> Column:
+    """Text of a scalar; whole numbers are read as such, as casting in the variant builds an expression per value."""
+    text = F.try_variant_get(v, "$", "string")
+    return F.when(kind == "BIGINT", F.try_variant_get(v, "$", "bigint").cast("string")).otherwise(text)
+
+
 def walk(
     df: DataFrame, max_depth: int, keep: tuple[str, ...] = ("id",), data: str = "data", geojson: bool = False
 ) -> DataFrame:
     """Every node of every document in one pass over the input.
 
     Level by level the containers are exploded laterally, so the input is
-    scanned and parsed once whatever the depth. A container's own node rides
-    along on its first child only, and a value is dropped as soon as its
-    children are out, which keeps the rows linear in the document. Documents
-    nested deeper than ``max_depth`` stop the job instead of being cut. With ``geojson``
-    an object that is a geometry is a node of that type, and nothing below it is looked at.
+    scanned and parsed once whatever the depth. A container is two rows: its
+    own node, and one that holds the value and turns into its children; so rows
+    stay flat and are linear in the document. Documents nested deeper than
+    ``max_depth`` stop the job instead of being cut. With ``geojson`` an object
+    that is a geometry is a node of that type, and nothing below it is looked at.
     """
+    node = {"key": "string", "pos": "int", "type": "string", "integral": "boolean", "value": "string"}
+    carried = [*keep, "_doc"]
     frame = df.select(
         *keep,
         F.monotonically_increasing_id().alias("_doc"),
-        F.array().cast(NODE).alias("_nodes"),
         F.lit("$").alias("_path"),
         F.lit(False).alias("_in"),
+        *[F.lit(None).cast(kind).alias(f"_{name}") for name, kind in node.items()],
         F.col(data).alias("_v"),
     )
-    carried = [*keep, "_doc"]
-    for _ in range(max_depth):
+    for level in range(max_depth):
         out = frame.lateralJoin(
             df.sparkSession.tvf.variant_explode_outer(F.col("_v").outer())
         )
-        s = F.schema_of_variant("value")
-        out = out.select(
-            *carried, "_nodes", "pos", "key", "value",
+        # What holds no value is a finished node and passes; a value without children is gone
+        out = out.filter(F.col("_v").isNull() | F.col("pos").isNotNull()).select(
+            *carried, *[f"_{name}" for name in node], "pos", "key", "value",
             F.when(F.col("key").isNull(), F.col("_path")).otherwise(_step(F.col("_path"), F.col("key"))).alias("_path"),
             (F.col("_in") | (F.col("pos").isNotNull() & F.col("key").isNull())).alias("_in"),
             # A step of its own, so that it is worked out once
-            F.when(s.startswith("OBJECT<") & is_geometry(F.col("value")), "GEOJSON").otherwise(F.substring(s, 1, 7)).alias("_kind")
-            if geojson else F.substring(s, 1, 7).alias("_kind"),
+            F.schema_of_variant("value").alias("_kind"),
         )
         kind = F.col("_kind")
-        is_object, is_array = kind == "OBJECT<", kind.startswith("ARRAY<")
+        if geojson:
+            shape = F.when(kind.startswith("OBJECT<") & is_geometry(F.col("value")), "GEOJSON").otherwise(kind)
+            out = out.withColumn("_kind", shape)
+        is_object, is_array = kind.startswith("OBJECT<"), kind.startswith("ARRAY<")
         scalar = ~(is_object | is_array | (kind == "GEOJSON"))
-        gtype = (
-            F.when(kind == "STRING", "string")
-            .when((kind == "BIGINT") | (kind == "DECIMAL"), "number")
+        is_elem = F.col("pos").isNotNull() & F.col("key").isNull()
+        made = {
+            "key": F.col("key"),
+            "pos": F.when(is_elem, F.col("pos")),
+            "type": F.when(kind == "STRING", "string")
+            .when((kind == "BIGINT") | kind.startswith("DECIMAL"), "number")
             .when(is_object, "object").when(is_array, "array").when(kind == "GEOJSON", "geojson")
             .when(kind == "BOOLEAN", "boolean")
             .when((kind == "DOUBLE") | (kind == "FLOAT"), "double")
-            .when((kind == "TIMESTA") | (kind == "DATE"), "timestamp")
-            .when(kind == "BINARY", "binary")
-        )
-        is_elem = F.col("key").isNull()
-        node = F.struct(
-            F.when(is_elem & scalar, F.concat(F.col("_path"), F.lit("[*]"))).otherwise(F.col("_path")).alias("path"),
-            F.col("key").alias("key"),
-            F.when(is_elem, F.col("pos")).alias("pos"),
-            gtype.alias("type"),
-            (kind == "BIGINT").alias("integral"),
-            F.when(scalar, F.try_variant_get("value", "$", "string")).alias("value"),
-            F.col("_in").alias("in_array"),
-        )
-        none = F.array().cast(NODE)
+            .when(kind.startswith("TIMESTAMP") | (kind == "DATE"), "timestamp")
+            .when(kind == "BINARY", "binary"),
+            "integral": kind == "BIGINT",
+            "value": F.when(scalar, _scalar_text(F.col("value"), kind)),
+        }
         frame = out.select(
-            *carried,
-            F.concat(
-                F.when(F.coalesce(F.col("pos"), F.lit(0)) == 0, F.col("_nodes")).otherwise(none),
-                F.when(F.col("pos").isNotNull(), F.array(node).cast(NODE)).otherwise(none),
-            ).alias("_nodes"),
-            "_path", "_in",
+            *carried, "_kind", "_in",
+            F.when(is_elem & scalar, F.concat(F.col("_path"), F.lit("[*]"))).otherwise(F.col("_path")).alias("_path"),
+            *[F.coalesce(column, F.col(f"_{name}")).alias(f"_{name}") for name, column in made.items()],
             F.when(is_object | is_array, F.col("value")).alias("_v"),
         )
+        if level < max_depth - 1:
+            alone, both = F.array(F.lit(False)), F.array(F.lit(False), F.lit(True))
+            frame = frame.select("*", F.explode(F.when(F.col("_v").isNotNull(), both).otherwise(alone)).alias("_goes"))
+            frame = frame.select(
+                *carried, "_path", "_in",
+                *[F.when(~F.col("_goes"), F.col(f"_{name}")).alias(f"_{name}") for name in node],
+                F.when(F.col("_goes"), F.col("_v")).alias("_v"),
+            )
+    if not max_depth:
+        return frame.filter(F.lit(False)).select(
+            *carried, F.col("_path").alias("path"), *[F.col(f"_{name}").alias(name) for name in node], F.col("_in").alias("in_array")
+        )
     # A non-empty container left over after the last level means the depth was too small.
-    deeper = F.col("_v").isNotNull() & ~F.schema_of_variant("_v").isin("OBJECT<>", "ARRAY<VOID>")
-    nodes = F.when(
-        deeper, F.raise_error(F.lit(f"document nested deeper than max_depth={max_depth}")).cast(NODE)
-    ).otherwise(F.col("_nodes"))
-    return frame.select(*carried, F.inline_outer(nodes)).filter(F.col("path").isNotNull())
+    deeper = F.col("_v").isNotNull() & ~F.col("_kind").isin("OBJECT<>", "ARRAY<VOID>")
+    stop = F.raise_error(F.lit(f"document nested deeper than max_depth={max_depth}")).cast("array<string>")
+    is_node = F.col("_key").isNotNull() | F.col("_pos").isNotNull()
+    # Through a generator, which filters on the path are not pushed below: the schema is worked out once
+    path = F.explode(F.when(deeper, stop).when(is_node, F.array("_path")).otherwise(F.array().cast("array<string>")))
+    return frame.select(*carried, path.alias("path"), *[F.col(f"_{name}").alias(name) for name in node], F.col("_in").alias("in_array"))
 
 
 def flatten(

@@ -129,3 +129,27 @@ def test_hashed_puts_the_setting_back(spark):
         assert int(spark.conf.get(name)) == G.GROUPS
         raise ValueError
     assert spark.conf.get(name) == before
+
+
+def test_walk_rows_are_flat(spark):
+    texts = ['{"a":{"b":[]},"c":{}}', '{"l":[[1],{"k":null},-9223372036854775808,1.50,1.0E40,true,"x"],"o.d":1e-9}', "5", "[7,[8]]", "null"]
+    nodes = G.walk(docs(spark, *texts), 3)
+    plan = nodes._jdf.queryExecution().optimizedPlan().toString()
+    assert "inline" not in plan and "struct(path" not in plan  # no node waits in an array while others are exploded
+    got = sorted((r["id"], r["path"], r["key"] or "", -1 if r["pos"] is None else r["pos"], r["type"] or "", r["integral"], r["value"] or "", r["in_array"]) for r in nodes.collect())
+    assert got == [
+        (0, "$.a", "a", -1, "object", False, "", False), (0, "$.a.b", "b", -1, "array", False, "", False),
+        (0, "$.c", "c", -1, "object", False, "", False), (1, '$."o.d"', "o.d", -1, "double", False, "1.0E-9", False), (1, "$.l", "", 0, "array", False, "", True),
+        (1, "$.l", "", 1, "object", False, "", True), (1, "$.l", "l", -1, "array", False, "", False),
+        (1, "$.l.k", "k", -1, "", False, "", True), (1, "$.l[*]", "", 0, "number", True, "1", True),
+        (1, "$.l[*]", "", 2, "number", True, "-9223372036854775808", True), (1, "$.l[*]", "", 3, "number", False, "1.5", True),
+        (1, "$.l[*]", "", 4, "double", False, "1.0E40", True), (1, "$.l[*]", "", 5, "boolean", False, "true", True),
+        (1, "$.l[*]", "", 6, "string", False, "x", True),
+        (3, "$", "", 1, "array", False, "", True), (3, "$[*]", "", 0, "number", True, "7", True), (3, "$[*]", "", 0, "number", True, "8", True),
+    ]
+
+
+@pytest.mark.parametrize("text", ['{"a":[[{"b":{"c":1}}]]}', '{"a":{"b":{"c":{"d":1}}}}'])
+def test_names_alone_stop_at_deeper_documents_too(spark, text):
+    with pytest.raises(Exception, match="nested deeper"):
+        G.key_volume(docs(spark, text), max_depth=3).collect()
